@@ -1,0 +1,5 @@
+"""Empty on purpose: the alerting products are once-a-day batch jobs.
+
+"Late" data means a whole source table that was not loaded today, which is a
+batch check (see ``pulsewatch.plans.gates``).
+"""
