@@ -54,25 +54,25 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 # ---- shared steps -----------------------------------------------------------
 
-def _union(spark: SparkSession, d: str) -> DataFrame:
+def _series(spark: SparkSession, d: str) -> X.SeriesFrame:
     return AS.account_rows(sample_star(spark, d), RUN)
 
 
-def _eligible(spark: SparkSession, d: str) -> DataFrame:
-    return stage(AS.eligible_rows(_union(spark, d), RUN), "eligible")
+def _eligible(spark: SparkSession, d: str) -> X.SeriesFrame:
+    series = _series(spark, d)
+    return replace(series, daily=stage(AS.eligible_rows(series.daily, RUN), "eligible"))
 
 
 def _accounts(spark: SparkSession, d: str) -> AS.Detection:
-    return AS.detect_accounts(_union(spark, d), RUN)
+    return AS.detect_accounts(_series(spark, d), RUN)
 
 
-def _account_alerts(spark: SparkSession, d: str, leaders: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Staged alerts and the filled history."""
+def _account_alerts(spark: SparkSession, d: str, leaders: tuple[str, ...] = ()) -> tuple[DataFrame, AS.Detection]:
+    """Staged alerts, and what was found with a staged history."""
     p = replace(RUN, pod_leaders=leaders)
     found = AS.detect_accounts(AS.account_rows(sample_star(spark, d), p), p)
-    cleaned = stage(found.cleaned, "cleaned")
-    found = replace(found, cleaned=cleaned)
-    return stage(AS.account_alerts(found, p), "alerts"), cleaned
+    found = replace(found, cleaned=stage(found.cleaned, "cleaned"))
+    return stage(AS.account_alerts(found, p), "alerts"), found
 
 
 def _tags(spark: SparkSession, d: str) -> TS.Detection:
@@ -119,7 +119,7 @@ def param_filter(spark, d):
 
 @query
 def client_campaign_union(spark, d):
-    return rounded(_union(spark, d).select(
+    return rounded(X.account_series(sample_star(spark, d), RUN).wide().select(
         "combo", "campaign_name", "campaign_id", "campaign_scenario", "campaign_revenue_type", "campaign_funnel_id",
         "AS_email", "day", *X.MEASURES, "margin"), 9)
 
@@ -129,7 +129,7 @@ def beta_filter(spark, d):
     emails = tuple(f"{segment}.{i}@example.test" for segment in ("building", "machinery", "household")
                    for i in range(0, 40, 2))
     p = replace(RUN, beta_emails=emails)
-    return AS.account_rows(sample_star(spark, d), p).select("combo", "AS_email", "day", "spend", "rext")
+    return X.account_series(sample_star(spark, d), p).wide("AS_email").select("combo", "AS_email", "day", "spend", "rext")
 
 
 @query
@@ -154,31 +154,37 @@ def account_daily(spark, d):
 
 @query
 def kpi_ratios(spark, d):
-    return rounded(with_kpi_ratios(_union(spark, d)).select("combo", "day", "cos", "ctr", "cr", "margin"), 9)
+    daily = X.account_series(sample_star(spark, d), RUN).daily
+    return rounded(with_kpi_ratios(daily).select("combo", "day", "cos", "ctr", "cr", "margin"), 9)
 
 
 # ---- cleaning, fill, reshape ------------------------------------------------
 
 @query
 def clean_data_query(spark, d):
-    return rounded(clean_data(with_kpi_ratios(_union(spark, d))).select(
+    wide = X.account_series(sample_star(spark, d), RUN).wide()
+    return rounded(clean_data(with_kpi_ratios(wide)).select(
         "combo", "day", "vertical_name", "RTC_vertical", "campaign_revenue_type", "margin", "cos"), 9)
 
 
 @query
 def disqualify_query(spark, d):
-    return disqualify(_union(spark, d), "combo", RUN.yesterday, RUN.required_days)
+    daily = X.account_series(sample_star(spark, d), RUN).daily
+    return disqualify(daily, "combo", RUN.yesterday, RUN.required_days)
 
 
 @query
 def calendar_fill_query(spark, d):
-    filled = calendar_fill(_eligible(spark, d), "combo", list(P.ACCOUNT_FILL_METRICS))
-    return rounded(filled.select("combo", "day", "AS_name", "clicks", "rext_euro", *P.ACCOUNT_FILL_METRICS), 9)
+    series = _eligible(spark, d)
+    filled = calendar_fill(series.daily, "combo", list(P.ACCOUNT_FILL_METRICS))
+    return rounded(X.with_attributes(filled, clean_data(series.attributes), "AS_name").select("combo", "day", "AS_name", "clicks", "rext_euro", *P.ACCOUNT_FILL_METRICS), 9)
 
 
 @query
 def kpi_long(spark, d):
-    return rounded(AS.kpi_long(_accounts(spark, d).cleaned), 9)
+    found = _accounts(spark, d)
+    named = X.with_attributes(AS.kpi_long(found.cleaned), found.attributes, "client_name", "campaign_name")
+    return rounded(named.drop("attributes_id"), 9)
 
 
 @query
@@ -207,7 +213,7 @@ def pad_7_days(spark, d):
 # ---- detection --------------------------------------------------------------
 
 def _stats(spark, d):
-    filled = calendar_fill(_eligible(spark, d), "combo", list(P.ACCOUNT_FILL_METRICS))
+    filled = calendar_fill(_eligible(spark, d).daily, "combo", list(P.ACCOUNT_FILL_METRICS))
     return detector_stats(filled, "combo", list(P.ALERT_KPIS), RUN.yesterday)
 
 
@@ -244,8 +250,8 @@ def as_results(spark, d):
 
 @query
 def ts_series(spark, d):
-    tags = TS.tag_rows(sample_star(spark, d), RUN)
-    return TS.tag_series(tags).select("combo", "day", "site_type", "event_name", "partner_id", "events")
+    return TS.tag_rows(sample_star(spark, d), RUN).wide("partner_id").select(
+        "combo", "day", "site_type", "event_name", "partner_id", "events")
 
 
 @query
@@ -308,8 +314,8 @@ POD_LEADERS = tuple(f"{segment} C{i}" for segment in ("AUTOMOBILE", "BUILDING",
 
 @query
 def as_owner_digest(spark, d):
-    alerts, cleaned = _account_alerts(spark, d)
-    axis = R.chart_axis(R.account_chart_input(cleaned, alerts))
+    alerts, found = _account_alerts(spark, d)
+    axis = R.chart_axis(R.account_chart_input(found.cleaned, found.attributes, alerts))
     digest = R.owner_digest(alerts, axis.select("combo", "kpi", "last_label", "first_day", "last_day"))
     return digest
 
@@ -345,14 +351,14 @@ def chat_digest_ts(spark, d):
 
 @query
 def alert_chart_series(spark, d):
-    alerts, cleaned = _account_alerts(spark, d)
-    return rounded(R.account_chart_input(cleaned, alerts), 9)
+    alerts, found = _account_alerts(spark, d)
+    return rounded(R.account_chart_input(found.cleaned, found.attributes, alerts), 9)
 
 
 @query
 def chart_axis_spec(spark, d):
-    alerts, cleaned = _account_alerts(spark, d)
-    return rounded(R.chart_axis(R.account_chart_input(cleaned, alerts)))
+    alerts, found = _account_alerts(spark, d)
+    return rounded(R.chart_axis(R.account_chart_input(found.cleaned, found.attributes, alerts)))
 
 
 @query
@@ -375,12 +381,13 @@ def feedback_links_ts(spark, d):
 
 @query
 def format_report(spark, d):
-    return R.formatted_figures(with_kpi_ratios(_union(spark, d)), RUN)
+    wide = X.account_series(sample_star(spark, d), RUN).wide("AS_name", "currency_code")
+    return R.formatted_figures(with_kpi_ratios(wide), RUN)
 
 
 @query
 def bps_change(spark, d):
-    return R.daily_bps_change(_eligible(spark, d), RUN)
+    return R.daily_bps_change(_eligible(spark, d).daily, RUN)
 
 
 @query

@@ -38,6 +38,8 @@ TRACKED_KPIS = ("rext", "spend", "cos", "ctr", "cr", "clicks", "displays", "tac"
 # A series with more rows than this is not handed to one aggregation buffer:
 # its quantiles are found by counting (operators.quantiles).
 OVERSIZED_SERIES_ROWS = 100_000
+# Key sets up to this size are broadcast to drop facts out of scope early.
+BROADCAST_KEYS = 1_000_000
 # Upper bound on the entries nested into one owner document.
 DOCUMENT_ENTRIES = 10_000
 
@@ -94,6 +96,7 @@ class RunParams:
     beta_emails: tuple[str, ...] | None = None
     pod_leaders: tuple[str, ...] = ()
     oversized_rows: int = OVERSIZED_SERIES_ROWS
+    broadcast_keys: int = BROADCAST_KEYS
 
     @property
     def yesterday(self) -> date:

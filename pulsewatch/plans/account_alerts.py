@@ -14,7 +14,7 @@ from pulsewatch.operators.detector import detector_flags, detector_stats
 from pulsewatch.operators.quantiles import oversized_keys
 from pulsewatch.operators.reshape import kpi_order, unpivot_kpis
 from pulsewatch.operators.screening import disqualify, drop_series
-from pulsewatch.plans.features import beta_filter, campaign_daily, client_campaign_union
+from pulsewatch.plans.features import SeriesFrame, account_series, with_attributes
 from pulsewatch.sources.stage import stage
 from pulsewatch.sources.warehouse import Star, require_rows
 
@@ -25,30 +25,35 @@ SERIES_ATTRIBUTES = [
 
 @dataclass(frozen=True)
 class Detection:
-    """What was tested (``results``) and the series it was tested on (``cleaned``)."""
+    """What was tested (``results``) and the series it was tested on (``cleaned``).
+
+    ``flags`` has the outcome of every test per (series, kpi); ``attributes``
+    the text columns of the series (None where a series is just a name).
+    """
 
     results: DataFrame
     cleaned: DataFrame
     flags: DataFrame
+    attributes: DataFrame | None = None
 
 
-def account_rows(star: Star, p: P.RunParams) -> DataFrame:
-    """Client and campaign rows; the campaign features are staged once."""
-    campaigns = stage(campaign_daily(star, p), "campaign-daily")
-    rows = client_campaign_union(require_rows(campaigns, "campaign features"))
-    return beta_filter(rows, "AS_email", p.beta_emails)
+def account_rows(star: Star, p: P.RunParams, without: tuple[str, ...] = ()) -> SeriesFrame:
+    """Client and campaign series, staged once."""
+    series = account_series(star, p, without)
+    return SeriesFrame(require_rows(stage(series.daily, "account-daily"), "account features"),
+                       stage(series.attributes, "account-attributes"))
 
 
-def eligible_rows(rows: DataFrame, p: P.RunParams) -> DataFrame:
+def eligible_rows(daily: DataFrame, p: P.RunParams) -> DataFrame:
     """Series fit to be tested, with the ratio KPIs, cleaned. Not yet staged."""
-    dropped = disqualify(rows, "combo", p.yesterday, p.required_days)
-    return clean_data(with_kpi_ratios(drop_series(rows, "combo", dropped)))
+    dropped = disqualify(daily, "combo", p.yesterday, p.required_days)
+    return clean_data(with_kpi_ratios(drop_series(daily, "combo", dropped)))
 
 
-def detect_accounts(rows: DataFrame, p: P.RunParams,
+def detect_accounts(series: SeriesFrame, p: P.RunParams,
                     alert_kpis: tuple[str, ...] = P.ALERT_KPIS) -> Detection:
     """Clean, fill the calendar and test every (series, KPI)."""
-    eligible = stage(eligible_rows(rows, p), "eligible")
+    eligible = stage(eligible_rows(series.daily, p), "eligible")
     large = oversized_keys(eligible, "combo", p.oversized_rows)
     cleaned = calendar_fill(eligible, "combo", list(P.ACCOUNT_FILL_METRICS), large)
     on_yesterday = F.col("day") == F.lit(p.yesterday)
@@ -62,18 +67,19 @@ def detect_accounts(rows: DataFrame, p: P.RunParams,
              .withColumn("is_alert", F.col("is_statistical") | F.col("is_override")))
 
     # every tested KPI plus rext_euro, which is listed but never tested
-    per_series = flags.groupBy("combo").agg(
-        F.collect_list(F.struct("kpi", "is_alert")).alias("tested"))
-    listed = F.concat("tested", F.array(F.struct(F.lit("rext_euro").alias("kpi"), F.lit(False).alias("is_alert"))))
-    results = (eligible.select(*SERIES_ATTRIBUTES).distinct().join(per_series, "combo")
-               .select(*SERIES_ATTRIBUTES, F.explode(listed).alias("t"))
-               .select(*SERIES_ATTRIBUTES, F.col("t.kpi").alias("kpi"),
-                       F.lit(p.today).alias("run_date"), F.col("t.is_alert").alias("is_alert")))
-    return Detection(results, cleaned, flags)
+    listed = F.when(F.col("kpi") == alert_kpis[0], F.array(
+        F.struct("kpi", "is_alert"), F.struct(F.lit("rext_euro").alias("kpi"), F.lit(False).alias("is_alert"))
+    )).otherwise(F.array(F.struct("kpi", "is_alert")))
+    per_kpi = flags.select("combo", F.explode(listed).alias("t")).select("combo", "t.*")
+    attributes = clean_data(series.attributes).join(
+        eligible.select("combo", "attributes_id").distinct(), ["combo", "attributes_id"], "left_semi")
+    results = attributes.select(*SERIES_ATTRIBUTES).distinct().join(per_kpi, "combo").select(
+        *SERIES_ATTRIBUTES, "kpi", F.lit(p.today).alias("run_date"), "is_alert")
+    return Detection(results, cleaned, flags, attributes)
 
 
 def kpi_long(cleaned: DataFrame) -> DataFrame:
-    return unpivot_kpis(cleaned, ["combo", "client_name", "campaign_name", "day"], list(P.TRACKED_KPIS))
+    return unpivot_kpis(cleaned, ["combo", "attributes_id", "day"], list(P.TRACKED_KPIS))
 
 
 def client_level(df: DataFrame) -> DataFrame:
@@ -102,9 +108,10 @@ def account_alerts(found: Detection, p: P.RunParams) -> DataFrame:
     Not sorted here; ``kpi_rank`` and ``avg_rext_euro`` carry the report order.
     """
     alerts = with_pod_leaders(client_level(found.results.where("is_alert")), p.pod_leaders)
-    history = client_level(found.cleaned)
+    history = found.cleaned.where("is_client")
     if p.pod_leaders:
-        history = with_pod_leaders(history, p.pod_leaders)
+        history = with_pod_leaders(with_attributes(
+            history, found.attributes, "AS_name", "AS_email", "manager_name", "manager_email"), p.pod_leaders)
     margin = (history.join(alerts.select("combo").distinct(), "combo", "left_semi")
               .groupBy("combo").agg(F.avg("rext_euro").alias("avg_rext_euro")))
     return alerts.join(margin, "combo", "left").withColumn("kpi_rank", kpi_order("kpi", P.ALERT_KPIS))

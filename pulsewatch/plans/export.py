@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,8 +13,7 @@ from pulsewatch.functions.cleaning import clean_data, with_kpi_ratios
 from pulsewatch.operators.calendar import calendar_fill
 from pulsewatch.operators.quantiles import oversized_keys
 from pulsewatch.operators.reshape import unpivot_kpis
-from pulsewatch.plans.features import (
-    campaign_daily, client_campaign_union, tag_daily, territory_daily)
+from pulsewatch.plans.features import account_series, tag_daily, territory_daily, with_attributes
 from pulsewatch.plans.territory import territory_paths
 from pulsewatch.sources.stage import stage
 from pulsewatch.sources.warehouse import Star
@@ -47,14 +48,14 @@ def export_rows(df: DataFrame, p: P.RunParams, constants: dict) -> DataFrame:
 
 
 def export_accounts(star: Star, p: P.RunParams) -> DataFrame:
-    campaigns = stage(campaign_daily(star, p), "campaign-daily")
-    rows = client_campaign_union(campaigns, drop=OWNER_COLUMNS, series="series")
-    rows = clean_data(with_kpi_ratios(rows).withColumnRenamed("rext", "client_rext"))
-    rows = stage(rows, "export-series")
-    filled = calendar_fill(rows, "series", [k for k in ACCOUNT_EXPORT_KPIS if k != "rext_euro"],
-                           oversized_keys(rows, "series", p.oversized_rows))
-    ids = [c for c in rows.columns if c not in ACCOUNT_EXPORT_KPIS]
-    return export_rows(unpivot_kpis(filled, ids, ACCOUNT_EXPORT_KPIS), p, {
+    series = account_series(star, replace(p, beta_emails=None), without=OWNER_COLUMNS)
+    daily = stage(series.daily, "account-daily")
+    rows = clean_data(with_kpi_ratios(daily)).withColumnRenamed("rext", "client_rext")
+    filled = calendar_fill(rows, "combo", [k for k in ACCOUNT_EXPORT_KPIS if k != "rext_euro"],
+                           oversized_keys(daily, "combo", p.oversized_rows))
+    wide = with_attributes(filled, clean_data(series.attributes)).withColumnRenamed("combo", "series")
+    ids = [f.name for f in EXPORT_SCHEMA.fields if f.name in wide.columns]
+    return export_rows(unpivot_kpis(wide, ids, ACCOUNT_EXPORT_KPIS), p, {
         "event_name": P.NOT_APPLICABLE, "site_type": P.NOT_APPLICABLE,
         "partner_id": -1, "partner_name": P.NOT_APPLICABLE})
 

@@ -1,20 +1,26 @@
 """Daily metrics per series, straight from the star schema.
 
-Facts are de-duplicated and summed per campaign, currency and day *before* they
-meet the dimensions. De-duplication hashes whole rows, and the sums combine on
-the map side, so one campaign holding a large part of the facts stays spread.
-The joins after that see one row per campaign, currency and day. Join sides
-carry no broadcast hint: Spark broadcasts what its size statistics allow and
-sorts the rest.
+Facts out of scope are dropped first, by a broadcast of the campaign ids if
+these are few enough (counted), otherwise by the later join. The rest is
+de-duplicated and summed per campaign, currency and day *before* it meets the
+dimensions. De-duplication hashes whole rows, and the sums combine on the map
+side, so one campaign holding a large part of the facts stays spread. The joins
+after that see one row per campaign, currency and day, and the many text
+attributes come last. Those joins carry no hint: Spark broadcasts what its size
+statistics allow and sorts the rest.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsewatch import params as P
+from pulsewatch.functions.cleaning import clean_data
 from pulsewatch.operators.screening import live_keys
+from pulsewatch.sources.stage import stage
 from pulsewatch.sources.warehouse import Star
 
 MEASURES = ["clicks", "displays", "conversions", "spend", "tac", "rext", "rext_euro", "order_value"]
@@ -23,6 +29,11 @@ CAMPAIGN_ATTRIBUTES = [
     "campaign_id", "AS_name", "AS_email", "manager_name", "manager_email", "cost_center", "currency_code",
     "ranking", "country", "subregion", "region", "campaign_scenario", "campaign_type_name",
     "campaign_revenue_type", "campaign_funnel_id"]
+# what the attributes of a single campaign read in the row of its client
+CAMPAIGN_ONLY = {
+    "campaign_name": P.NOT_A_CAMPAIGN, "campaign_id": P.NO_CAMPAIGN_ID,
+    "campaign_scenario": P.NOT_A_CAMPAIGN, "campaign_type_name": P.NOT_A_CAMPAIGN,
+    "campaign_revenue_type": P.NO_CAMPAIGN_ATTRIBUTE, "campaign_funnel_id": P.NO_CAMPAIGN_ATTRIBUTE}
 TAG_ATTRIBUTES = [
     "partner_name", "partner_id", "TS_name", "ts_engineer_email", "manager_name", "manager_email", "ranking",
     "ts_cost_center", "ts_country", "ts_subregion", "ts_region", "RTC_vertical", "vertical_name",
@@ -56,25 +67,32 @@ def _located(owners: DataFrame, star: Star) -> DataFrame:
     return owners.join(places, "country_code").drop("country_code")
 
 
-def deduplicated_facts(star: Star, p: P.RunParams) -> DataFrame:
-    """Fact rows of the window; rows equal in all columns used count once."""
+def in_scope(facts: DataFrame, dims: DataFrame, key: str, limit: int) -> DataFrame:
+    """Drop facts whose key is not in ``dims`` early, if the keys can be broadcast.
+
+    Up to ``limit`` keys (8 bytes each) go to all tasks; with more of them the
+    facts are left as they are, and the join with the dimension filters them.
+    """
+    keys = dims.select(key).distinct()
+    if keys.limit(limit + 1).count() > limit:
+        return facts
+    return facts.join(F.broadcast(keys), key, "left_semi")
+
+
+def campaign_facts(star: Star, p: P.RunParams) -> DataFrame:
     return (star.stats.where(F.col("day") >= F.lit(p.days_ago(p.account_window_days)))
             .select("day", "displays", "clicks", F.col("sales_all_post_click").alias("conversions"),
                     F.col("order_value_all_post_click_local").alias("order_value"), "revenue_local",
-                    "tac_local", "revenue_euro", "tac_euro", "campaign_id", "affiliate_currency_id")
-            .distinct())
+                    "tac_local", "revenue_euro", "tac_euro", "campaign_id", "affiliate_currency_id"))
 
 
-def campaign_daily(star: Star, p: P.RunParams) -> DataFrame:
-    """One row per campaign, owner attributes and day; amounts in client currency."""
-    both = F.col("revenue_local").isNotNull() & F.col("tac_local").isNotNull()
-    facts = deduplicated_facts(star, p).groupBy("campaign_id", "affiliate_currency_id", "day").agg(
-        F.sum("clicks").alias("clicks"), F.sum("displays").alias("displays"),
-        F.sum("conversions").alias("conversions"), F.sum("order_value").alias("order_value"),
-        F.sum("revenue_local").alias("revenue"), F.sum("tac_local").alias("media"),
-        F.sum(F.when(both, F.col("revenue_local"))).alias("paired_revenue"),
-        F.sum(F.when(both, F.col("tac_local"))).alias("paired_media"),
-        F.sum(F.col("revenue_euro") - F.col("tac_euro")).alias("rext_euro"))
+def deduplicated_facts(star: Star, p: P.RunParams) -> DataFrame:
+    """Fact rows of the window; rows equal in all columns used count once."""
+    return campaign_facts(star, p).distinct()
+
+
+def campaign_dims(star: Star, p: P.RunParams) -> DataFrame:
+    """Clients in scope with currency, owner, manager and place."""
     clients = star.client.where(predicate(p.client_filter)).select(
         "campaign_id", "account_strategist_employee_id", "client_currency_id", "client_name", "client_id",
         "campaign_name", "ranking", F.col("campaign_scenario_product_level_1_name").alias("campaign_scenario"),
@@ -84,43 +102,98 @@ def campaign_daily(star: Star, p: P.RunParams) -> DataFrame:
         {"owner_name": "AS_name", "owner_email": "AS_email"})
     currencies = star.currency.select(
         F.col("currency_id").alias("client_currency_id"), "currency_code").distinct()
-    dims = (clients.join(owners, F.col("account_strategist_employee_id") == F.col("employee_id"))
+    return (clients.join(owners, F.col("account_strategist_employee_id") == F.col("employee_id"))
             .join(currencies, "client_currency_id")
             .select("client_currency_id", *CAMPAIGN_ATTRIBUTES).distinct())
+
+
+def campaign_sums(star: Star, p: P.RunParams, dims: DataFrame) -> DataFrame:
+    """Measures per (campaign_id, client_currency_id, day); no text columns."""
+    both = F.col("revenue_local").isNotNull() & F.col("tac_local").isNotNull()
+    facts = in_scope(campaign_facts(star, p), dims, "campaign_id", p.broadcast_keys).distinct()
+    facts = facts.groupBy("campaign_id", "affiliate_currency_id", "day").agg(
+        F.sum("clicks").alias("clicks"), F.sum("displays").alias("displays"),
+        F.sum("conversions").alias("conversions"), F.sum("order_value").alias("order_value"),
+        F.sum("revenue_local").alias("revenue"), F.sum("tac_local").alias("media"),
+        F.sum(F.when(both, F.col("revenue_local"))).alias("paired_revenue"),
+        F.sum(F.when(both, F.col("tac_local"))).alias("paired_media"),
+        F.sum(F.col("revenue_euro") - F.col("tac_euro")).alias("rext_euro"))
     rates = star.fx_daily.where(F.col("day") >= F.lit(p.days_ago(p.account_window_days))).select(
         F.col("source_currency_id").alias("affiliate_currency_id"),
         F.col("destination_currency_id").alias("client_currency_id"), "day", "rate").distinct()
-    priced = facts.join(dims, "campaign_id").join(rates, ["affiliate_currency_id", "client_currency_id", "day"])
-
-    def total(value: Column | str) -> Column:
-        return F.coalesce(F.sum(value), F.lit(0.0))
-
-    return priced.groupBy(*CAMPAIGN_ATTRIBUTES, "day").agg(
-        total("clicks").alias("clicks"), total("displays").alias("displays"),
-        total("conversions").alias("conversions"), total("revenue").alias("spend"),
-        total(F.col("media") * F.col("rate")).alias("tac"),
-        total(F.col("paired_revenue") - F.col("paired_media") * F.col("rate")).alias("rext"),
-        total("rext_euro").alias("rext_euro"), total("order_value").alias("order_value"))
-
-
-def client_campaign_union(campaigns: DataFrame, drop: tuple[str, ...] = (),
-                          series: str = "combo") -> DataFrame:
-    """Client totals on top of the campaign rows, named by one series column."""
-    campaigns = campaigns.drop(*drop)
-    campaign_only = ["campaign_name", "campaign_id", "campaign_scenario", "campaign_type_name",
-                     "campaign_revenue_type", "campaign_funnel_id"]
-    keys = [c for c in campaigns.columns if c not in MEASURES and c not in campaign_only]
-    types = dict(campaigns.dtypes)
-    markers = {
-        "campaign_name": P.NOT_A_CAMPAIGN, "campaign_id": P.NO_CAMPAIGN_ID,
-        "campaign_scenario": P.NOT_A_CAMPAIGN, "campaign_type_name": P.NOT_A_CAMPAIGN,
-        "campaign_revenue_type": P.NO_CAMPAIGN_ATTRIBUTE, "campaign_funnel_id": P.NO_CAMPAIGN_ATTRIBUTE}
-    clients = campaigns.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MEASURES])
-    clients = clients.withColumns(
-        {c: F.lit(v).cast(types[c]) for c, v in markers.items()}).withColumn(series, F.col("client_name"))
-    named = campaigns.withColumn(series, F.concat(
-        F.coalesce("client_name", F.lit("NA")), F.lit(": "), F.coalesce("campaign_name", F.lit("NA"))))
-    return clients.unionByName(named).withColumn("margin", F.try_divide("rext", "spend"))
+    priced = (facts.join(dims.select("campaign_id", "client_currency_id").distinct(), "campaign_id")
+              .join(rates, ["affiliate_currency_id", "client_currency_id", "day"]))
+
+    def total(name: str, value: Column | str) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0.0)).alias(name)
+
+    return priced.groupBy("campaign_id", "client_currency_id", "day").agg(
+        total("clicks", "clicks"), total("displays", "displays"), total("conversions", "conversions"),
+        total("spend", "revenue"), total("tac", F.col("media") * F.col("rate")),
+        total("rext", F.col("paired_revenue") - F.col("paired_media") * F.col("rate")),
+        total("rext_euro", "rext_euro"), total("order_value", "order_value"))
+
+
+def campaign_daily(star: Star, p: P.RunParams) -> DataFrame:
+    """One row per campaign, owner attributes and day; amounts in client currency."""
+    dims = stage(campaign_dims(star, p), "campaign-dims")
+    rows = campaign_sums(star, p, dims).join(dims, ["campaign_id", "client_currency_id"]).drop("client_currency_id")
+    if star.currency.select("currency_id", "currency_code").distinct().groupBy(
+            "currency_code").count().where("count > 1").isEmpty():
+        return rows
+    # currencies that share a code make one series
+    return rows.groupBy(*CAMPAIGN_ATTRIBUTES, "day").agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+
+@dataclass(frozen=True)
+class SeriesFrame:
+    """Daily rows without text, and the attributes of every series once.
+
+    Both hold the series key ``combo`` and ``attributes_id``, a hash that tells
+    apart the attribute rows of one series.
+    """
+
+    daily: DataFrame
+    attributes: DataFrame
+
+    def wide(self, *columns: str) -> DataFrame:
+        return with_attributes(self.daily, self.attributes, *columns)
+
+
+def with_attributes(df: DataFrame, attributes: DataFrame, *columns: str) -> DataFrame:
+    """Attach attribute columns (all by default); a missing name joins itself."""
+    shown = attributes if not columns else attributes.select("combo", "attributes_id", *columns)
+    shown = shown.distinct().withColumnsRenamed({"combo": "__combo", "attributes_id": "__id"})
+    return df.join(shown, F.col("combo").eqNullSafe(F.col("__combo")) & (F.col("attributes_id") == F.col("__id"))).drop(
+        "__combo", "__id")
+
+
+def account_series(star: Star, p: P.RunParams, without: tuple[str, ...] = ()) -> SeriesFrame:
+    """Client totals and campaigns as daily series, in one aggregation.
+
+    ``without`` names attributes that neither split the client totals nor show
+    up in the attributes; campaigns keep one row per owner.
+    """
+    dims = stage(beta_filter(campaign_dims(star, p), "AS_email", p.beta_emails), "campaign-dims")
+    shown = [c for c in CAMPAIGN_ATTRIBUTES if c not in without]
+    client_columns = [c for c in shown if c not in CAMPAIGN_ONLY]
+    client = F.struct(F.col("client_name").alias("combo"), F.xxhash64(*client_columns).alias("attributes_id"),
+                      F.lit(True).alias("is_client"))
+    campaign = F.struct(
+        F.concat(F.coalesce("client_name", F.lit("NA")), F.lit(": "),
+                 F.coalesce("campaign_name", F.lit("NA"))).alias("combo"),
+        F.xxhash64(*CAMPAIGN_ATTRIBUTES).alias("attributes_id"), F.lit(False).alias("is_client"))
+    levels = dims.select("campaign_id", "client_currency_id", F.explode(F.array(client, campaign)).alias("s"))
+    daily = (campaign_sums(star, p, dims).join(levels, ["campaign_id", "client_currency_id"])
+             .groupBy("s.combo", "s.attributes_id", "s.is_client", "day")
+             .agg(*[F.sum(m).alias(m) for m in MEASURES])
+             .withColumn("margin", F.try_divide("rext", "spend")))
+
+    types = dict(dims.dtypes)
+    markers = [F.lit(value).cast(types[c]).alias(c) for c, value in CAMPAIGN_ONLY.items()]
+    clients = dims.select(client.alias("s"), *client_columns, *markers)
+    attributes = clients.unionByName(dims.select(campaign.alias("s"), *shown)).select("s.combo", "s.attributes_id", *shown)
+    return SeriesFrame(daily, attributes.distinct())
 
 
 def beta_filter(df: DataFrame, email_column: str, emails: tuple[str, ...] | None) -> DataFrame:
@@ -148,8 +221,9 @@ def _margin_usd(star: Star, p: P.RunParams, clients: DataFrame, keys: list[str])
     Yearly constant rates first, daily rates where there is none.
     """
     since = F.lit(p.days_ago(p.live_window_days))
-    facts = (star.stats_2.where(F.col("day") >= since)
-             .select("day", "campaign_id", "tac_local", "revenue_local", "affiliate_currency_id").distinct()
+    raw = star.stats_2.where(F.col("day") >= since).select(
+        "day", "campaign_id", "tac_local", "revenue_local", "affiliate_currency_id")
+    facts = (in_scope(raw, clients, "campaign_id", p.broadcast_keys).distinct()
              .groupBy("campaign_id", "affiliate_currency_id", "day")
              .agg(F.coalesce(F.sum("revenue_local"), F.lit(0.0)).alias("revenue"),
                   F.coalesce(F.sum("tac_local"), F.lit(0.0)).alias("media"))
@@ -196,13 +270,16 @@ def _exec_clients(star: Star, columns: list[str]) -> DataFrame:
 
 
 def territory_daily(star: Star, p: P.RunParams) -> DataFrame:
-    return _margin_usd(star, p, _exec_clients(star, []), ["area", "region", "country"])
+    clients = stage(_exec_clients(star, []), "exec-clients")
+    return _margin_usd(star, p, clients, ["area", "region", "country"])
 
 
 def account_daily(star: Star, p: P.RunParams) -> DataFrame:
     """Territory margin per client; only clients with facts on each of the last days."""
-    live = live_keys(star.stats, "client_id", p.days_ago(p.required_days), p.yesterday, p.required_days)
-    clients = _exec_clients(star, ["client_id", "client_name"]).join(live, "client_id", "left_semi")
+    clients = stage(_exec_clients(star, ["client_id", "client_name"]), "exec-clients")
+    seen = in_scope(star.stats, clients, "client_id", p.broadcast_keys)
+    live = live_keys(seen, "client_id", p.days_ago(p.required_days), p.yesterday, p.required_days)
+    clients = stage(clients.join(live, "client_id", "left_semi"), "live-clients")
     return _margin_usd(star, p, clients, ["area", "region", "country", "client_name"])
 
 
@@ -212,14 +289,17 @@ def live_partners(star: Star, p: P.RunParams) -> DataFrame:
     partners = star.client.where(predicate(p.client_filter)).select(
         "partner_id", "ts_engineer_employee_id", "ranking", "partner_name", "campaign_id",
         F.col("vertical_level_2_name").alias("RTC_vertical"), "vertical_name", "global_account_name").distinct()
-    media = (star.stats_2.where(F.col("day").between(F.lit(p.days_ago(p.live_window_days)), F.lit(p.yesterday)))
-             .select("day", "campaign_id", F.col("tac_local").alias("tac")).distinct()
-             .groupBy("campaign_id", "day").agg(F.sum("tac").alias("tac")))
     named = owners.withColumnsRenamed({
         "owner_name": "TS_name", "owner_email": "ts_engineer_email", "cost_center": "ts_cost_center",
         "country": "ts_country", "subregion": "ts_subregion", "region": "ts_region"})
-    rows = (media.join(partners, "campaign_id")
-            .join(named, F.col("ts_engineer_employee_id") == F.col("employee_id")))
+    dims = stage(partners.join(named, F.col("ts_engineer_employee_id") == F.col("employee_id"))
+                 .select("campaign_id", *TAG_ATTRIBUTES), "partner-dims")
+    raw = star.stats_2.where(
+        F.col("day").between(F.lit(p.days_ago(p.live_window_days)), F.lit(p.yesterday))).select(
+        "day", "campaign_id", F.col("tac_local").alias("tac"))
+    media = (in_scope(raw, dims, "campaign_id", p.broadcast_keys).distinct()
+             .groupBy("campaign_id", "day").agg(F.sum("tac").alias("tac")))
+    rows = media.join(dims, "campaign_id")
     per_day = rows.groupBy(*TAG_ATTRIBUTES, "day").agg(F.sum("tac").alias("tac"))
     recent = F.col("day").isin(p.yesterday, p.days_ago(2))
     live = per_day.groupBy(*TAG_ATTRIBUTES).agg(
@@ -233,13 +313,49 @@ def tag_event_name() -> Column:
     return F.when(name == "page", "homepage").when(name == "itempageview", "product").otherwise(name)
 
 
-def tag_daily(star: Star, p: P.RunParams) -> DataFrame:
-    """Daily events per tag of every live partner."""
-    counted = (star.events.where(F.col("day") >= F.lit(p.days_ago(p.account_window_days)))
-               .groupBy("partner_id", "day", "site_type", tag_event_name().alias("event_name"))
-               .agg(F.sum("events").alias("events")))
+def _tag_counts(star: Star, p: P.RunParams, live: DataFrame) -> DataFrame:
+    raw = star.events.where(F.col("day") >= F.lit(p.days_ago(p.account_window_days)))
+    return (in_scope(raw, live, "partner_id", p.broadcast_keys)
+            .groupBy("partner_id", "day", "site_type", tag_event_name().alias("event_name"))
+            .agg(F.sum("events").alias("events")))
+
+
+def _reported_partners(star: Star, p: P.RunParams) -> DataFrame:
     live = live_partners(star, p).select(*TAG_ATTRIBUTES).withColumn(
         "ts_subregion", F.when(F.col("ts_cost_center") == "LM", "LATAM").otherwise(F.col("ts_subregion")))
-    return (counted.join(live, "partner_id")
+    return beta_filter(live, "ts_engineer_email", p.beta_emails)
+
+
+def tag_daily(star: Star, p: P.RunParams) -> DataFrame:
+    """Daily events per tag of every live partner."""
+    live = stage(_reported_partners(star, p), "live-partners")
+    return (_tag_counts(star, p, live).join(live, "partner_id")
             .groupBy(*TAG_ATTRIBUTES, "day", "site_type", "event_name")
             .agg(F.sum("events").alias("events")))
+
+
+def tag_series(star: Star, p: P.RunParams) -> SeriesFrame:
+    """Tags and their site totals as daily series, cleaned, in one aggregation.
+
+    ``row_id`` keeps tag rows apart that only look alike after cleaning; site
+    totals are formed over the cleaned attributes. The attributes returned are
+    those of the partners (no ``combo`` yet).
+    """
+    live = _reported_partners(star, p).withColumn("raw_id", F.xxhash64(*TAG_ATTRIBUTES))
+    live = clean_data(live).withColumn("attributes_id", F.xxhash64(*TAG_ATTRIBUTES))
+    live = stage(live, "live-partners")
+    site, event = F.coalesce("site_type", F.lit("0")), F.coalesce("event_name", F.lit("0"))
+
+    def level(site: Column, event: Column, row_id: Column) -> Column:
+        combo = F.concat_ws(" ", "partner_name", event, F.lit("on"), site, F.lit("managed by"), "TS_name")
+        return F.struct(combo.alias("combo"), site.alias("site_type"), event.alias("event_name"), row_id.alias("row_id"))
+
+    total = F.lit(P.SITE_LEVEL)
+    rows = _tag_counts(star, p, live).join(
+        live.select("partner_id", "partner_name", "TS_name", "raw_id", "attributes_id"), "partner_id")
+    rows = rows.select("attributes_id", "day", "events", F.explode(F.array(
+        level(site, event, F.xxhash64("raw_id", "site_type", "event_name")),
+        level(total, total, F.lit(0).cast("bigint")))).alias("s"))
+    daily = rows.groupBy("s.combo", "attributes_id", "s.site_type", "s.event_name", "s.row_id", "day").agg(
+        F.coalesce(F.sum("events"), F.lit(0)).alias("events")).drop("row_id")
+    return SeriesFrame(daily, live.select("attributes_id", *TAG_ATTRIBUTES).distinct())

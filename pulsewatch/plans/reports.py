@@ -10,6 +10,7 @@ from pulsewatch.functions import links as L
 from pulsewatch.functions import texts as X
 from pulsewatch.operators.numbering import document_part, number_rows
 from pulsewatch.operators.reshape import kpi_order
+from pulsewatch.plans.features import with_attributes
 
 # ---- fixed values: chart axes and chat texts --------------------------------
 MONEY_KPIS = ("spend", "rext")
@@ -181,11 +182,11 @@ def chart_axis(long: DataFrame) -> DataFrame:
                        "n_ticks", "first_tick")
 
 
-def account_chart_input(cleaned: DataFrame, alerts: DataFrame) -> DataFrame:
+def account_chart_input(cleaned: DataFrame, attributes: DataFrame, alerts: DataFrame) -> DataFrame:
     """Alerted (combo, kpi) pairs with their history, long."""
     pairs = alerts.select("combo", "kpi").distinct()
-    rows = cleaned.join(pairs.select("combo").distinct(), "combo", "left_semi").select(
-        "combo", "currency_code", "day", *P.ALERT_KPIS)
+    rows = cleaned.join(pairs.select("combo").distinct(), "combo", "left_semi")
+    rows = with_attributes(rows, attributes, "currency_code").select("combo", "currency_code", "day", *P.ALERT_KPIS)
     return rows.unpivot(["combo", "currency_code", "day"], list(P.ALERT_KPIS), "kpi", "value").join(
         pairs, ["combo", "kpi"], "left_semi")
 

@@ -6,42 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsewatch import params as P
-from pulsewatch.functions.cleaning import clean_data
 from pulsewatch.operators.calendar import calendar_fill
 from pulsewatch.operators.detector import detector_flags, detector_stats
 from pulsewatch.operators.numbering import document_part
 from pulsewatch.operators.quantiles import oversized_keys
 from pulsewatch.plans.account_alerts import Detection
-from pulsewatch.plans.features import TAG_ATTRIBUTES, beta_filter, tag_daily
+from pulsewatch.plans.features import TAG_ATTRIBUTES, SeriesFrame, tag_series
 from pulsewatch.sources.stage import stage
 from pulsewatch.sources.warehouse import Star, require_rows
 
 RESULT_COLUMNS = [*TAG_ATTRIBUTES, "site_type", "event_name", "combo"]
 
 
-def tag_rows(star: Star, p: P.RunParams) -> DataFrame:
-    tags = require_rows(stage(clean_data(tag_daily(star, p)), "tag-daily"), "tag features")
-    return beta_filter(tags, "ts_engineer_email", p.beta_emails)
+def tag_rows(star: Star, p: P.RunParams) -> SeriesFrame:
+    """Tag and site series, staged once."""
+    series = tag_series(star, p)
+    daily = require_rows(stage(series.daily, "tag-daily"), "tag features")
+    names = daily.select("combo", "attributes_id", "site_type", "event_name").distinct()
+    return SeriesFrame(daily, stage(names.join(series.attributes, "attributes_id"), "tag-attributes"))
 
 
-def tag_series(tags: DataFrame) -> DataFrame:
-    """Tag rows and their site totals, named by partner, tag, site and owner."""
-    sites = tags.groupBy(*TAG_ATTRIBUTES, "day").agg(F.sum("events").alias("events")).withColumns(
-        {"site_type": F.lit(P.SITE_LEVEL), "event_name": F.lit(P.SITE_LEVEL)})
-    return tags.unionByName(sites).withColumn("combo", F.concat_ws(
-        " ", "partner_name", "event_name", F.lit("on"), "site_type", F.lit("managed by"), "TS_name"))
-
-
-def detect_tags(tags: DataFrame, p: P.RunParams) -> Detection:
-    series = stage(tag_series(tags), "tag-series")
-    large = oversized_keys(series, "combo", p.oversized_rows)
-    cleaned = calendar_fill(series, "combo", ["events"], large)
+def detect_tags(series: SeriesFrame, p: P.RunParams) -> Detection:
+    large = oversized_keys(series.daily, "combo", p.oversized_rows)
+    cleaned = calendar_fill(series.daily, "combo", ["events"], large)
     stats = detector_stats(cleaned, "combo", ["events"], p.yesterday, large)
     flags = detector_flags(stats, {"events": P.rule_for("events")}, p.yesterday)
-    results = (series.select(*RESULT_COLUMNS).distinct()
+    results = (series.attributes.select(*RESULT_COLUMNS).distinct()
                .join(flags.select("combo", "is_alert"), "combo")
                .select(*RESULT_COLUMNS, F.lit(p.today).alias("run_date"), "is_alert"))
-    return Detection(results, cleaned, flags)
+    return Detection(results, cleaned, flags, series.attributes)
 
 
 def tag_level(df: DataFrame) -> DataFrame:

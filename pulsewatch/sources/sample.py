@@ -14,224 +14,164 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from pulsewatch.sources.warehouse import Star
 
 TODAY = date(2024, 3, 1)
 YESTERDAY = date(2024, 2, 29)
-MISSING_DAY = date(2024, 1, 20)
 
-
-def _pick(value: Column, cases: dict, other) -> Column:
-    chain = None
-    for key, result in cases.items():
-        chain = (F.when if chain is None else chain.when)(value == key, result)
-    return chain.otherwise(other)
-
-
-def _days_back(key: str, window: int) -> Column:
-    return F.date_sub(F.lit(TODAY), (F.lit(1) + F.col(key) % window).cast("int"))
+_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_nationkey INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE",
+    "events": "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING",
+}
+
+_LAST = "day = DATE '2024-02-29'"
+_GAPS = f"""NOT (digit = 4 AND {_LAST})
+  AND NOT (digit = 5 AND dayofyear(day) % 2 = 0 AND day < DATE '2024-02-28')
+  AND NOT (digit = 6 AND day IN (DATE '2024-02-15', DATE '2024-02-16'))"""
+_LAST_DAY_FACTOR = f"CASE WHEN {_LAST} AND digit = 1 THEN 4D WHEN {_LAST} AND digit = 2 THEN 0.0625D ELSE 1D END"
+_TAC_FACTOR = f"CASE WHEN {_LAST} AND digit = 3 THEN 1.5D WHEN digit = 7 THEN 1.25D ELSE 1D END"
+_PRICE = "CAST(floor(l_extendedprice) AS DOUBLE)"
+_COST = f"CAST(floor({_PRICE} * (1 - l_discount)) AS DOUBLE)"
+_ALL_DAYS = "explode(sequence(DATE '2024-01-01', DATE '2024-02-29')) AS day"
 
 
 def _employee(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    return customer.select(
-        key.cast("bigint").alias("employee_id"),
-        F.concat("c_mktsegment", F.lit(" C"), key.cast("string")).alias("full_name"),
-        F.lower(F.concat("c_mktsegment", F.lit("."), key.cast("string"), F.lit("@example.test"))).alias("email"),
-        F.col("c_nationkey").cast("int").alias("country"),
-        F.when(F.col("c_nationkey") % 5 == 1, "LM").otherwise("US").alias("cost_center_country"),
-        _pick(key % 4, {0: "TIE", 1: "IAP", 2: "TIE"}, "OTHER").alias("cost_center_activity"),
-        F.when(key % 2 == 0, "T1 STRATEGIST").otherwise("T2 STRATEGIST").alias("job_name"),
-        F.when(key % 25 != 24, F.floor(key / 10)).cast("bigint").alias("direct_reports_id"),
-    )
+    return customer.selectExpr(
+        "c_custkey AS employee_id", "concat(c_mktsegment, ' C', c_custkey) AS full_name",
+        "lower(concat(c_mktsegment, '.', c_custkey, '@example.test')) AS email", "c_nationkey AS country",
+        "if(c_nationkey % 5 = 1, 'LM', 'US') AS cost_center_country",
+        "CASE c_custkey % 4 WHEN 1 THEN 'IAP' WHEN 3 THEN 'OTHER' ELSE 'TIE' END AS cost_center_activity",
+        "if(c_custkey % 2 = 0, 'T1 STRATEGIST', 'T2 STRATEGIST') AS job_name",
+        "if(c_custkey % 25 <> 24, c_custkey div 10, NULL) AS direct_reports_id")
 
 
 def _client(supplier: DataFrame) -> DataFrame:
-    key, digit = F.col("s_suppkey"), F.col("s_suppkey") % 10
-    place = F.col("s_nationkey") % 8
-    text = key.cast("string")
-    rows = supplier.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("c"))
-    return rows.select(
-        key.cast("bigint").alias("client_id"),
-        F.concat(F.lit("client "), text).alias("client_name"),
-        (key * 10 + F.col("c")).cast("bigint").alias("campaign_id"),
-        F.concat(F.lit("campaign "), F.col("c").cast("string")).alias("campaign_name"),
-        F.floor(key / 3).cast("bigint").alias("account_strategist_employee_id"),
-        F.floor(key / 4).cast("bigint").alias("ts_engineer_employee_id"),
-        (1 + key % 3).cast("int").alias("client_currency_id"),
-        key.cast("bigint").alias("partner_id"),
-        F.concat(F.lit("partner "), text).alias("partner_name"),
-        F.when(key % 3 == 0, "TIER 2").otherwise("TIER 1").alias("ranking"),
-        F.when(F.col("c") == 0, "WEB").otherwise("APP").alias("campaign_scenario_product_level_1_name"),
-        F.when(key % 2 == 0, "CONVERSION").otherwise("TRAFFIC").alias("campaign_type_name"),
-        (key % 4).cast("int").alias("campaign_revenue_type"),
-        (1 + F.col("c")).cast("int").alias("campaign_funnel_id"),
-        F.when(digit != 8, F.concat(F.lit("vertical "), (key % 6).cast("string"))).alias("vertical_name"),
-        F.when(digit != 8, F.concat(F.lit("group "), (key % 2).cast("string"))).alias("vertical_level_2_name"),
-        _pick(digit, {8: F.lit(None).cast("string"), 9: "FILLER"}, "RETAIL").alias("vertical_level_3_name"),
-        F.concat(F.lit("global "), (key % 7).cast("string")).alias("global_account_name"),
-        _pick(place, {0: "US", 1: "CANADA", 2: "BRAZIL", 3: "ARGENTINA", 4: "MEXICO", 5: "PERU",
-                      6: "CHILE"}, "FRANCE").alias("client_country_name"),
-        _pick(place, {0: "US", 1: "CANADA", 2: "BRAZIL", 7: "FRANCE"}, "SOUTH AMERICA")
-        .alias("client_country_level_1_name"),
-        _pick(place, {0: "NORTH AMERICA", 1: "NORTH AMERICA", 7: "SEMEA"}, "LATAM")
-        .alias("client_country_level_2_name"),
-        F.when(place == 7, "EMEA").otherwise("AMERICAS").alias("client_country_level_3_name"),
-    )
-
-
-def _with_noted_gaps(rows: DataFrame, digit: Column) -> DataFrame:
-    day = F.col("day")
-    return rows.where(
-        ~((digit == 4) & (day == F.lit(YESTERDAY)))
-        & ~((digit == 5) & (F.dayofyear(day) % 2 == 0) & (day < F.lit(date(2024, 2, 28))))
-        & ~((digit == 6) & day.isin(date(2024, 2, 15), date(2024, 2, 16))))
-
-
-def _last_day_factor(digit: Column) -> Column:
-    return F.when(F.col("day") == F.lit(YESTERDAY), _pick(digit, {1: 4.0, 2: 0.0625}, 1.0)).otherwise(1.0)
-
-
-def _tac_factor(digit: Column) -> Column:
-    return (F.when((F.col("day") == F.lit(YESTERDAY)) & (digit == 3), 1.5)
-            .when(digit == 7, 1.25).otherwise(1.0))
+    rows = supplier.selectExpr("*", "s_suppkey % 10 AS digit", "s_nationkey % 8 AS place", "explode(array(0, 1)) AS c")
+    return rows.selectExpr(
+        "s_suppkey AS client_id", "concat('client ', s_suppkey) AS client_name", "s_suppkey * 10 + c AS campaign_id",
+        "concat('campaign ', c) AS campaign_name", "s_suppkey div 3 AS account_strategist_employee_id",
+        "s_suppkey div 4 AS ts_engineer_employee_id", "CAST(1 + s_suppkey % 3 AS INT) AS client_currency_id",
+        "s_suppkey AS partner_id", "concat('partner ', s_suppkey) AS partner_name",
+        "if(s_suppkey % 3 = 0, 'TIER 2', 'TIER 1') AS ranking",
+        "if(c = 0, 'WEB', 'APP') AS campaign_scenario_product_level_1_name",
+        "if(s_suppkey % 2 = 0, 'CONVERSION', 'TRAFFIC') AS campaign_type_name",
+        "CAST(s_suppkey % 4 AS INT) AS campaign_revenue_type", "1 + c AS campaign_funnel_id",
+        "if(digit <> 8, concat('vertical ', s_suppkey % 6), NULL) AS vertical_name",
+        "if(digit <> 8, concat('group ', s_suppkey % 2), NULL) AS vertical_level_2_name",
+        "CASE digit WHEN 8 THEN NULL WHEN 9 THEN 'FILLER' ELSE 'RETAIL' END AS vertical_level_3_name",
+        "concat('global ', s_suppkey % 7) AS global_account_name",
+        "elt(place + 1, 'US', 'CANADA', 'BRAZIL', 'ARGENTINA', 'MEXICO', 'PERU', 'CHILE', 'FRANCE') AS client_country_name",
+        "elt(place + 1, 'US', 'CANADA', 'BRAZIL', 'SOUTH AMERICA', 'SOUTH AMERICA', 'SOUTH AMERICA', 'SOUTH AMERICA', "
+        "'FRANCE') AS client_country_level_1_name",
+        "CASE WHEN place < 2 THEN 'NORTH AMERICA' WHEN place = 7 THEN 'SEMEA' ELSE 'LATAM' END "
+        "AS client_country_level_2_name",
+        "if(place = 7, 'EMEA', 'AMERICAS') AS client_country_level_3_name")
 
 
 def _stats(lineitem: DataFrame) -> DataFrame:
-    digit = F.col("client_id") % 10
-    rows = lineitem.select(
-        _days_back("l_orderkey", 60).alias("day"),
-        F.col("l_suppkey").cast("bigint").alias("client_id"),
-        (F.col("l_suppkey") * 10 + F.col("l_linenumber") % 2).cast("bigint").alias("campaign_id"),
-        (1 + F.col("l_partkey") % 3).cast("int").alias("affiliate_currency_id"),
-        F.col("l_quantity").alias("q"),
-        F.floor("l_extendedprice").cast("double").alias("p"),
-        F.floor(F.floor("l_extendedprice").cast("double") * (1 - F.col("l_discount"))).cast("double").alias("cost"),
-        F.floor(F.floor("l_extendedprice").cast("double") * 5 * (1 + F.col("l_tax"))).cast("double").alias("ov"))
-    rows = _with_noted_gaps(rows.where(F.col("day") != F.lit(MISSING_DAY)), digit)
-    facts = rows.select(
-        "day", "campaign_id", "client_id",
-        (F.col("q") * 20).alias("displays"), F.col("q").alias("clicks"),
-        F.floor(F.col("q") / 5).cast("double").alias("sales_all_post_click"),
-        F.col("ov").alias("order_value_all_post_click_local"),
-        (F.col("p") * _last_day_factor(digit)).alias("revenue_local"),
-        (F.col("cost") * _last_day_factor(digit) * _tac_factor(digit)).alias("tac_local"),
-        "affiliate_currency_id")
-    facts = facts.withColumns({"revenue_euro": F.col("revenue_local") * 0.875,
-                               "tac_euro": F.col("tac_local") * 0.875})
-    # some facts were loaded twice
-    copies = F.when(F.col("clicks") >= 45, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return facts.withColumn("copy", F.explode(copies)).drop("copy")
+    rows = lineitem.selectExpr(
+        "date_sub(DATE '2024-03-01', CAST(1 + l_orderkey % 60 AS INT)) AS day", "l_suppkey AS client_id",
+        "l_suppkey % 10 AS digit", "l_suppkey * 10 + l_linenumber % 2 AS campaign_id",
+        "CAST(1 + l_partkey % 3 AS INT) AS affiliate_currency_id", "l_quantity AS q", f"{_PRICE} AS p", f"{_COST} AS cost",
+        f"CAST(floor({_PRICE} * 5 * (1 + l_tax)) AS DOUBLE) AS ov")
+    rows = rows.where("day <> DATE '2024-01-20'").where(_GAPS)
+    rows = rows.selectExpr("*", f"p * {_LAST_DAY_FACTOR} AS revenue", f"cost * {_LAST_DAY_FACTOR} * {_TAC_FACTOR} AS media")
+    return rows.selectExpr(
+        "day", "campaign_id", "client_id", "q * 20 AS displays", "q AS clicks",
+        "CAST(floor(q / 5) AS DOUBLE) AS sales_all_post_click", "ov AS order_value_all_post_click_local",
+        "revenue AS revenue_local", "media AS tac_local", "revenue * 0.875D AS revenue_euro", "media * 0.875D AS tac_euro",
+        "affiliate_currency_id",
+        # some facts were loaded twice
+        "explode(if(q >= 45, array(0, 1), array(0))) AS copy").drop("copy")
 
 
 def _stats_2(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
-    digit = F.col("s_suppkey") % 10
-    rows = lineitem.join(supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-    rows = rows.select(
-        _days_back("l_orderkey", 30).alias("day"), "s_suppkey", "s_nationkey",
-        (F.col("l_suppkey") * 10 + F.col("l_linenumber") % 2).cast("bigint").alias("campaign_id"),
-        (1 + F.col("l_partkey") % 3).cast("int").alias("affiliate_currency_id"),
-        F.floor("l_extendedprice").cast("double").alias("p"),
-        F.floor(F.floor("l_extendedprice").cast("double") * (1 - F.col("l_discount"))).cast("double").alias("cost"))
-    rows = _with_noted_gaps(rows, digit)
-    brazil = F.when((F.col("day") == F.lit(YESTERDAY)) & (F.col("s_nationkey") % 8 == 2), 8.0).otherwise(1.0)
-    return rows.select(
-        "day", "campaign_id",
-        (F.col("cost") * _last_day_factor(digit) * _tac_factor(digit)).alias("tac_local"),
-        (F.col("p") * _last_day_factor(digit) * brazil).alias("revenue_local"),
-        "affiliate_currency_id")
+    rows = lineitem.join(supplier.withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey").selectExpr(
+        "date_sub(DATE '2024-03-01', CAST(1 + l_orderkey % 30 AS INT)) AS day", "l_suppkey % 10 AS digit",
+        "s_nationkey % 8 AS place", "l_suppkey * 10 + l_linenumber % 2 AS campaign_id",
+        "CAST(1 + l_partkey % 3 AS INT) AS affiliate_currency_id", f"{_PRICE} AS p", f"{_COST} AS cost")
+    return rows.where(_GAPS).selectExpr(
+        "day", "campaign_id", f"cost * {_LAST_DAY_FACTOR} * {_TAC_FACTOR} AS tac_local",
+        f"p * {_LAST_DAY_FACTOR} * if({_LAST} AND place = 2, 8D, 1D) AS revenue_local", "affiliate_currency_id")
 
 
 def _pairs(region: DataFrame, sources: int) -> DataFrame:
     """Currency pairs: the first regions stand for currencies 1 to 3."""
-    return (region.where(F.col("r_regionkey") < sources)
-            .select((F.col("r_regionkey") + 1).cast("int").alias("source_currency_id"),
-                    F.explode(F.sequence(F.lit(1), F.lit(3))).alias("destination_currency_id")))
+    return region.where(f"r_regionkey < {sources}").selectExpr(
+        "r_regionkey + 1 AS source_currency_id", "explode(array(1, 2, 3)) AS destination_currency_id")
 
 
 def _fx_daily(region: DataFrame) -> DataFrame:
-    s, t = F.col("source_currency_id"), F.col("destination_currency_id")
-    rows = _pairs(region, 3).withColumn(
-        "day", F.explode(F.sequence(F.lit(date(2024, 1, 1)), F.lit(YESTERDAY))))
-    rate = F.when(s == t, 1.0).otherwise(
-        F.lit(1.0) + F.lit(0.125) * (s - t) + (F.dayofyear("day") % 5) / F.lit(1024.0))
-    return (rows.where(~((s == 3) & (t == 1) & (F.dayofyear("day") % 7 == 0)))
-            .select("source_currency_id", "destination_currency_id", "day", rate.alias("rate")))
+    rows = _pairs(region, 3).selectExpr("*", _ALL_DAYS)
+    return rows.where("NOT (source_currency_id = 3 AND destination_currency_id = 1 AND dayofyear(day) % 7 = 0)").selectExpr(
+        "source_currency_id", "destination_currency_id", "day",
+        "if(source_currency_id = destination_currency_id, 1D, 1D + 0.125D * (source_currency_id - destination_currency_id) "
+        "+ (dayofyear(day) % 5) / 1024D) AS rate")
 
 
 def _fx_year(region: DataFrame) -> DataFrame:
-    s, t = F.col("source_currency_id"), F.col("destination_currency_id")
-    rows = _pairs(region, 2).withColumn("forecast_type_id", F.explode(F.sequence(F.lit(0), F.lit(1))))
-    return rows.select(
-        "source_currency_id", "destination_currency_id", F.lit(2024).alias("year_code"), "forecast_type_id",
-        (F.lit(1.0) + F.lit(0.125) * (s - t) + F.col("forecast_type_id") * 8).alias("rate"))
+    return _pairs(region, 2).selectExpr("*", "2024 AS year_code", "explode(array(0, 1)) AS forecast_type_id").selectExpr(
+        "*", "1D + 0.125D * (source_currency_id - destination_currency_id) + forecast_type_id * 8 AS rate")
 
 
 def _events(events: DataFrame) -> DataFrame:
-    digit = F.col("partner_id") % 10
-    tags = events.select(
-        F.col("user_id").cast("bigint").alias("partner_id"),
-        F.when(F.col("event_id") % 3 == 0, "m")
-        .when((F.col("event_id") % 3 == 1) & (F.col("user_id") % 10 == 3), "unknown")
-        .otherwise("d").alias("site_type"),
-        _pick(F.col("event_type"), {"view": "page", "click": "itempageview", "purchase": "sales",
-                                    "signup": "basket"}, "homepage").alias("event_name"))
-    tags = tags.groupBy("partner_id", "site_type", "event_name").agg(F.count(F.lit(1)).alias("c"))
-    rows = tags.withColumn("day", F.explode(F.sequence(F.lit(date(2024, 1, 1)), F.lit(YESTERDAY))))
-    usual = 400 + (F.dayofyear("day") * 37 + F.col("partner_id") * 11 + F.col("c")) % 60
-    last = F.col("day") == F.lit(YESTERDAY)
-    seen = (F.when(last & (digit == 1) & (F.col("site_type") == "m"), F.floor(usual / 5))
-            .when(last & (digit == 2) & (F.col("event_name") == "sales"), 0)
-            .otherwise(usual).cast("bigint"))
-    kept = rows.where((F.col("day") != F.lit(MISSING_DAY))
-                      & ~((digit == 6) & (F.col("day") == F.lit(date(2024, 2, 15)))))
-    return kept.select("partner_id", "day", "site_type", "event_name", seen.alias("events"))
+    tags = events.selectExpr(
+        "user_id AS partner_id",
+        "CASE WHEN event_id % 3 = 0 THEN 'm' WHEN event_id % 3 = 1 AND user_id % 10 = 3 THEN 'unknown' ELSE 'd' END AS site_type",
+        "CASE event_type WHEN 'view' THEN 'page' WHEN 'click' THEN 'itempageview' WHEN 'purchase' THEN 'sales' "
+        "WHEN 'signup' THEN 'basket' ELSE 'homepage' END AS event_name")
+    rows = tags.groupBy("partner_id", "site_type", "event_name").count().selectExpr(
+        "*", "partner_id % 10 AS digit", _ALL_DAYS)
+    rows = rows.where("day <> DATE '2024-01-20' AND NOT (digit = 6 AND day = DATE '2024-02-15')").selectExpr(
+        "*", "400 + (dayofyear(day) * 37 + partner_id * 11 + count) % 60 AS usual")
+    return rows.selectExpr(
+        "partner_id", "day", "site_type", "event_name",
+        f"CASE WHEN {_LAST} AND digit = 1 AND site_type = 'm' THEN usual div 5 "
+        f"WHEN {_LAST} AND digit = 2 AND event_name = 'sales' THEN 0 ELSE usual END AS events")
 
 
 def _import_reports(events: DataFrame) -> DataFrame:
-    loaded = events.groupBy("event_type").agg(F.max("ts").alias("last_ts"))
-    return loaded.select(
-        F.lit("schema_1").alias("table_schema"),
-        F.concat("event_type", F.lit("_table")).alias("table_name"),
-        F.timestamp_add("DAY", F.when(F.col("event_type") == "error", 29).otherwise(31),
-                        F.date_trunc("day", "last_ts")).alias("update_time"))
+    return events.groupBy("event_type").agg({"ts": "max"}).selectExpr(
+        "'schema_1' AS table_schema", "concat(event_type, '_table') AS table_name",
+        "timestampadd(DAY, if(event_type = 'error', 29, 31), date_trunc('day', `max(ts)`)) AS update_time")
 
 
 def _run_history(orders: DataFrame) -> DataFrame:
-    return orders.select(
-        F.date_sub(F.lit(TODAY), (F.col("o_orderkey") % 40).cast("int")).alias("run_date"),
-        F.concat(F.lit("job_"), F.lower("o_orderstatus")).alias("script"),
-        F.concat(F.lit("geo "), (F.col("o_custkey") % 200).cast("string")).alias("geo")).distinct()
+    return orders.selectExpr(
+        "date_sub(DATE '2024-03-01', CAST(o_orderkey % 40 AS INT)) AS run_date",
+        "concat('job_', lower(o_orderstatus)) AS script", "concat('geo ', o_custkey % 200) AS geo").distinct()
 
 
 def _sent_history(employee: DataFrame) -> DataFrame:
-    name = F.concat(F.initcap(F.split("full_name", " ")[0]), F.lit(" "), F.split("full_name", " ")[1])
-    return employee.where(F.col("employee_id") % 5 == 2).select(
-        F.lit(TODAY).alias("run_date"), F.col("email").alias("to"),
-        F.concat(F.lit("KPI AS Alert for "), name).alias("subject"))
+    return employee.where("employee_id % 5 = 2").selectExpr(
+        "DATE '2024-03-01' AS run_date", "email AS to", "concat('KPI AS Alert for ', initcap(full_name)) AS subject")
 
 
 def sample_star(spark: SparkSession, sf_dir: str) -> Star:
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    region, nation, supplier = table("region"), table("nation"), table("supplier")
-    lineitem, events = table("lineitem"), table("events")
-    employee = _employee(table("customer"))
-    currency = region.where(F.col("r_regionkey") < 3).select(
-        (F.col("r_regionkey") + 1).cast("int").alias("currency_id"),
-        _pick(F.col("r_regionkey"), {0: "EUR", 1: "USD"}, "BRL").alias("currency_code"))
-    country = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").cast("int").alias("country_code"),
-        F.col("n_name").alias("country_level_1_name"),
-        F.concat("r_name", F.lit(" AREA")).alias("country_level_2_name"),
-        F.col("r_name").alias("country_level_3_name"))
+        return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
     return Star(
-        employee=employee, client=_client(supplier), currency=currency, country=country,
-        stats=_stats(lineitem), stats_2=_stats_2(lineitem, supplier),
-        fx_daily=_fx_daily(region), fx_year=_fx_year(region), events=_events(events),
-        import_reports=_import_reports(events), run_history=_run_history(table("orders")),
-        sent_history=_sent_history(employee))
+        employee=lambda: _employee(table("customer")),
+        client=lambda: _client(table("supplier")),
+        currency=lambda: table("region").where("r_regionkey < 3").selectExpr(
+            "r_regionkey + 1 AS currency_id", "elt(r_regionkey + 1, 'EUR', 'USD', 'BRL') AS currency_code"),
+        country=lambda: table("nation").join(table("region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
+        .selectExpr("n_nationkey AS country_code", "n_name AS country_level_1_name",
+                    "concat(r_name, ' AREA') AS country_level_2_name", "r_name AS country_level_3_name"),
+        stats=lambda: _stats(table("lineitem")),
+        stats_2=lambda: _stats_2(table("lineitem"), table("supplier")),
+        fx_daily=lambda: _fx_daily(table("region")),
+        fx_year=lambda: _fx_year(table("region")),
+        events=lambda: _events(table("events")),
+        import_reports=lambda: _import_reports(table("events")),
+        run_history=lambda: _run_history(table("orders")),
+        sent_history=lambda: _sent_history(_employee(table("customer"))))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, fields
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -44,22 +44,22 @@ SCHEMAS = {
 # -----------------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
 class Star:
-    """One DataFrame per warehouse table."""
-
-    employee: DataFrame
-    client: DataFrame
-    currency: DataFrame
-    country: DataFrame
-    stats: DataFrame
-    stats_2: DataFrame
-    fx_daily: DataFrame
-    fx_year: DataFrame
-    events: DataFrame
-    import_reports: DataFrame
-    run_history: DataFrame
-    sent_history: DataFrame
+    """The warehouse tables as attributes; a table is opened when first used."""
+
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+        missing = SCHEMAS.keys() - tables.keys()
+        if missing:
+            raise ValueError(f"missing tables: {', '.join(sorted(missing))}")
+        self._tables = dict(tables)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._tables:
+            raise AttributeError(name)
+        table = self._tables[name]
+        if not isinstance(table, DataFrame):
+            table = self._tables[name] = table()
+        return table
 
 
 def read_table(spark: SparkSession, name: str, location: str | Mapping[str, str],
@@ -78,7 +78,7 @@ def read_table(spark: SparkSession, name: str, location: str | Mapping[str, str]
 
 def load_star(spark: SparkSession, locations: Mapping[str, str | Mapping[str, str]],
               fmt: str = "parquet") -> Star:
-    return Star(**{f.name: read_table(spark, f.name, locations[f.name], fmt) for f in fields(Star)})
+    return Star(**{name: partial(read_table, spark, name, locations[name], fmt) for name in SCHEMAS})
 
 
 class EmptySourceError(RuntimeError):
