@@ -38,10 +38,9 @@ class Detection:
 
 
 def account_rows(star: Star, p: P.RunParams, without: tuple[str, ...] = ()) -> SeriesFrame:
-    """Client and campaign series, staged once."""
+    """Client and campaign series; the daily rows are staged, the dimension already is."""
     series = account_series(star, p, without)
-    return SeriesFrame(require_rows(stage(series.daily, "account-daily"), "account features"),
-                       stage(series.attributes, "account-attributes"))
+    return SeriesFrame(require_rows(stage(series.daily, "account-daily"), "account features"), series.attributes)
 
 
 def eligible_rows(daily: DataFrame, p: P.RunParams) -> DataFrame:

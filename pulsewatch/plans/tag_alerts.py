@@ -19,11 +19,11 @@ RESULT_COLUMNS = [*TAG_ATTRIBUTES, "site_type", "event_name", "combo"]
 
 
 def tag_rows(star: Star, p: P.RunParams) -> SeriesFrame:
-    """Tag and site series, staged once."""
+    """Tag and site series; the daily rows are staged, the partners already are."""
     series = tag_series(star, p)
     daily = require_rows(stage(series.daily, "tag-daily"), "tag features")
     names = daily.select("combo", "attributes_id", "site_type", "event_name").distinct()
-    return SeriesFrame(daily, stage(names.join(series.attributes, "attributes_id"), "tag-attributes"))
+    return SeriesFrame(daily, names.join(series.attributes, "attributes_id"))
 
 
 def detect_tags(series: SeriesFrame, p: P.RunParams) -> Detection:
