@@ -41,6 +41,18 @@ def rows_of(columns, rows):
                                    key=lambda r: tuple((v is None, str(type(v)), v) for v in r))
 
 
+_FAMILIES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE",
+    "timestamp": "TIMESTAMP"}
+
+
+def type_differences(df, description):
+    """Columns whose types differ between the engines."""
+    want = {c[0]: str(c[1]).upper() for c in description}
+    return [f"{name}: {kind} / {want.get(name)}" for name, kind in df.dtypes
+            if not want.get(name, "").startswith(_FAMILIES.get(kind, kind.upper()))]
+
+
 def compare(spark, con, build, sql, sf_dir):
     """(number of rows, first difference or None)."""
     df = build(spark, sf_dir)
@@ -57,7 +69,8 @@ def compare(spark, con, build, sql, sf_dir):
     for a, b in zip(got, want):
         if a != b:
             return len(got), f"{a} != {b}"
-    return len(got), None
+    types = type_differences(df, cur.description)
+    return len(got), f"types {types}" if types else None
 
 
 if __name__ == "__main__":
