@@ -12,24 +12,22 @@ def ratio(numerator: str, denominator: str) -> Column:
     return F.try_divide(F.col(numerator).cast("double"), F.col(denominator).cast("double"))
 
 
-def clean_column(name: str, dtype: T.DataType) -> Column:
-    col = F.col(name)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        usable = col.isNotNull() & ~F.isnan(col) & (F.abs(col) != F.lit(float("inf")))
-        return F.when(usable, col).otherwise(F.lit(0.0).cast(dtype)).alias(name)
-    if isinstance(dtype, T.StringType):
-        return F.coalesce(col, F.lit("0")).alias(name)
-    if isinstance(dtype, T.NumericType):
-        return F.coalesce(col, F.lit(0).cast(dtype)).alias(name)
+def _cleaned(name: str, kind: T.DataType) -> str:
+    col = f"`{name}`"
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        # null is not less than infinity either
+        return f"CASE WHEN NOT isnan({col}) AND abs({col}) < double('infinity') THEN {col} ELSE 0D END AS {col}"
+    if isinstance(kind, T.StringType):
+        return f"coalesce({col}, '0') AS {col}"
+    if isinstance(kind, T.NumericType):
+        return f"coalesce({col}, CAST(0 AS {kind.simpleString()})) AS {col}"
     return col
 
 
 def clean_data(df: DataFrame, keep: tuple[str, ...] = ("day",)) -> DataFrame:
     """Null, NaN and infinite values become 0, null text becomes "0"."""
-    return df.select(*[
-        F.col(f.name) if f.name in keep else clean_column(f.name, f.dataType)
-        for f in df.schema.fields
-    ])
+    return df.selectExpr(*[
+        f"`{f.name}`" if f.name in keep else _cleaned(f.name, f.dataType) for f in df.schema.fields])
 
 
 def with_kpi_ratios(df: DataFrame) -> DataFrame:

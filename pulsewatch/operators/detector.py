@@ -20,41 +20,27 @@ def detector_stats(df: DataFrame, key: str, metrics: list[str], yesterday: date,
     All metrics are aggregated side by side in one shuffle on the series key
     and unpivoted afterwards, so the daily rows are never multiplied.
     """
-    on_yesterday = F.col("day") == F.lit(yesterday)
-    on_day_before = F.col("day") == F.lit(yesterday - timedelta(days=1))
+    on_yesterday = f"day = DATE '{yesterday}'"
+    on_day_before = f"day = DATE '{yesterday - timedelta(days=1)}'"
     aggregates = [
-        F.count(F.lit(1)).alias("n_rows"),
-        F.max("day").alias("last_day"),
-        F.count_if(on_yesterday).alias("n_yesterday"),
-        *(extra or []),
-    ]
+        "count(1) AS n_rows", "max(day) AS last_day", f"count_if({on_yesterday}) AS n_yesterday"]
     for m in metrics:
         aggregates += [
-            F.avg(m).alias(f"{m}__mean"),
-            F.var_samp(m).alias(f"{m}__variance"),
-            F.max(F.when(on_yesterday, F.col(m))).alias(f"{m}__value"),
-            F.min(F.when(on_day_before, F.col(m))).alias(f"{m}__before"),
-        ]
-    profile = series_profile(df, key, aggregates, metrics, [0.25, 0.5, 0.75], oversized)
-    per_kpi = F.explode(F.array(*[F.struct(
-        F.lit(m).alias("kpi"),
-        F.col(f"{m}__mean").alias("mean"),
-        F.col(f"{m}__variance").alias("variance"),
-        F.element_at(f"{m}__q", 1).alias("q1"),
-        F.element_at(f"{m}__q", 2).alias("median"),
-        F.element_at(f"{m}__q", 3).alias("q3"),
-        F.col(f"{m}__value").cast("double").alias("value"),
-        F.col(f"{m}__before").cast("double").alias("value_before"),
-    ) for m in metrics])).alias("k")
+            f"avg(`{m}`) AS `{m}__mean`", f"var_samp(`{m}`) AS `{m}__variance`",
+            f"max(CASE WHEN {on_yesterday} THEN `{m}` END) AS `{m}__value`",
+            f"min(CASE WHEN {on_day_before} THEN `{m}` END) AS `{m}__before`"]
+    profile = series_profile(df, key, [*map(F.expr, aggregates), *(extra or [])], metrics, [0.25, 0.5, 0.75], oversized)
     kept = [c for c in profile.columns if "__" not in c]
-    return profile.select(*kept, per_kpi).select(*kept, "k.*")
+    per_kpi = ", ".join(
+        f"named_struct('kpi', '{m}', 'mean', `{m}__mean`, 'variance', `{m}__variance`, 'q1', `{m}__q`[0], "
+        f"'median', `{m}__q`[1], 'q3', `{m}__q`[2], 'value', CAST(`{m}__value` AS DOUBLE), "
+        f"'value_before', CAST(`{m}__before` AS DOUBLE))" for m in metrics)
+    return profile.selectExpr(*kept, f"inline(array({per_kpi}))")
 
 
-def _per_kpi(rules: Mapping[str, P.KpiRule], pick) -> Column:
-    chain = None
-    for kpi, rule in rules.items():
-        chain = (F.when if chain is None else chain.when)(F.col("kpi") == kpi, F.lit(pick(rule)))
-    return chain
+def _per_kpi(rules: Mapping[str, P.KpiRule], pick) -> str:
+    cases = " ".join(f"WHEN '{kpi}' THEN {pick(rule)}" for kpi, rule in rules.items())
+    return f"CASE kpi {cases} END"
 
 
 def detector_flags(stats: DataFrame, rules: Mapping[str, P.KpiRule], yesterday: date) -> DataFrame:
@@ -63,31 +49,22 @@ def detector_flags(stats: DataFrame, rules: Mapping[str, P.KpiRule], yesterday:
     ``rules`` maps the KPI names of ``stats`` to their rule; a rule without a
     smallest deviation skips that guard (and the single-row condition).
     """
-    value, before = F.col("value"), F.col("value_before")
-    score = F.try_divide(F.pow(value - F.col("mean"), F.lit(2.0)), F.col("variance"))
-    reach = (F.col("q3") - F.col("q1")) * P.FENCE_MULTIPLIER
-    tested = stats.withColumns({
-        "enough_rows": F.col("n_rows") >= P.MIN_HISTORY_ROWS,
-        "ends_yesterday": F.col("last_day") == F.lit(yesterday),
-        "score": score,
-        "is_outlier": F.coalesce(score > _per_kpi(rules, lambda r: r.critical), F.lit(False)),
-        "below_fence": F.coalesce(value < F.col("q1") - reach, F.lit(False)),
-        "above_fence": F.coalesce(value > F.col("q3") + reach, F.lit(False)),
-        "fell": F.coalesce(value <= before * P.DROP_GUARD, F.lit(False)),
-        "rose": F.coalesce(value >= before * P.RISE_GUARD, F.lit(False)),
-    })
-    base = F.col("enough_rows") & F.col("ends_yesterday") & F.col("is_outlier")
-    deviation = F.abs(F.abs(F.col("median")) - F.abs(value))
-    threshold = _per_kpi(rules, lambda r: r.min_deviation)
-    material = F.when(threshold.isNull(), True).otherwise(
-        (F.col("n_yesterday") == 1) & F.coalesce(deviation >= threshold, F.lit(False)))
-    tested = tested.withColumns({
-        "neg": base & F.col("below_fence") & F.col("fell"),
-        "pos": base & F.col("above_fence") & F.col("rose"),
-        "is_material": material,
-    })
-    direction = _per_kpi(rules, lambda r: r.direction.lower())
-    fired = (F.when(direction == "neg", F.col("neg"))
-             .when(direction == "pos", F.col("pos"))
-             .otherwise(F.col("neg") | F.col("pos")))
-    return tested.withColumn("is_alert", fired & F.col("is_material"))
+    critical = _per_kpi(rules, lambda r: f"{r.critical!r}D")
+    deviation = _per_kpi(rules, lambda r: "CAST(NULL AS DOUBLE)" if r.min_deviation is None else f"{r.min_deviation!r}D")
+    direction = _per_kpi(rules, lambda r: f"'{r.direction.lower()}'")
+    tested = stats.selectExpr(
+        "*", f"n_rows >= {P.MIN_HISTORY_ROWS} AS enough_rows", f"last_day = DATE '{yesterday}' AS ends_yesterday",
+        "try_divide(power(value - mean, 2), variance) AS score", f"{P.FENCE_MULTIPLIER}D * (q3 - q1) AS reach",
+        f"coalesce(value <= value_before * {P.DROP_GUARD}D, false) AS fell",
+        f"coalesce(value >= value_before * {P.RISE_GUARD}D, false) AS rose",
+        f"{deviation} AS threshold")
+    tested = tested.selectExpr(
+        "* EXCEPT (reach, threshold)", f"coalesce(score > {critical}, false) AS is_outlier",
+        "coalesce(value < q1 - reach, false) AS below_fence", "coalesce(value > q3 + reach, false) AS above_fence",
+        "threshold IS NULL OR (n_yesterday = 1 AND coalesce(abs(abs(median) - abs(value)) >= threshold, false)) "
+        "AS is_material")
+    tested = tested.selectExpr(
+        "*", "enough_rows AND ends_yesterday AND is_outlier AND below_fence AND fell AS neg",
+        "enough_rows AND ends_yesterday AND is_outlier AND above_fence AND rose AS pos")
+    return tested.selectExpr(
+        "*", f"is_material AND CASE {direction} WHEN 'neg' THEN neg WHEN 'pos' THEN pos ELSE neg OR pos END AS is_alert")

@@ -70,10 +70,11 @@ def _located(owners: DataFrame, star: Star) -> DataFrame:
 def in_scope(facts: DataFrame, dims: DataFrame, key: str, limit: int) -> DataFrame:
     """Drop facts whose key is not in ``dims`` early, if the keys can be broadcast.
 
-    Up to ``limit`` keys (8 bytes each) go to all tasks; with more of them the
-    facts are left as they are, and the join with the dimension filters them.
+    Up to ``limit`` dimension rows (8 bytes each) go to all tasks; with more of
+    them the facts are left as they are, and the join with the dimension filters
+    them.
     """
-    keys = dims.select(key).distinct()
+    keys = dims.select(key)
     if keys.limit(limit + 1).count() > limit:
         return facts
     return facts.join(F.broadcast(keys), key, "left_semi")
@@ -190,9 +191,11 @@ def account_series(star: Star, p: P.RunParams, without: tuple[str, ...] = ()) ->
              .withColumn("margin", F.try_divide("rext", "spend")))
 
     types = dict(dims.dtypes)
-    markers = [F.lit(value).cast(types[c]).alias(c) for c, value in CAMPAIGN_ONLY.items()]
-    clients = dims.select(client.alias("s"), *client_columns, *markers)
-    attributes = clients.unionByName(dims.select(campaign.alias("s"), *shown)).select("s.combo", "s.attributes_id", *shown)
+    marked = [F.lit(CAMPAIGN_ONLY[c]).cast(types[c]).alias(c) if c in CAMPAIGN_ONLY else F.col(c) for c in shown]
+    attributes = dims.select(F.explode(F.array(
+        F.struct(client.alias("key"), F.struct(*marked).alias("shown")),
+        F.struct(campaign.alias("key"), F.struct(*shown).alias("shown")))).alias("s"))
+    attributes = attributes.select("s.key.combo", "s.key.attributes_id", "s.shown.*")
     return SeriesFrame(daily, attributes.distinct())
 
 
