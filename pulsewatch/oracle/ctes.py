@@ -146,7 +146,7 @@ FROM events GROUP BY event_type"""
 
 CTES["x_run_history"] = f"""
 SELECT DISTINCT {T} - CAST(o_orderkey % 40 AS INTEGER) AS run_date, 'job_' || lower(o_orderstatus) AS script,
-       'geo ' || (o_custkey % 200) AS geo FROM orders"""
+       'geo ' || o_custkey AS geo FROM orders"""
 
 CTES["x_sent_history"] = f"""
 SELECT {T} AS run_date, email AS "to",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +10,17 @@ from pyspark.sql import functions as F
 from pulsewatch import params as P
 from pulsewatch.functions import texts as X
 
-# ---- fixed values: product names --------------------------------------------
+# ---- fixed values: product names and notice texts ---------------------------
 PRODUCTS = ("AS", "TS", "EXEC")
 CHAT_KINDS = {"AS": "business", "TS": "technical", "EXEC": "executive"}
+CHAT_LATE = "_{kind}_ alerts can't be sent today because data is late :cry:"
+CHAT_NO_ALERTS = "No _{kind}_ alerts to send for today :grinning:"
+SUBJECTS = {
+    "no_alerts": "No Alerts to Send for {scope}",
+    "late": "Data Delayed -- No {scope} Alerts",
+    "error": "{scope} Alerts Unable to Run Today",
+}
+NO_ALERTS_BODY = "There are no alerts for today."
 # -----------------------------------------------------------------------------
 
 
@@ -26,9 +34,8 @@ def _known(product: str) -> str:
 
 def loaded_today(reports: DataFrame, today: date, schemas: list[str], tables: list[str]) -> DataFrame:
     """Tables of interest that were loaded today."""
-    midnight = datetime(today.year, today.month, today.day)
     return reports.where(
-        (F.col("update_time") >= F.lit(midnight)) & F.col("table_schema").isin(schemas)
+        (F.col("update_time") >= F.lit(today).cast("timestamp")) & F.col("table_schema").isin(schemas)
         & F.col("table_name").isin(tables)).select("table_name", "update_time")
 
 
@@ -129,13 +136,11 @@ def trouble_notice(spark: SparkSession, product: str, kind: str, d: P.DeliveryPa
     "no alerts" goes to the maintainers.
     """
     product = _known(product)
-    if kind not in ("no_alerts", "late", "error"):
+    if kind not in SUBJECTS:
         raise ValueError(f"unknown notice {kind!r}")
     scope = f"{d.product_label} {product} {d.geo}"
-    subject = {"no_alerts": f"No Alerts to Send for {scope}",
-               "late": f"Data Delayed -- No {scope} Alerts",
-               "error": f"{scope} Alerts Unable to Run Today"}[kind]
-    body = "There are no alerts for today." if kind == "no_alerts" else None
+    subject = SUBJECTS[kind].format(scope=scope)
+    body = NO_ALERTS_BODY if kind == "no_alerts" else None
     readers = d.beta_testers if d.beta_active else d.alias if d.alias is not None else d.recipients
     cc, bcc = d.cc, d.maintainers
     if kind == "no_alerts":
@@ -148,10 +153,8 @@ def trouble_notice(spark: SparkSession, product: str, kind: str, d: P.DeliveryPa
 
 def chat_notice(product: str, kind: str) -> str:
     """Chat text of a late or empty run."""
-    category = CHAT_KINDS[_known(product)]
-    if kind == "late":
-        return f"_{category}_ alerts can't be sent today because data is late :cry:"
-    return f"No _{category}_ alerts to send for today :grinning:"
+    template = CHAT_LATE if kind == "late" else CHAT_NO_ALERTS
+    return template.format(kind=CHAT_KINDS[_known(product)])
 
 
 def unsent(outbox: DataFrame, sent: DataFrame) -> DataFrame:

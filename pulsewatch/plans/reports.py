@@ -19,6 +19,11 @@ TICK_DAYS = 14
 HEADROOM = 1.05
 SHRINK = 0.95
 MESSAGE_RULE = "-" * 79
+ACCOUNT_HEADLINE = "*Business alert(s)* sent to AS"
+TAG_HEADLINE = "*Technical alert(s)* sent to TS"
+MESSAGE_START = ">>>"
+NO_TAG_LABEL = "site-level"
+RECAP_NOTE = "Recap of triggered accounts/alerts attached."
 COLOR_SLOTS = 3
 # -----------------------------------------------------------------------------
 
@@ -27,7 +32,7 @@ COLOR_SLOTS = 3
 
 def summary_body(owners: Column, alerts: Column) -> Column:
     return F.concat(F.lit("Emails Sent: "), owners.cast("string"), F.lit("\nTotal Alerts Triggered: "),
-                    alerts.cast("string"), F.lit("\n\nRecap of triggered accounts/alerts attached."))
+                    alerts.cast("string"), F.lit(f"\n\n{RECAP_NOTE}"))
 
 
 def _summary(rows: DataFrame, owner: str, keys: list[str]) -> DataFrame:
@@ -64,7 +69,7 @@ def _messages(lines: DataFrame, groups: list[str], headline: str, noun: str, d:
     block = F.floor((F.col("line_no") - 1) / size).cast("int") + 1
     ordered = F.array_sort(F.collect_list(F.struct("line_no", "line")))
     blocks = numbered.groupBy(*groups, block.alias("message_no")).agg(
-        F.concat(F.lit(">>>"), F.array_join(F.transform(ordered, lambda x: x["line"]), "\n")).alias("text"))
+        F.concat(F.lit(MESSAGE_START), F.array_join(F.transform(ordered, lambda x: x["line"]), "\n")).alias("text"))
     counts = lines.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
     last = F.ceil(F.col("n") / size).cast("int") + 1
     frame = counts.select(*groups, F.explode(F.array(
@@ -92,7 +97,7 @@ def account_digest(alerts: DataFrame, d: P.DeliveryParams) -> DataFrame:
         F.array_join(F.transform(parts, lambda x: x["text"]), "  ").alias("alerts"))
     lines = lines.select("ranking", "channel", "subject", F.concat_ws(
         " ", "subject", F.lit(d.separator), "alerts").alias("line"))
-    return _messages(lines, ["ranking", "channel"], "*Business alert(s)* sent to AS", "business", d)
+    return _messages(lines, ["ranking", "channel"], ACCOUNT_HEADLINE, "business", d)
 
 
 def tag_digest(alerts: DataFrame, d: P.DeliveryParams, channel: str = "#tags") -> DataFrame:
@@ -101,14 +106,14 @@ def tag_digest(alerts: DataFrame, d: P.DeliveryParams, channel: str = "#tags") -
     label = F.concat(X.capitalize_first(event), F.when((event != "") & (site != ""), " on ").otherwise(""),
                      F.upper(F.coalesce(site, F.lit(""))))
     rows = alerts.select("partner_name", "event_name", "site_type").distinct().withColumn(
-        "label", _quoted(F.when(label == "", "site-level").otherwise(label)))
+        "label", _quoted(F.when(label == "", NO_TAG_LABEL).otherwise(label)))
     parts = F.array_sort(F.collect_list(F.struct("event_name", "site_type", "label")))
     lines = rows.groupBy(F.col("partner_name").alias("subject")).agg(
         F.array_join(F.transform(parts, lambda x: x["label"]), "  ").alias("alerts"))
     target = d.test_channel if d.test_mode else channel
     lines = lines.select(F.lit(target).alias("channel"), "subject", F.concat_ws(
         " ", "subject", F.lit(d.separator), "alerts").alias("line"))
-    return _messages(lines, ["channel"], "*Technical alert(s)* sent to TS", "technical", d)
+    return _messages(lines, ["channel"], TAG_HEADLINE, "technical", d)
 
 
 # ---- owner digest -----------------------------------------------------------

@@ -147,7 +147,7 @@ def _import_reports(events: DataFrame) -> DataFrame:
 def _run_history(orders: DataFrame) -> DataFrame:
     return orders.selectExpr(
         "date_sub(DATE '2024-03-01', CAST(o_orderkey % 40 AS INT)) AS run_date",
-        "concat('job_', lower(o_orderstatus)) AS script", "concat('geo ', o_custkey % 200) AS geo").distinct()
+        "concat('job_', lower(o_orderstatus)) AS script", "concat('geo ', o_custkey) AS geo").distinct()
 
 
 def _sent_history(employee: DataFrame) -> DataFrame:
