@@ -70,13 +70,12 @@ def _accounts(spark: SparkSession, d: str) -> AS.Detection:
 def _account_alerts(spark: SparkSession, d: str, leaders: tuple[str, ...] = ()) -> tuple[DataFrame, AS.Detection]:
     """Staged alerts, and what was found with a staged history."""
     p = replace(RUN, pod_leaders=leaders)
-    found = AS.detect_accounts(AS.account_rows(sample_star(spark, d), p), p)
-    found = replace(found, cleaned=stage(found.cleaned, "cleaned"))
+    found = AS.detect_accounts(AS.account_rows(sample_star(spark, d), p), p, keep_history=True)
     return stage(AS.account_alerts(found, p), "alerts"), found
 
 
-def _tags(spark: SparkSession, d: str) -> TS.Detection:
-    return TS.detect_tags(TS.tag_rows(sample_star(spark, d), RUN), RUN)
+def _tags(spark: SparkSession, d: str, keep_history: bool = False) -> TS.Detection:
+    return TS.detect_tags(TS.tag_rows(sample_star(spark, d), RUN), RUN, keep_history)
 
 
 def _tag_alerts(spark: SparkSession, d: str) -> DataFrame:
@@ -287,9 +286,8 @@ def eligibility_query(spark, d):
 
 @query
 def alert_review_series(spark, d):
-    found = _accounts(spark, d)
-    cleaned = stage(found.cleaned, "cleaned")
-    review = AS.alert_review_series(AS.alert_texts(found.flags), AS.kpi_long(cleaned))
+    found = AS.detect_accounts(_series(spark, d), RUN, keep_history=True)
+    review = AS.alert_review_series(AS.alert_texts(found.flags), AS.kpi_long(found.cleaned))
     return rounded(review.select("combo", "alert", "kpi", "day", "value"), 9)
 
 
@@ -363,10 +361,8 @@ def chart_axis_spec(spark, d):
 
 @query
 def chart_axis_spec_ts(spark, d):
-    found = _tags(spark, d)
-    cleaned = stage(found.cleaned, "cleaned")
-    alerts = TS.tag_alerts(found.results)
-    return rounded(R.chart_axis(R.tag_chart_input(cleaned, alerts)))
+    found = _tags(spark, d, keep_history=True)
+    return rounded(R.chart_axis(R.tag_chart_input(found.cleaned, TS.tag_alerts(found.results))))
 
 
 @query

@@ -49,12 +49,17 @@ def eligible_rows(daily: DataFrame, p: P.RunParams) -> DataFrame:
     return clean_data(with_kpi_ratios(drop_series(daily, "combo", dropped)))
 
 
-def detect_accounts(series: SeriesFrame, p: P.RunParams,
-                    alert_kpis: tuple[str, ...] = P.ALERT_KPIS) -> Detection:
-    """Clean, fill the calendar and test every (series, KPI)."""
+def detect_accounts(series: SeriesFrame, p: P.RunParams, alert_kpis: tuple[str, ...] = P.ALERT_KPIS,
+                    keep_history: bool = False) -> Detection:
+    """Clean, fill the calendar and test every (series, KPI).
+
+    ``keep_history`` stages the filled series, for callers that report them too.
+    """
     eligible = stage(eligible_rows(series.daily, p), "eligible")
     large = oversized_keys(eligible, "combo", p.oversized_rows)
     cleaned = calendar_fill(eligible, "combo", list(P.ACCOUNT_FILL_METRICS), large)
+    if keep_history:
+        cleaned = stage(cleaned, "cleaned")
     on_yesterday = F.col("day") == F.lit(p.yesterday)
     stats = detector_stats(cleaned, "combo", list(alert_kpis), p.yesterday, large, extra=[
         F.max(F.when(on_yesterday, F.col("rext_euro"))).alias("rext_euro_yesterday")])

@@ -80,8 +80,8 @@ def run_account_job(spark: SparkSession, star: Star, gate: Gate, p: P.RunParams,
     reason = blocked(spark, star, "AS", gate, p, d, files)
     if reason:
         return reason
-    found = AS.detect_accounts(AS.account_rows(star, p), p)
-    found = replace(found, cleaned=stage(found.cleaned, "cleaned"), results=stage(found.results, "results"))
+    found = AS.detect_accounts(AS.account_rows(star, p), p, keep_history=True)
+    found = replace(found, results=stage(found.results, "results"))
     _write(found.results, files, "results")
     alerts = stage(AS.account_alerts(found, p), "alerts")
     if alerts.isEmpty():
@@ -109,8 +109,7 @@ def run_tag_job(spark: SparkSession, star: Star, gate: Gate, p: P.RunParams, d:
     reason = blocked(spark, star, "TS", gate, p, d, files)
     if reason:
         return reason
-    found = TS.detect_tags(TS.tag_rows(star, p), p)
-    found = replace(found, cleaned=stage(found.cleaned, "cleaned"))
+    found = TS.detect_tags(TS.tag_rows(star, p), p, keep_history=True)
     alerts = stage(TS.tag_alerts(found.results), "tag-alerts")
     # without alerts the documents are an empty folder, never those of the last run
     write_documents(TS.owner_documents(alerts), f"{files.out}/documents")
@@ -132,8 +131,8 @@ def run_territory_job(spark: SparkSession, star: Star, gate: Gate, p: P.RunParam
     reason = blocked(spark, star, "EXEC", gate, p, d, files)
     if reason:
         return reason
-    found = EX.detect_territories(EX.territory_rows(star, p), p)
-    found = replace(found, cleaned=stage(found.cleaned, "cleaned"), results=stage(found.results, "results"))
+    found = EX.detect_territories(EX.territory_rows(star, p), p, keep_history=True)
+    found = replace(found, results=stage(found.results, "results"))
     text = stage(EX.alert_text(found.results), "alert-text")
     daily = stage(X.account_daily(star, p), "account-daily")
     _write(EX.territory_report(found.cleaned, p), files, "report")

@@ -26,9 +26,11 @@ def tag_rows(star: Star, p: P.RunParams) -> SeriesFrame:
     return SeriesFrame(daily, names.join(series.attributes, "attributes_id"))
 
 
-def detect_tags(series: SeriesFrame, p: P.RunParams) -> Detection:
+def detect_tags(series: SeriesFrame, p: P.RunParams, keep_history: bool = False) -> Detection:
     large = oversized_keys(series.daily, "combo", p.oversized_rows)
     cleaned = calendar_fill(series.daily, "combo", ["events"], large)
+    if keep_history:
+        cleaned = stage(cleaned, "cleaned")
     stats = detector_stats(cleaned, "combo", ["events"], p.yesterday, large)
     flags = detector_flags(stats, {"events": P.rule_for("events")}, p.yesterday)
     results = (series.attributes.select(*RESULT_COLUMNS).distinct()

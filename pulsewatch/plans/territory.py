@@ -72,10 +72,12 @@ def territory_rows(star: Star, p: P.RunParams) -> DataFrame:
     return require_rows(stage(territory_daily(star, p), "territory-daily"), "territory features")
 
 
-def detect_territories(daily: DataFrame, p: P.RunParams) -> Detection:
+def detect_territories(daily: DataFrame, p: P.RunParams, keep_history: bool = False) -> Detection:
     series = stage(territory_series(daily), "territory-series")
     large = oversized_keys(series, "series", p.oversized_rows)
     cleaned = calendar_fill(series, "series", ["RexT"], large)
+    if keep_history:
+        cleaned = stage(cleaned, "cleaned")
     stats = detector_stats(cleaned, "series", ["RexT"], p.yesterday, large)
     flags = detector_flags(stats, {"RexT": P.rule_for("exec")}, p.yesterday)
     return Detection(flags.select("series", "is_alert"), cleaned, flags)
