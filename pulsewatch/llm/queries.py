@@ -6,17 +6,51 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pulsewatch.llm import host_rules as H
+from pulsewatch.llm.brown_lm import brown_scores
 from pulsewatch.llm.common import read_table
+from pulsewatch.llm.decontaminate import matches
+from pulsewatch.llm.html_text import main_texts
 from pulsewatch.llm.jaccard_join import jaccard_components
+from pulsewatch.llm.language_id import language_ids
+from pulsewatch.llm.quality_rank import quality_scores
+
+
+def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_scores(read_table(spark, sf_dir, "documents"), mod=7, held=2)
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(read_table(spark, sf_dir, "pages"))
+
+
+def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.host_rules(read_table(spark, sf_dir, "documents"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matches: only documents that hold an item have rows."""
+    found = matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "n_words", "similarity")
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_ids(read_table(spark, sf_dir, "documents"), mod=4, held=2)
+
+
+def op10_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), mod=5, held=0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_jaccard_join": op6_jaccard_join}
+    return {f.__name__: f for f in (op1_brown_lm, op2_html_text, op4_host_rules, op5_decontaminate, op6_jaccard_join, op7_language_id,
+                                    op10_quality_rank)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Statements for what SQL can express; the others are tested against plain versions, round trips or held-out rows."""
+    return {"op4_host_rules": H.oracle()}
