@@ -41,7 +41,7 @@ def _weighted(rows: DataFrame, key: str, words: str) -> DataFrame:
     runs = (F.when(F.size(words) >= SIZE, F.transform(F.sequence(F.lit(1), F.size(words) - SIZE + 1), lambda i: F.slice(F.col(words), i, SIZE)))
             .when(F.size(words) > 0, F.array(F.col(words))))
     shingle = F.concat_ws(" ", "run")
-    return (rows.select(key, F.explode(runs).alias("run")).groupBy(key, shingle.alias("shingle")).agg(F.count("*").alias("n"))
+    return (rows.select(key, F.explode_outer(runs).alias("run")).where("run is not null").groupBy(key, shingle.alias("shingle")).agg(F.count("*").alias("n"))
             .select(key, F.xxhash64("shingle").alias("h"), F.xxhash64("shingle", F.lit(2)).alias("h2"),
                     (F.col("n") * F.length("shingle")).alias("w")))
 
@@ -74,11 +74,12 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, r
     items = pick(items, "item_id", "text")
     items = staged(items.withColumn("item", F.xxhash64("item_id", "text")).groupBy("item").agg(
         F.any_value("item_id").alias("item_id"), F.any_value("text").alias("text")).withColumn("words", _words("text")).drop("text"))
-    anchors = staged(items.select(F.size("words").alias("n"), F.posexplode(_hashes(F.col("words"))).alias("q", "h")).distinct())
+    anchors = staged(items.select(F.size("words").alias("n"), F.posexplode_outer(_hashes(F.col("words"))).alias("q", "h")).where("h is not null").distinct())
     seeds = F.broadcast(anchors) if anchors.count() <= BROADCAST_SHINGLES else anchors
+    # explode_outer: Spark turns explode into a filter on the array, which would compute the words anew for every element
     cut = docs.select("doc_key", _words("text").alias("words")).select("doc_key", F.size("words").alias("size"), _hashes(F.col("words")).alias("hashes"))
     starts = F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.col("size") - F.col("n")))
-    laid = (cut.select("doc_key", "size", F.posexplode("hashes").alias("p", "h")).join(seeds, "h")
+    laid = (cut.select("doc_key", "size", F.posexplode_outer("hashes").alias("p", "h")).join(seeds, "h")
             .select("doc_key", "n", starts.alias("start")).distinct())
     windows = staged(docs.join(laid, "doc_key").withColumn("words", _words("text")).withColumn("window", F.slice("words", F.col("start") + 1, F.col("n")))
                      .select("doc_id", "doc_key", "start", "n", F.md5(F.concat_ws(" ", "window")).alias("content"), "window"))
