@@ -116,3 +116,65 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
 def public_file(name: str) -> str:
     """A public vocabulary file; ``TOKENIZER_DIR`` names another folder."""
     return os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), name)
+
+
+def packed_asks(found: dict[int, list[np.ndarray]], bits: int) -> pa.RecordBatch:
+    """Rows (bucket, slice, code, n) that ask how often codes occur: for each slice the distinct ones and their number, packed
+    by bucket. A code has 32 + ``bits`` bits, the upper ones are its bucket."""
+    rows = []
+    for s, parts in found.items():
+        code, n = np.unique(np.concatenate(parts), return_counts=True)
+        cut = np.searchsorted(code, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
+        low, n = code.astype(np.uint32), np.minimum(n, 65535).astype(np.uint16)
+        rows += [(b, s, low[i:j].tobytes(), n[i:j].tobytes()) for b, (i, j) in enumerate(zip(cut, cut[1:])) if j > i]
+    columns = zip(*rows) if rows else [[]] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
+                                      names=["bucket", "slice", "code", "n"])
+
+
+def packed_answers(table: pa.Table) -> pa.Table:
+    """Answers one bucket's asks: of each slice's codes those that occur twice at least, with their number on a log scale."""
+    asked = [np.frombuffer(x, np.uint32) for x in table["code"].to_pylist()]
+    counts = [np.frombuffer(x, np.uint16) for x in table["n"].to_pylist()]
+    code, place = np.unique(np.concatenate(asked), return_inverse=True)
+    total = np.bincount(place, np.concatenate(counts)).astype(np.int64)
+    level = log_level(np.maximum(total, 1))
+    ends = np.cumsum([0, *map(len, asked)])
+    rows = []
+    for own, s, i, j in zip(asked, table["slice"].to_pylist(), ends, ends[1:]):
+        many = total[place[i:j]] > 1
+        rows.append((s, own[many].tobytes(), level[place[i:j]][many].tobytes()))
+    return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([table["bucket"][0].as_py()] * len(rows), pa.int32()),
+                     pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
+                    names=["slice", "bucket", "code", "level"])
+
+
+ASKS, ANSWERS = "bucket int, slice long, code binary, n binary", "slice long, bucket int, code binary, level binary"
+
+
+def log_level(n):
+    return np.minimum(np.log2(n) * 6, 255).astype(np.uint8)
+
+
+def unpacked_answers(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending codes and their levels."""
+    if not answers.num_rows:
+        return np.empty(0, np.uint64), np.empty(0, np.uint8)
+    code = np.concatenate([(np.uint64(b) << np.uint64(32)) | np.frombuffer(c, np.uint32).astype(np.uint64) for b, c in
+                           zip(answers["bucket"].to_pylist(), answers["code"].to_pylist())])
+    level = np.frombuffer(b"".join(answers["level"].to_pylist()), np.uint8)
+    code, first = np.unique(code, return_index=True)
+    return code, level[first]
+
+
+def levels_of(code: np.ndarray, known: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Levels of codes, 0 for those that have none."""
+    if not len(known):
+        return np.zeros(len(code), np.uint8)
+    at = np.minimum(np.searchsorted(known, code), len(known) - 1)
+    return np.where(known[at] == code, level[at], 0).astype(np.uint8)
+
+
+def code_bits(total: int, each: int) -> int:
+    """Bits of the bucket number, for buckets of about ``each`` codes."""
+    return min(30, max(0, math.ceil(math.log2(slices(total, each)))))

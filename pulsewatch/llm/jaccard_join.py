@@ -16,7 +16,6 @@ their hash beside the bucket number: a collision changes the order, and never a
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsewatch.llm.common import Words, mixed, pick, pieces, shingles, slices, staged, text_bytes
+from pulsewatch.llm.common import (ANSWERS, ASKS, Words, code_bits, levels_of, mixed, packed_answers, packed_asks, pick, pieces, shingles,
+                                   slices, staged, text_bytes, unpacked_answers)
 from pulsewatch.llm.components import components
 
 #: Bytes of text in one slice, shingles in one bucket, and documents in one part of a large list.
@@ -53,49 +53,17 @@ def _asks(size: int, bits: int):
             by: dict[int, list] = {}
             for s, found in zip(of, _sets(batch.column("text"), size)):
                 by.setdefault(int(s), []).append(_code(found, bits))
-            rows = []
-            for s, found in by.items():
-                code, n = np.unique(np.concatenate(found), return_counts=True)
-                cut = np.searchsorted(code, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
-                low, n = code.astype(np.uint32), np.minimum(n, 255).astype(np.uint8)
-                rows += [(b, s, low[i:j].tobytes(), n[i:j].tobytes()) for b, (i, j) in enumerate(zip(cut, cut[1:])) if j > i]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                names=["bucket", "slice", "code", "n"])
+            yield packed_asks(by, bits)
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """Of each slice's shingles in a bucket those of two documents at least, with the count on a log scale."""
-    asked = [np.frombuffer(x, np.uint32) for x in table["code"].to_pylist()]
-    counts = [np.frombuffer(x, np.uint8) for x in table["n"].to_pylist()]
-    code, place = np.unique(np.concatenate(asked), return_inverse=True)
-    total = np.bincount(place, np.concatenate(counts)).astype(np.int64)
-    level = np.minimum(np.log2(np.maximum(total, 1)) * 6, 255).astype(np.uint8)
-    ends = np.cumsum([0, *map(len, asked)])
-    rows = []
-    for own, s, i, j in zip(asked, table["slice"].to_pylist(), ends, ends[1:]):
-        many = total[place[i:j]] > 1
-        rows.append((s, own[many].tobytes(), level[place[i:j]][many].tobytes()))
-    bucket = table["bucket"][0].as_py()
-    return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([bucket] * len(rows), pa.int32()),
-                     pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
-                    names=["slice", "bucket", "code", "level"])
-
-
 def _prefixes(size: int, bits: int, percent: int):
     def run(key, docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return docs.select(["doc_id"]).append_column("n_shingles", pa.array([], pa.int64())).append_column(
                 "print", pa.array([], pa.string())).append_column("prefix", pa.array([], pa.list_(pa.int64()))).append_column(
                 "shingles", pa.array([], pa.binary()))
-        shared, level = np.empty(0, np.uint64), np.empty(0, np.uint8)
-        if answers.num_rows:
-            shared = np.concatenate([(np.uint64(b) << np.uint64(32)) | np.frombuffer(c, np.uint32).astype(np.uint64) for b, c in
-                                     zip(answers["bucket"].to_pylist(), answers["code"].to_pylist())])
-            level = np.frombuffer(b"".join(answers["level"].to_pylist()), np.uint8)
-            shared, first = np.unique(shared, return_index=True)
-            level = level[first]
+        shared, level = unpacked_answers(answers)
         counts, prints, prefixes, sets, seen = [], [], [], [], set()
         texts = docs["text"].combine_chunks()
         for start in range(0, docs.num_rows, 2000):
@@ -110,9 +78,7 @@ def _prefixes(size: int, bits: int, percent: int):
                     prints.append(f"{int(a):016x}{int(b):016x}")
                     if prints[-1] not in seen and len(shared):
                         seen.add(prints[-1])
-                        code = _code(found, bits)
-                        at = np.minimum(np.searchsorted(shared, code), len(shared) - 1)
-                        order = np.where(shared[at] == code, level[at], 0)
+                        order = levels_of(_code(found, bits), shared, level)
                         need = -(-percent * n // 100)
                         if np.count_nonzero(order) >= need:
                             kept = np.lexsort((found, order))[:n - need + 1]
@@ -184,10 +150,10 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     docs = pick(docs, id_column, text_column).toDF("doc_id", "text")
     total = text_bytes(docs)
     parts = slices(total, SLICE_BYTES)
-    bits = min(30, max(0, math.ceil(math.log2(slices(total // 6, BUCKET_SHINGLES)))))
+    bits = code_bits(total // 6, BUCKET_SHINGLES)
     cut = docs.withColumn("slice", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))).repartition(parts, "slice")
-    asks = cut.mapInArrow(_asks(size, bits), "bucket int, slice long, code binary, n binary")
-    answers = asks.groupBy("bucket").applyInArrow(_answer, "slice long, bucket int, code binary, level binary")
+    asks = cut.mapInArrow(_asks(size, bits), ASKS)
+    answers = asks.groupBy("bucket").applyInArrow(packed_answers, ANSWERS)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     found = staged(cut.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(
         _prefixes(size, bits, percent), f"doc_id {id_type}, n_shingles long, print string, prefix array<long>, shingles binary"))

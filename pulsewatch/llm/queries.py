@@ -13,7 +13,10 @@ from pulsewatch.llm.decontaminate import matches
 from pulsewatch.llm.html_text import main_texts
 from pulsewatch.llm.jaccard_join import jaccard_components
 from pulsewatch.llm.language_id import language_ids
+from pulsewatch.llm.line_dedup import deduplicated
 from pulsewatch.llm.quality_rank import quality_scores
+from pulsewatch.llm.repeated_spans import without_repeats
+from pulsewatch.llm.sentence_pieces import encoded
 
 
 def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +27,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(read_table(spark, sf_dir, "pages"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicated(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.host_rules(read_table(spark, sf_dir, "documents"))
 
@@ -42,13 +49,21 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_ids(read_table(spark, sf_dir, "documents"), mod=4, held=2)
 
 
+def op8_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(read_table(spark, sf_dir, "documents"), length=200)
+
+
+def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(read_table(spark, sf_dir, "documents"), "doc_id")
+
+
 def op10_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), mod=5, held=0)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_brown_lm, op2_html_text, op4_host_rules, op5_decontaminate, op6_jaccard_join, op7_language_id,
-                                    op10_quality_rank)}
+    return {f.__name__: f for f in (op1_brown_lm, op2_html_text, op3_line_dedup, op4_host_rules, op5_decontaminate, op6_jaccard_join, op7_language_id,
+                                    op8_repeated_spans, op9_sentence_pieces, op10_quality_rank)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -42,3 +42,22 @@ def jaccard_rows(docs, size=4, percent=85):
              if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     low = least(links, ids)
     return sorted((i, len(sets[i]), low[i]) for i in ids)
+
+
+def repeated_rows(docs, length):
+    """(id, bytes, removed, spans, sha256) by a table of all strings of ``length`` bytes."""
+    import hashlib
+    from collections import Counter
+
+    raw = [(i, (t or "").encode()) for i, t in docs]
+    seen = Counter(x[k:k + length] for _, x in raw for k in range(len(x) - length + 1))
+    out = []
+    for i, x in raw:
+        gone = [False] * len(x)
+        for k in range(len(x) - length + 1):
+            if seen[x[k:k + length]] > 1:
+                gone[k:k + length] = [True] * length
+        kept = bytes(c for c, g in zip(x, gone) if not g)
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        out.append((i, len(x), len(x) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+    return out
