@@ -63,19 +63,39 @@ def slices(total: int, each: int) -> int:
     return max(1, math.ceil(total / each))
 
 
+_LOWER, _BLANK = np.arange(256, dtype=np.uint8), np.zeros(256, bool)
+_LOWER[65:91] += 32
+_BLANK[[32, *range(9, 14)]] = True
+
+
+def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all texts in a row, and where each begins and the last ends; nulls are empty."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "").cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data is not None else np.empty(0, np.uint8)
+    return raw, ends - ends[0]
+
+
 class Words:
     """Words of some texts: distinct values, and for every word in reading order the index of its value."""
 
     def __init__(self, texts: pa.Array, lower: bool = True):
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
-        flat, ends = lists.flatten(), lists.offsets.to_numpy()
-        ends = ends - ends[0]
-        full = pc.binary_length(flat).to_numpy() > 0
-        coded = flat.filter(pa.array(full)).dictionary_encode()
+        raw, cuts = raw_bytes(texts)
+        blank = _BLANK[raw]
+        solid = ~blank
+        begins = solid.copy()
+        begins[1:] &= blank[:-1]
+        own = cuts[:-1][cuts[:-1] < len(raw)]
+        begins[own] = solid[own]
+        starts = np.nonzero(begins)[0]
+        letters = (_LOWER[raw] if lower else raw)[solid]
+        offsets = np.append(np.cumsum(solid)[starts] - 1, len(letters)).astype(np.int64)
+        flat = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(letters))
+        coded = flat.dictionary_encode()
         self.values: pa.Array = coded.dictionary
         self.ids: np.ndarray = coded.indices.to_numpy(zero_copy_only=False)
-        self.ends: np.ndarray = np.concatenate([[0], np.cumsum(full)])[ends]
+        self.ends: np.ndarray = np.searchsorted(starts, cuts)
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of every distinct word."""

@@ -148,13 +148,14 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col
     component is the least id that is not null (null if there is none). An empty table gives an empty result.
     """
     docs = pick(docs, id_column, text_column).toDF("doc_id", "text")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast(id_type))  # ids may be structs, whose fields are nullable in the results
     total = text_bytes(docs)
     parts = slices(total, SLICE_BYTES)
     bits = code_bits(total // 6, BUCKET_SHINGLES)
     cut = docs.withColumn("slice", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))).repartition(parts, "slice")
     asks = cut.mapInArrow(_asks(size, bits), ASKS)
     answers = asks.groupBy("bucket").applyInArrow(packed_answers, ANSWERS)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
     found = staged(cut.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(
         _prefixes(size, bits, percent), f"doc_id {id_type}, n_shingles long, print string, prefix array<long>, shingles binary"))
     node = F.xxhash64("print").alias("node")
