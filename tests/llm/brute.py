@@ -87,6 +87,10 @@ def unigram_rows(docs, mod, held):
     return out
 
 
+def plain_line(text):
+    return re.sub(r"[\W_]+", " ", text.lower()).strip()
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
