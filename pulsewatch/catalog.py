@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsewatch import params as P
 from pulsewatch.functions.cleaning import clean_data, with_kpi_ratios
 from pulsewatch.operators.calendar import calendar_fill, last_entries, pad_days
 from pulsewatch.operators.detector import detector_flags, detector_stats
+from pulsewatch.operators.quantiles import oversized_keys
 from pulsewatch.operators.reshape import wide_to_long
 from pulsewatch.operators.screening import disqualify, eligibility
 from pulsewatch.plans import account_alerts as AS
@@ -27,13 +31,12 @@ from pulsewatch.sources.stage import stage, stage_path
 
 RUN = P.RunParams(today=TODAY)
 DELIVERY = P.DeliveryParams(
-    channels={"tier1": "#alerts_t1", "tier2": "#alerts_t2"}, summary_cc={"tier1": "leads@example.test"},
+    sent_at=datetime(2024, 3, 1, 9, 30), timezone="America/New_York", channels={"tier1": "#alerts_t1", "tier2": "#alerts_t2"}, summary_cc={"tier1": "leads@example.test"},
     alias="team@example.test", recipients="leads@example.test")
 
 # parameters of the filtered queries; the same texts are used in the check statements
-EMPLOYEE_FILTER = ("em.country IN (0, 2, 3, 5, 8, 9, 12, 13, 17, 20) AND em.cost_center_country NOT IN ('LM') "
-                   "AND em.cost_center_activity IN ('TIE', 'IAP')")
-CLIENT_FILTER = "ranking IN ('TIER 1')"
+EMPLOYEE_FILTER = "length(em.country) = 1 AND em.cost_center_activity <> 'OTHER'"
+CLIENT_FILTER = "campaign_type_name = 'CONVERSION'"
 REQUIRED_TABLES = ("signup_table", "view_table", "error_table", "refund_table")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,7 +178,7 @@ def disqualify_query(spark, d):
 @query
 def calendar_fill_query(spark, d):
     series = _eligible(spark, d)
-    filled = calendar_fill(series.daily, "combo", list(P.ACCOUNT_FILL_METRICS))
+    filled = calendar_fill(series.daily, "combo", list(P.ACCOUNT_FILL_METRICS), oversized_keys(series.daily, "combo", RUN.oversized_rows))
     return rounded(X.with_attributes(filled, clean_data(series.attributes), "AS_name").select("combo", "day", "AS_name", "clicks", "rext_euro", *P.ACCOUNT_FILL_METRICS), 9)
 
 
@@ -188,11 +191,11 @@ def kpi_long(spark, d):
 
 @query
 def wide_to_long_query(spark, d):
-    series = EX.territory_series(X.territory_daily(sample_star(spark, d), RUN))
-    wide = series.groupBy("day").agg(*[
-        F.sum(F.when(F.col("series") == name, F.col("RexT"))).alias(column)
-        for name, column in (("AMERICAS", "americas"), ("NORTH AMERICA", "na"), ("LATAM", "latam"))])
-    return wide_to_long(wide, "day", {"Americas": "americas", "North America": "na", "LATAM": "latam"})
+    """Every territory as a column of its own, and back to rows."""
+    series = stage(EX.territory_series(X.territory_daily(sample_star(spark, d), RUN)), "territories")
+    names = sorted({name for group in EX.CHART_GROUPS.values() for name in group} | {"0"})
+    wide = series.groupBy("day").pivot("series", names).agg(F.sum("RexT"))
+    return wide_to_long(wide, "day", {name: name for name in names}).where("RexT IS NOT NULL")
 
 
 @query
@@ -211,9 +214,11 @@ def pad_7_days(spark, d):
 
 # ---- detection --------------------------------------------------------------
 
-def _stats(spark, d):
-    filled = calendar_fill(_eligible(spark, d).daily, "combo", list(P.ACCOUNT_FILL_METRICS))
-    return detector_stats(filled, "combo", list(P.ALERT_KPIS), RUN.yesterday)
+def _stats(spark, d, kpis=P.ALERT_KPIS):
+    daily = _eligible(spark, d).daily
+    large = oversized_keys(daily, "combo", RUN.oversized_rows)
+    filled = calendar_fill(daily, "combo", list(P.ACCOUNT_FILL_METRICS), large)
+    return detector_stats(filled, "combo", list(kpis), RUN.yesterday, large)
 
 
 @query
@@ -232,7 +237,7 @@ def detector_flags_query(spark, d):
 @query
 def detector_directions(spark, d):
     """The same series tested for drops only, rises only and both."""
-    stats = stage(_stats(spark, d).where(F.col("kpi") == "spend"), "stats")
+    stats = stage(_stats(spark, d, ("spend",)), "stats")
     out = None
     for direction in ("neg", "pos", "both"):
         rule = P.KpiRule(0.9975, direction, 1.0)
@@ -314,10 +319,17 @@ POD_LEADERS = tuple(f"{segment} C{i}" for segment in ("AUTOMOBILE", "BUILDING",
 def as_owner_digest(spark, d):
     alerts, found = _account_alerts(spark, d)
     axis = R.chart_axis(R.account_chart_input(found.cleaned, found.attributes, alerts))
-    digest = R.owner_digest(alerts, axis.select("combo", "kpi", "last_label", "first_day", "last_day"))
+    digest = R.owner_digest(alerts, axis.select("AS_email", "combo", "kpi", "last_label", "first_day", "last_day"))
     return digest
 
 
+@query
+def as_owner_doc(spark, d):
+    """Nested documents of owners and clients, shown as counts and the nested text."""
+    doc = R.owner_documents(as_owner_digest(spark, d))
+    return doc.withColumn("n_alerts", F.size("alerts")).withColumn("alerts", F.to_json("alerts"))
+
+
 @query
 def as_summary(spark, d):
     return R.account_summary(_account_alerts(spark, d)[0])
@@ -329,7 +341,14 @@ def as_recap(spark, d):
     alerts, _ = _account_alerts(spark, d)
     recap = R.account_recap(alerts).sort(*R.recap_order()).select("ranking", "AS_name", "combo", "kpi")
     path = write_csv(recap, stage_path(spark, "recap"), ("ranking",))
-    return spark.read.option("header", True).schema("AS_name string, combo string, kpi string, ranking string").csv(path)
+    return read_csv(spark, path, T.StructType.fromDDL("AS_name string, combo string, kpi string, ranking string"))
+
+
+@query
+def ts_recap(spark, d):
+    """Tag alerts written as CSV and read back."""
+    alerts = _tag_alerts(spark, d)
+    return read_csv(spark, write_csv(alerts, stage_path(spark, "recap")), alerts.schema)
 
 
 @query
@@ -388,14 +407,12 @@ def bps_change(spark, d):
 
 @query
 def ts_alert_doc(spark, d):
-    """Nested owner documents, shown as counts and the nested text."""
+    """Nested documents of owners and partners, shown as counts and the nested text."""
     doc = TS.owner_documents(_tag_alerts(spark, d))
-    sites = F.flatten(F.transform("partners", lambda p: p["alerts"]))
     return doc.select(
-        "name", "email", "manager_name", "cost_center", "subregion", "ranking", "part",
-        F.size("partners").alias("n_partners"), F.size(sites).alias("n_sites"),
-        F.aggregate(sites, F.lit(0), lambda n, s: n + F.size(s["event"])).alias("n_events"),
-        F.to_json("partners").alias("partners"))
+        "name", "email", "manager_name", "cost_center", "subregion", "ranking", "partner_name", "partner_id",
+        F.size("alerts").alias("n_sites"), F.aggregate("alerts", F.lit(0), lambda n, s: n + F.size(s["event"])).alias("n_events"),
+        F.to_json("alerts").alias("alerts"))
 
 
 @query
@@ -455,7 +472,7 @@ def export_territory(spark, d):
 def export_filter(spark, d):
     """The account export written as CSV, read back and filtered."""
     path = write_csv(E.export_accounts(sample_star(spark, d), RUN), stage_path(spark, "export"))
-    rows = read_csv(spark, path, E.EXPORT_SCHEMA)
+    rows = stage(read_csv(spark, path, E.EXPORT_SCHEMA).select("series", "kpi", "day", "run_date", "value"), "export-rows")
     return rounded(E.export_filter(rows).select("series", "kpi", "day", "run_date", "value"), 9)
 
 
@@ -492,5 +509,27 @@ def notification_outbox_ts(spark, d):
     return G.unsent(outbox, sample_star(spark, d).sent_history)
 
 
+@query
+def notification_outbox_exec(spark, d):
+    text = EX.alert_text(_territories(spark, d).results)
+    return G.unsent(G.executive_notice(text, DELIVERY, RUN), sample_star(spark, d).sent_history)
+
+
+@query
+def trouble_notices(spark, d):
+    """Mail and chat of the jobs that did not run today: no alerts, late or failed, as usual and in test mode."""
+    product = F.when(F.col("script") == "job_f", "AS").when(F.col("script") == "job_o", "TS").otherwise("EXEC")
+    kind = F.element_at(F.array(*map(F.lit, ("no_alerts", "late", "error"))), F.substring("geo", 5, 12).cast("int") % 3 + 1)
+    cases = run_history_gate(spark, d).select(product.alias("product"), kind.alias("kind")).distinct()
+    out = []
+    for one in cases.collect():  # nine at most
+        for mode in ("usual", "test"):
+            own = replace(DELIVERY, test_mode=mode == "test")
+            mail = G.trouble_notice(spark, one.product, one.kind, own, RUN).select("product", "kind", "to", "bcc", "subject")
+            out.append(mail.withColumns({"mode": F.lit(mode), "chat": F.lit(G.chat_notice(one.product, one.kind)),
+                                         "channels": F.lit(" ".join(G.chat_channels(own)))}))
+    return reduce(DataFrame.unionByName, out)
+
+
 def queries() -> dict[str, Query]:
     return {name.removesuffix("_query"): build for name, build in QUERIES.items()}

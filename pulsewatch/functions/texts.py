@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -66,6 +67,12 @@ def title_name(name: Column) -> Column:
     return F.initcap(F.lower(name))
 
 
+def every_part_capitalized(name: Column) -> Column:
+    """Like title_name, but every run of letters starts with a capital: Anne-Marie, O'Neil."""
+    parts = F.split(F.lower(name), r"(?<=[^\p{L}])|(?=[^\p{L}])")
+    return F.array_join(F.transform(parts, capitalize_first), "")
+
+
 def capitalize_first(text: Column) -> Column:
     return F.concat(F.upper(F.substring(text, 1, 1)), text.substr(F.lit(2), F.length(text)))
 
@@ -78,7 +85,7 @@ def site_name(code: Column) -> Column:
     chain = None
     for key, shown in SITE_NAMES.items():
         chain = (F.when if chain is None else chain.when)(F.lower(code) == key, shown)
-    return chain.otherwise(title_name(code))
+    return chain.otherwise(every_part_capitalized(code))
 
 
 def percent_difference(before: Column, after: Column) -> Column:
@@ -90,14 +97,16 @@ def bps_change(before: Column, after: Column, multiplier: float = 1.0) -> Column
     return (after - before) * F.lit(float(multiplier))
 
 
-def moment_text(moment: datetime, timezone: str, show_zone: bool = True) -> Column:
-    """Like "Fri  1 Mar 2024 09:30AM UTC" for a UTC moment in a time zone."""
+def moment_text(moment: datetime, zone: str, show_zone: bool = True) -> Column:
+    """Like "Fri  1 Mar 2024 09:30AM UTC" for a UTC moment in a time zone, with its abbreviation then."""
     utc = F.lit(moment.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-    local = F.convert_timezone(F.lit("UTC"), F.lit(timezone), utc)
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
     text = F.concat(
         F.date_format(local, "EEE "), F.lpad(F.date_format(local, "d"), 2, " "),
         F.date_format(local, " MMM yyyy hh:mma"))
-    return F.concat(text, F.lit(f" {timezone}")) if show_zone else text
+    if not show_zone:
+        return text
+    return F.concat(text, F.lit(moment.replace(tzinfo=timezone.utc).astimezone(ZoneInfo(zone)).strftime(" %Z")))
 
 
 def day_text(day: Column) -> Column:

@@ -18,7 +18,8 @@ def calendar_fill(df: DataFrame, key: str, metrics: list[str],
     * days before the series' first day are otherwise left out
 
     All other columns of an added row come from the series' first row, that is
-    the smallest by day and then by the remaining columns. Reads ``df`` three
+    the smallest by day and then by the remaining columns, the hash of the
+    attributes last. Reads ``df`` three
     times, so pass a staged frame. The calendar is the only thing shared by all
     tasks: one row with the distinct days.
     """
@@ -29,7 +30,7 @@ def calendar_fill(df: DataFrame, key: str, metrics: list[str],
     calendar = calendar.select(F.struct(
         "hi", F.array_except(F.sequence("lo", "hi"), "days").alias("unseen")).alias("c")).scalar()
 
-    others = [c for c in df.columns if c != "day"]
+    others = sorted((c for c in df.columns if c != "day"), key=lambda c: c == "attributes_id")
     profile = series_profile(df, key, [
         F.min("day").alias("__start"),
         F.collect_set("day").alias("__days"),

@@ -1,4 +1,4 @@
-"""Consecutive numbers and bounded nesting for groups of any size."""
+"""Consecutive numbers for groups of any size."""
 
 from __future__ import annotations
 
@@ -26,12 +26,3 @@ def number_rows(df: DataFrame, groups: list[str], order: list[Column], name: str
     return (sliced.join(starts, [*groups, "__slice"])
             .withColumn(name, (F.col("__start") + F.row_number().over(within)).cast("int"))
             .drop("__slice", "__start"))
-
-
-def document_part(df: DataFrame, owner: list[str], entry: list[str], limit: int) -> DataFrame:
-    """Adds ``part``: 0 for usual owners, several parts for very long documents."""
-    sizes = df.groupBy(*owner).agg(F.count(F.lit(1)).alias("__n"))
-    parts = F.ceil(F.col("__n") / F.lit(limit)).cast("bigint")
-    return (df.join(sizes, owner)
-            .withColumn("part", F.pmod(F.xxhash64(*entry), parts).cast("int"))
-            .drop("__n"))

@@ -1,7 +1,7 @@
 """Common table expressions of the check statements.
 
-They follow the order of the original queries (join everything, remove
-duplicates, then sum), not the order in which the Spark jobs work.
+They are written from the definitions of the features: facts summed per
+campaign, currency and day, one table of rates per conversion, attributes last.
 """
 
 from __future__ import annotations
@@ -40,24 +40,25 @@ CTES: dict[str, str] = {}
 # ---- the star schema --------------------------------------------------------
 
 CTES["x_employee"] = """
-SELECT c_custkey AS employee_id, c_mktsegment || ' C' || c_custkey AS full_name,
-       lower(c_mktsegment || '.' || c_custkey || '@example.test') AS email, c_nationkey AS country,
+SELECT c_custkey AS employee_id, c_mktsegment || CASE WHEN c_custkey % 7 = 3 THEN '-ANN' ELSE '' END || ' C' || c_custkey AS full_name,
+       lower(c_mktsegment || '.' || c_custkey || '@example.test') AS email, CAST(c_nationkey AS VARCHAR) AS country,
        CASE WHEN c_nationkey % 5 = 1 THEN 'LM' ELSE 'US' END AS cost_center_country,
-       CASE c_custkey % 4 WHEN 0 THEN 'TIE' WHEN 1 THEN 'IAP' WHEN 2 THEN 'TIE' ELSE 'OTHER' END AS cost_center_activity,
+       ['FIELD', 'OFFICE', 'OTHER'][c_custkey % 3 + 1] AS cost_center_activity,
        CASE WHEN c_custkey % 25 <> 24 THEN c_custkey // 10 END AS direct_reports_id
 FROM customer"""
 
 CTES["x_client"] = """
 SELECT s_suppkey AS client_id, 'client ' || s_suppkey AS client_name, s_suppkey * 10 + c AS campaign_id,
-       'campaign ' || c AS campaign_name, s_suppkey // 3 AS account_strategist_employee_id,
-       s_suppkey // 4 AS ts_engineer_employee_id, CAST(1 + s_suppkey % 3 AS INTEGER) AS client_currency_id,
+       CASE WHEN s_suppkey % 10 = 5 THEN ' "camp, aign"' || chr(10) || c || ' ' ELSE 'campaign ' || c END AS campaign_name,
+       s_suppkey // 3 + CASE WHEN s_suppkey % 20 = 1 THEN c ELSE 0 END AS account_strategist_employee_id,
+       s_suppkey // 4 AS ts_engineer_employee_id, CAST(1 + s_suppkey % 5 AS INTEGER) AS client_currency_id,
        s_suppkey AS partner_id, 'partner ' || s_suppkey AS partner_name,
        CASE WHEN s_suppkey % 3 = 0 THEN 'TIER 2' ELSE 'TIER 1' END AS ranking,
        CASE WHEN c = 0 THEN 'WEB' ELSE 'APP' END AS campaign_scenario,
        CASE WHEN s_suppkey % 2 = 0 THEN 'CONVERSION' ELSE 'TRAFFIC' END AS campaign_type_name,
        CAST(s_suppkey % 4 AS INTEGER) AS campaign_revenue_type, CAST(1 + c AS INTEGER) AS campaign_funnel_id,
-       CASE WHEN s_suppkey % 10 <> 8 THEN 'vertical ' || (s_suppkey % 6) END AS vertical_name,
-       CASE WHEN s_suppkey % 10 <> 8 THEN 'group ' || (s_suppkey % 2) END AS RTC_vertical,
+       CASE WHEN s_suppkey % 10 <> 8 THEN 'vertical ' || (s_suppkey % 6) WHEN c = 1 THEN 'either' END AS vertical_name,
+       CASE WHEN s_suppkey % 10 <> 8 THEN 'group ' || (s_suppkey % 2) WHEN c = 0 THEN 'either' END AS RTC_vertical,
        CASE s_suppkey % 10 WHEN 8 THEN NULL WHEN 9 THEN 'FILLER' ELSE 'RETAIL' END AS vertical_level_3_name,
        'global ' || (s_suppkey % 7) AS global_account_name,
        CASE s_nationkey % 8 WHEN 0 THEN 'US' WHEN 1 THEN 'CANADA' WHEN 2 THEN 'BRAZIL' WHEN 3 THEN 'ARGENTINA'
@@ -70,11 +71,10 @@ SELECT s_suppkey AS client_id, 'client ' || s_suppkey AS client_name, s_suppkey
 FROM supplier CROSS JOIN (VALUES (0), (1)) AS v(c)"""
 
 CTES["x_currency"] = """
-SELECT r_regionkey + 1 AS currency_id, CASE r_regionkey WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' ELSE 'BRL' END AS currency_code
-FROM region WHERE r_regionkey < 3"""
+SELECT r_regionkey + 1 AS currency_id, ['EUR', 'USD', 'BRL', 'JPY', 'GBP'][r_regionkey + 1] AS currency_code FROM region"""
 
 CTES["x_country"] = """
-SELECT n_nationkey AS country_code, n_name AS country, r_name || ' AREA' AS subregion, r_name AS region
+SELECT CAST(n_nationkey AS VARCHAR) AS country_code, n_name AS country, r_name || ' AREA' AS subregion, r_name AS region
 FROM nation JOIN region ON n_regionkey = r_regionkey"""
 
 _GAPS = """NOT (digit = 4 AND day = DATE '2024-02-29')
@@ -91,11 +91,11 @@ SELECT day, campaign_id, client_id, q * 20 AS displays, q AS clicks, floor(q / 5
 FROM (SELECT *, {_FACTOR} AS f, {_TAC_FACTOR} AS g
       FROM (SELECT {T} - CAST(1 + l_orderkey % 60 AS INTEGER) AS day, l_suppkey AS client_id, l_suppkey % 10 AS digit,
                    l_suppkey * 10 + l_linenumber % 2 AS campaign_id,
-                   CAST(1 + l_partkey % 3 AS INTEGER) AS affiliate_currency_id, l_quantity AS q,
+                   CAST(1 + l_partkey % 5 AS INTEGER) AS affiliate_currency_id, l_quantity AS q,
                    floor(l_extendedprice) AS p, floor(floor(l_extendedprice) * (1 - l_discount)) AS cost,
                    floor(floor(l_extendedprice) * 5 * (1 + l_tax)) AS ov
             FROM lineitem)
-      WHERE day <> DATE '2024-01-20' AND {_GAPS})
+      WHERE day <> DATE '2024-01-20' AND {_GAPS} AND NOT (client_id % 20 = 1 AND campaign_id % 10 = 1 AND day = {Y}))
 JOIN (VALUES (0), (1)) AS v(n) ON n = 0 OR q >= 45"""
 
 CTES["x_stats_2"] = f"""
@@ -103,7 +103,7 @@ SELECT day, campaign_id, cost * {_FACTOR} * {_TAC_FACTOR} AS tac_local,
        p * {_FACTOR} * CASE WHEN day = {Y} AND nk % 8 = 2 THEN 8.0e0 ELSE 1.0e0 END AS revenue_local,
        affiliate_currency_id
 FROM (SELECT {T} - CAST(1 + l_orderkey % 30 AS INTEGER) AS day, s_suppkey % 10 AS digit, s_nationkey AS nk,
-             l_suppkey * 10 + l_linenumber % 2 AS campaign_id, CAST(1 + l_partkey % 3 AS INTEGER) AS affiliate_currency_id,
+             l_suppkey * 10 + l_linenumber % 2 AS campaign_id, CAST(1 + l_partkey % 5 AS INTEGER) AS affiliate_currency_id,
              floor(l_extendedprice) AS p, floor(floor(l_extendedprice) * (1 - l_discount)) AS cost
       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
 WHERE {_GAPS}"""
@@ -114,15 +114,14 @@ SELECT CAST(unnest(generate_series(DATE '2024-01-01', {Y}, INTERVAL 1 DAY)) AS D
 CTES["x_fx_daily"] = """
 SELECT s.c AS source_currency_id, t.c AS destination_currency_id, day,
        CASE WHEN s.c = t.c THEN 1.0e0 ELSE 1.0e0 + 0.125e0 * (s.c - t.c) + (dayofyear(day) % 5) / 1024.0e0 END AS rate
-FROM (SELECT r_regionkey + 1 AS c FROM region WHERE r_regionkey < 3) s
-CROSS JOIN (SELECT r_regionkey + 1 AS c FROM region WHERE r_regionkey < 3) t CROSS JOIN x_days
+FROM (SELECT r_regionkey + 1 AS c FROM region) s CROSS JOIN (SELECT r_regionkey + 1 AS c FROM region) t CROSS JOIN x_days
 WHERE NOT (s.c = 3 AND t.c = 1 AND dayofyear(day) % 7 = 0)"""
 
 CTES["x_fx_year"] = """
 SELECT s.c AS source_currency_id, t.c AS destination_currency_id, 2024 AS year_code, f.n AS forecast_type_id,
        1.0e0 + 0.125e0 * (s.c - t.c) + f.n * 8 AS rate
-FROM (SELECT r_regionkey + 1 AS c FROM region WHERE r_regionkey < 2) s
-CROSS JOIN (SELECT r_regionkey + 1 AS c FROM region WHERE r_regionkey < 3) t CROSS JOIN (VALUES (0), (1)) AS f(n)"""
+FROM (SELECT r_regionkey + 1 AS c FROM region) s CROSS JOIN (SELECT r_regionkey + 1 AS c FROM region) t
+CROSS JOIN (VALUES (0), (1)) AS f(n) WHERE s.c <> 3"""
 
 CTES["x_events"] = f"""
 SELECT partner_id, day, site_type, event_name,
@@ -167,28 +166,35 @@ CTES["x_facts"] = f"""
 SELECT DISTINCT day, displays, clicks, conversions, order_value, revenue_local, tac_local, revenue_euro, tac_euro,
        campaign_id, affiliate_currency_id FROM x_stats WHERE day >= {T} - 60"""
 
+CTES["x_dim"] = """
+SELECT DISTINCT k.campaign_id, k.client_currency_id, k.client_name, k.client_id, k.global_account_name, k.RTC_vertical, k.vertical_name,
+       k.campaign_name, k.ranking, k.campaign_scenario, k.campaign_type_name, k.campaign_revenue_type, k.campaign_funnel_id,
+       w.owner_name AS AS_name, w.owner_email AS AS_email, w.manager_name, w.manager_email, w.cost_center, m.currency_code, z.country,
+       z.subregion, z.region
+FROM (SELECT * FROM x_client WHERE {clients}) k, x_owner w, x_currency m, x_country z
+WHERE w.employee_id = k.account_strategist_employee_id AND m.currency_id = k.client_currency_id AND z.country_code = w.country_code"""
+
+CTES["x_fact_sums"] = """
+SELECT campaign_id, affiliate_currency_id, day, sum(clicks) AS n_clicks, sum(displays) AS n_displays, sum(conversions) AS n_conversions,
+       sum(order_value) AS ordered, sum(revenue_local) AS revenue, sum(tac_local) AS media, sum(revenue_euro - tac_euro) AS euro,
+       sum(revenue_local) FILTER (tac_local IS NOT NULL) AS paired_revenue, sum(tac_local) FILTER (revenue_local IS NOT NULL) AS paired_media
+FROM x_facts GROUP BY ALL"""
+
+CTES["x_day_rate"] = f"""
+SELECT DISTINCT source_currency_id AS affiliate_currency_id, destination_currency_id AS client_currency_id, day, rate
+FROM x_fx_daily WHERE day >= {T} - 60"""
+
+CTES["x_priced"] = """
+SELECT campaign_id, client_currency_id, day, coalesce(sum(n_clicks), 0) AS clicks, coalesce(sum(n_displays), 0) AS displays,
+       coalesce(sum(n_conversions), 0) AS conversions, coalesce(sum(revenue), 0) AS spend, coalesce(sum(media * rate), 0) AS tac,
+       coalesce(sum(paired_revenue - paired_media * rate), 0) AS rext, coalesce(sum(euro), 0) AS rext_euro,
+       coalesce(sum(ordered), 0) AS order_value
+FROM x_fact_sums JOIN (SELECT DISTINCT campaign_id, client_currency_id FROM x_dim) USING (campaign_id)
+JOIN x_day_rate USING (affiliate_currency_id, client_currency_id, day)
+GROUP BY ALL"""
+
 CTES["x_campaign"] = f"""
-SELECT {CAMPAIGN_ATTRS}, s.day, coalesce(sum(clicks), 0) AS clicks, coalesce(sum(displays), 0) AS displays,
-       coalesce(sum(conversions), 0) AS conversions, coalesce(sum(revenue_local), 0) AS spend,
-       coalesce(sum(tac_local * rate), 0) AS tac, coalesce(sum(revenue_local - tac_local * rate), 0) AS rext,
-       coalesce(sum(revenue_euro - tac_euro), 0) AS rext_euro, coalesce(sum(order_value), 0) AS order_value
-FROM (SELECT DISTINCT client_name, client_id, global_account_name, RTC_vertical, vertical_name, campaign_name,
-             a.campaign_id, owner_name AS AS_name, owner_email AS AS_email, manager_name, manager_email, cost_center,
-             currency_code, client_currency_id, ranking, country, subregion, region, campaign_scenario, campaign_type_name,
-             campaign_revenue_type, campaign_funnel_id, day, displays, clicks, conversions, order_value, revenue_local,
-             tac_local, revenue_euro, tac_euro, affiliate_currency_id
-      FROM x_owner o
-      JOIN (SELECT DISTINCT campaign_id, account_strategist_employee_id, client_currency_id, client_name, client_id,
-                   campaign_name, ranking, campaign_scenario, RTC_vertical, vertical_name, global_account_name,
-                   campaign_type_name, campaign_revenue_type, campaign_funnel_id
-            FROM x_client WHERE {{clients}}) a ON o.employee_id = a.account_strategist_employee_id
-      JOIN x_currency c ON a.client_currency_id = c.currency_id
-      JOIN x_country co ON co.country_code = o.country_code
-      JOIN x_facts f ON f.campaign_id = a.campaign_id) s
-JOIN (SELECT DISTINCT * FROM x_fx_daily WHERE day >= {T} - 60) pub
-  ON s.affiliate_currency_id = pub.source_currency_id AND s.day = pub.day
- AND s.client_currency_id = pub.destination_currency_id
-GROUP BY {CAMPAIGN_ATTRS}, s.day"""
+SELECT {CAMPAIGN_ATTRS}, day, {", ".join(MEASURES)} FROM x_priced JOIN x_dim USING (campaign_id, client_currency_id)"""
 
 
 def union_sql(attrs: str, series: str) -> str:
@@ -213,54 +219,58 @@ SELECT DISTINCT level_1, level_2, level_3, country_name, campaign_id, account_st
 FROM x_client WHERE level_3 = 'AMERICAS' AND ranking = 'TIER 1' AND vertical_level_3_name NOT IN ('FILLER')"""
 
 
-def margin_sql(clients: str, keys: str) -> str:
+CTES["x_conversion"] = """
+SELECT g.source, g.target, g.day, coalesce(any_value(y.rate), any_value(d.rate)) AS rate
+FROM (SELECT a.currency_id AS source, b.currency_id AS target, day FROM x_currency a, x_currency b, x_days) g
+LEFT JOIN x_fx_daily d ON d.source_currency_id = g.source AND d.destination_currency_id = g.target AND d.day = g.day
+LEFT JOIN x_fx_year y ON y.source_currency_id = g.source AND y.destination_currency_id = g.target AND y.forecast_type_id = 0
+     AND y.year_code = year(g.day)
+GROUP BY ALL"""
+
+CTES["x_place"] = """
+SELECT DISTINCT e.campaign_id, e.client_currency_id, e.client_id, e.client_name, level_3 AS area, level_2 AS region,
+       CASE WHEN list_contains(['US', 'CANADA', 'BRAZIL'], level_1) THEN level_1 WHEN level_1 <> 'SOUTH AMERICA' THEN NULL
+            WHEN list_contains(['ARGENTINA', 'MEXICO', 'CHILE', 'COLOMBIA'], country_name) THEN country_name ELSE 'SAM OTHER' END AS country
+FROM x_exec_client e SEMI JOIN x_employee p ON p.employee_id = e.account_strategist_employee_id"""
+
+CTES["x_month_sums"] = f"""
+SELECT campaign_id, affiliate_currency_id, day, coalesce(sum(revenue_local), 0) AS revenue, coalesce(sum(tac_local), 0) AS media
+FROM (SELECT DISTINCT day, campaign_id, tac_local, revenue_local, affiliate_currency_id FROM x_stats_2 WHERE day >= {T} - 30)
+GROUP BY ALL"""
+
+
+def margin_sql(places: str, keys: str) -> str:
+    """Margin in dollars: what was earned, less the media in the client's currency, both turned into dollars."""
     return f"""
-SELECT f.day, {keys},
-       sum(coalesce(revenue * cy.rate, revenue * cd.rate, 0)
-           - coalesce(tac * py.rate, tac * pd.rate, 0) * coalesce(cy.rate, cd.rate, 1)) AS RexT_USD_Constant
-FROM (SELECT *, level_3 AS area, level_2 AS region,
-             CASE WHEN level_1 IN ('US', 'CANADA', 'BRAZIL') THEN level_1
-                  WHEN level_1 = 'SOUTH AMERICA' AND country_name IN ('ARGENTINA', 'MEXICO', 'CHILE', 'COLOMBIA') THEN country_name
-                  WHEN level_1 = 'SOUTH AMERICA' THEN 'SAM OTHER' END AS country
-      FROM ({clients})) a
-JOIN (SELECT DISTINCT employee_id FROM x_employee) em ON em.employee_id = a.account_strategist_employee_id
-JOIN (SELECT DISTINCT day, campaign_id, tac_local AS tac, revenue_local AS revenue, affiliate_currency_id
-      FROM x_stats_2 WHERE day >= {T} - 30) f ON f.campaign_id = a.campaign_id
-LEFT JOIN (SELECT DISTINCT * FROM x_fx_daily) pd
-  ON f.affiliate_currency_id = pd.source_currency_id AND f.day = pd.day AND a.client_currency_id = pd.destination_currency_id
-LEFT JOIN (SELECT DISTINCT source_currency_id, day, rate FROM x_fx_daily WHERE destination_currency_id = 2) cd
-  ON cd.source_currency_id = a.client_currency_id AND cd.day = f.day
-LEFT JOIN (SELECT DISTINCT source_currency_id, rate, year_code FROM x_fx_year
-           WHERE forecast_type_id = 0 AND destination_currency_id = 2) cy
-  ON a.client_currency_id = cy.source_currency_id AND year(f.day) = cy.year_code
-LEFT JOIN (SELECT DISTINCT * FROM x_fx_year WHERE forecast_type_id = 0) py
-  ON f.affiliate_currency_id = py.source_currency_id AND a.client_currency_id = py.destination_currency_id
- AND year(f.day) = py.year_code
-GROUP BY f.day, {keys}"""
-
-
-CTES["x_territory"] = margin_sql(
-    "SELECT DISTINCT level_1, level_2, level_3, country_name, campaign_id, account_strategist_employee_id, "
-    "client_currency_id FROM x_exec_client", "area, region, country")
+SELECT day, {keys}, sum(revenue * coalesce(dollars, 0) - media * coalesce(local, 0) * coalesce(dollars, 1)) AS RexT_USD_Constant
+FROM (SELECT s.day, {keys}, revenue, media, u.rate AS dollars, c.rate AS local
+      FROM x_month_sums s JOIN ({places}) p USING (campaign_id)
+      LEFT JOIN x_conversion u ON u.source = p.client_currency_id AND u.target = 2 AND u.day = s.day
+      LEFT JOIN x_conversion c ON c.source = s.affiliate_currency_id AND c.target = p.client_currency_id AND c.day = s.day)
+GROUP BY day, {keys}"""
+
+
+CTES["x_territory"] = margin_sql("SELECT DISTINCT campaign_id, client_currency_id, area, region, country FROM x_place", "area, region, country")
 CTES["x_account"] = margin_sql(
-    f"SELECT e.* FROM x_exec_client e JOIN (SELECT client_id AS cid FROM x_stats WHERE day BETWEEN {T} - 25 AND {Y} "
-    "GROUP BY 1 HAVING count(DISTINCT day) = 25) live ON live.cid = e.client_id", "area, region, country, client_name")
+    f"SELECT * FROM x_place WHERE client_id IN (SELECT client_id FROM x_stats WHERE day BETWEEN {T} - 25 AND {Y} GROUP BY client_id "
+    "HAVING count(DISTINCT day) = 25)", "area, region, country, client_name")
+
+CTES["x_partner"] = """
+SELECT DISTINCT k.campaign_id, k.partner_name, k.partner_id, k.ranking, k.RTC_vertical, k.vertical_name, k.global_account_name,
+       w.owner_name AS TS_name, w.owner_email AS ts_engineer_email, w.manager_name, w.manager_email, w.cost_center AS ts_cost_center,
+       z.country AS ts_country, z.subregion AS ts_subregion, z.region AS ts_region
+FROM (SELECT * FROM x_client WHERE {clients}) k, x_owner w, x_country z
+WHERE w.employee_id = k.ts_engineer_employee_id AND z.country_code = w.country_code"""
+
+CTES["x_media"] = f"""
+SELECT campaign_id, day, sum(tac_local) AS media
+FROM (SELECT DISTINCT campaign_id, day, tac_local FROM x_stats_2 WHERE day >= {T} - 30 AND day < {T}) GROUP BY ALL"""
 
 CTES["x_live"] = f"""
-SELECT {TAG_ATTRS}, count(DISTINCT day) AS days_live,
-       sum(CASE WHEN day IN ({Y}, {T} - 2) THEN tac ELSE 0 END) AS recent_tac
-FROM (SELECT partner_name, partner_id, owner_name AS TS_name, owner_email AS ts_engineer_email, manager_name, manager_email,
-             ranking, cost_center AS ts_cost_center, co.country AS ts_country, co.subregion AS ts_subregion,
-             co.region AS ts_region, RTC_vertical, vertical_name, global_account_name, day, tac
-      FROM x_owner o
-      JOIN x_country co ON co.country_code = o.country_code
-      JOIN (SELECT DISTINCT partner_id, ts_engineer_employee_id, ranking, partner_name, campaign_id, RTC_vertical,
-                   vertical_name, global_account_name FROM x_client WHERE {{clients}}) a
-        ON o.employee_id = a.ts_engineer_employee_id
-      JOIN (SELECT DISTINCT day, campaign_id, tac_local AS tac FROM x_stats_2
-            WHERE day BETWEEN {T} - 30 AND {Y}) f ON f.campaign_id = a.campaign_id)
-GROUP BY {TAG_ATTRS}
-HAVING count(DISTINCT day) >= 25 AND sum(CASE WHEN day IN ({Y}, {T} - 2) THEN tac ELSE 0 END) > 0"""
+SELECT * FROM (
+  SELECT {TAG_ATTRS}, len(list_distinct(list(day))) AS days_live, coalesce(sum(media) FILTER (day >= {T} - 2), 0) AS recent_tac
+  FROM x_media JOIN x_partner USING (campaign_id) GROUP BY ALL)
+WHERE days_live >= 25 AND recent_tac > 0"""
 
 CTES["x_tag"] = f"""
 SELECT {TAG_ATTRS}, day, site_type, event_name, CAST(sum(events) AS BIGINT) AS events
@@ -301,7 +311,7 @@ SELECT * REPLACE ({clean_texts(_TEXTS)}, coalesce(margin, 0) AS margin),
 FROM x_union WHERE combo NOT IN (SELECT combo FROM x_disqualified)"""
 
 
-def fill_sql(source: str, key: str, metrics: list[str]) -> str:
+def fill_sql(source: str, key: str, metrics: list[str], order: str = "day") -> str:
     medians = ", ".join(f"median({m}) AS med_{m}" for m in metrics)
     values = ", ".join(f"CASE WHEN g.unseen THEN p.med_{m} ELSE 0 END AS {m}" for m in metrics)
     doubles = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in metrics)
@@ -313,7 +323,7 @@ WITH cal AS (SELECT d.day, d.day NOT IN (SELECT DISTINCT day FROM {source}) AS u
      g AS (SELECT p.{key}, cal.day, cal.unseen FROM p CROSS JOIN cal
            LEFT JOIN (SELECT DISTINCT {key}, day FROM {source}) s ON s.{key} = p.{key} AND s.day = cal.day
            WHERE s.day IS NULL AND (cal.unseen OR cal.day >= p.start_day)),
-     f AS (SELECT * FROM {source} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY day) = 1)
+     f AS (SELECT * FROM {source} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1)
 SELECT * REPLACE ({doubles}) FROM {source}
 UNION ALL BY NAME
 SELECT f.* REPLACE (g.day AS day, {values}) FROM g JOIN p ON p.{key} = g.{key} JOIN f ON f.{key} = g.{key}"""
@@ -349,7 +359,9 @@ FROM (SELECT *, base AND below_fence AND fell AS neg, base AND above_fence AND r
                   FROM {source})))"""
 
 
-CTES["x_filled"] = fill_sql("x_eligible", "combo", ["spend", "cos", "ctr", "cr", "rext"])
+# of several rows on a series' first day the least by its measures is copied
+FIRST_ROW = "day, clicks, displays, conversions, spend"
+CTES["x_filled"] = fill_sql("x_eligible", "combo", ["spend", "cos", "ctr", "cr", "rext"], FIRST_ROW)
 CTES["x_as_stats"] = stats_sql("x_filled", "combo", ["rext", "spend", "cos", "cr", "ctr"],
                                f"max(rext_euro) FILTER (day = {Y}) AS rext_euro_yesterday,")
 CTES["x_as_flags"] = f"""
@@ -414,10 +426,10 @@ CTES["x_as_summary"] = """
 SELECT ranking, count(DISTINCT AS_name) AS emails_sent, count(*) AS total_alerts FROM x_as_recap GROUP BY ranking"""
 
 CTES["x_chart_long"] = """
-SELECT combo, currency_code, kpi, day, value
-FROM (UNPIVOT (SELECT combo, currency_code, day, rext, spend, cos, cr, ctr FROM x_filled)
+SELECT combo, AS_name, AS_email, currency_code, kpi, day, value
+FROM (UNPIVOT (SELECT combo, AS_name, AS_email, currency_code, day, rext, spend, cos, cr, ctr FROM x_filled)
       ON rext, spend, cos, cr, ctr INTO NAME kpi VALUE value)
-SEMI JOIN x_as_alerts USING (combo, kpi)"""
+SEMI JOIN x_as_alerts USING (combo, AS_name, AS_email, kpi)"""
 
 
 def number_text(x: str, digits: int = 2) -> str:
@@ -455,9 +467,9 @@ _STEP = """CASE WHEN kpi IN ('spend', 'rext', 'events')
   ELSE CASE WHEN hi < 0.30e0 THEN 0.01e0 ELSE 0.1e0 END END"""
 
 
-def axis_sql(source: str) -> str:
+def axis_sql(source: str, keys: str = "combo, kpi") -> str:
     return f"""
-SELECT combo, kpi, step, y_max, y_min,
+SELECT {keys}, step, y_max, y_min,
        CASE WHEN kpi IN ('spend', 'rext') THEN {compact_text('y_max')} || ' ' || currency_code
             WHEN kpi = 'events' THEN {compact_text('y_max')} ELSE {compact_text('(y_max * 100)')} || ' %' END AS y_max_label,
        CASE WHEN kpi IN ('spend', 'rext') THEN {compact_text('y_min')} || ' ' || currency_code
@@ -471,12 +483,12 @@ FROM (SELECT *, ceil(greatest(0.0e0, hi * CASE WHEN hi > 0 THEN 1.05e0 ELSE 0.95
              CASE WHEN kpi = 'events' THEN 0.0e0
                   ELSE floor(least(0.0e0, lo * CASE WHEN lo < 0 THEN 1.05e0 ELSE 0.95e0 END) / step) * step END AS y_min
       FROM (SELECT *, {_STEP} AS step
-            FROM (SELECT combo, kpi, max(value) AS hi, min(value) AS lo, arg_max(value, day) AS last_value,
+            FROM (SELECT {keys}, max(value) AS hi, min(value) AS lo, arg_max(value, day) AS last_value,
                          min(currency_code) AS currency_code, min(day) AS first_day, max(day) AS last_day
-                  FROM {source} GROUP BY combo, kpi)))"""
+                  FROM {source} GROUP BY {keys})))"""
 
 
-CTES["x_axis"] = axis_sql("x_chart_long")
+CTES["x_axis"] = axis_sql("x_chart_long", "combo, AS_name, AS_email, kpi")
 CTES["x_ts_axis"] = axis_sql("""(SELECT combo, '' AS currency_code, 'events' AS kpi, day, events AS value
                                  FROM x_ts_filled SEMI JOIN x_ts_alerts USING (combo))""")
 
@@ -497,7 +509,7 @@ FROM ({union})""".format(
     texts=clean_texts([c for c in _TEXTS if c not in ("AS_name", "AS_email", "manager_name", "manager_email", "currency_code")]),
     cos=ratio("spend", "order_value"), ctr=ratio("clicks", "displays"), cr=ratio("conversions", "clicks"),
     union=union_sql(EXPORT_CLIENT_ATTRS, "series"))
-CTES["x_export_filled"] = fill_sql("x_export_rows", "series", [k for k in EXPORT_KPIS if k != "rext_euro"])
+CTES["x_export_filled"] = fill_sql("x_export_rows", "series", [k for k in EXPORT_KPIS if k != "rext_euro"], FIRST_ROW)
 CTES["x_export_as"] = f"""
 SELECT * FROM (UNPIVOT (SELECT * FROM x_export_filled) ON {", ".join(EXPORT_KPIS)} INTO NAME kpi VALUE value)"""
 
@@ -513,7 +525,9 @@ SELECT {_EXPORT_TAG_ATTRS}, site_type, event_name, value, partner_name || ' ' ||
 UNION ALL
 SELECT {_EXPORT_TAG_ATTRS}, 'SITE LEVEL', 'SITE LEVEL', sum(value), partner_name, 'site_events'
 FROM x_export_tag GROUP BY {_EXPORT_TAG_ATTRS}"""
-CTES["x_export_ts"] = fill_sql("x_export_tag_rows", "series", ["value"])
+CTES["x_export_ts"] = fill_sql(
+    "x_export_tag_rows", "series", ["value"],
+    "day, value, ranking, cost_center, country, subregion, region, RTC_vertical, vertical_name, global_account_name")
 CTES["x_export_territory_rows"] = f"""
 SELECT area AS series, area AS region, 'N/A' AS subregion, 'N/A' AS country, day, sum(RexT_USD_Constant) AS value
 FROM {_TERRITORY} GROUP BY area, day
@@ -536,7 +550,7 @@ def statement(final: str, employees: str = "TRUE", clients: str = "TRUE") -> str
     parts = []
     for name, sql in CTES.items():
         if name in needed:
-            if name in ("x_owner", "x_campaign", "x_live"):
+            if name in ("x_owner", "x_dim", "x_partner"):
                 sql = sql.replace("{employees}", employees).replace("{clients}", clients)
             parts.append(f"{name} AS MATERIALIZED ({sql}\n)")
     body = f"SELECT * FROM ({final})" if final.lstrip().startswith("WITH") else final

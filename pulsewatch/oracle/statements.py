@@ -25,7 +25,7 @@ def link(base: str, params: dict[str, str]) -> str:
 
 
 RULE = "-" * 79
-SENT = "Fri  1 Mar 2024 09:30AM UTC"
+SENT = "Fri  1 Mar 2024 04:30AM EST"
 DAY = "Fri  1 Mar 2024"
 
 
@@ -80,9 +80,7 @@ FROM (UNPIVOT (SELECT combo, client_name, campaign_name, day, rext, spend, cos,
                       order_value, rext_euro FROM x_filled)
       ON rext, spend, cos, ctr, cr, clicks, displays, tac, conversions, order_value, rext_euro INTO NAME kpi VALUE value)"""
 FINAL["wide_to_long"] = """
-SELECT day AS "Day", CASE series WHEN 'AMERICAS' THEN 'Americas' WHEN 'NORTH AMERICA' THEN 'North America' ELSE 'LATAM' END
-       AS "Series", RexT
-FROM x_territory_series WHERE series IN ('AMERICAS', 'NORTH AMERICA', 'LATAM')"""
+SELECT day AS "Day", series AS "Series", RexT FROM x_territory_series"""
 FINAL["last_n_rounded"] = """
 SELECT series, day, round_even(RexT, 2) + 0.0e0 AS RexT FROM x_territory_series
 QUALIFY row_number() OVER (PARTITION BY series ORDER BY day DESC) <= 15"""
@@ -137,7 +135,7 @@ WITH c AS (SELECT AS_email, combo, CAST(row_number() OVER (
            FROM x_as_alerts GROUP BY AS_email, combo)
 SELECT a.AS_email, a.combo, a.kpi, a.AS_name, a.client_id, a.kpi_rank, c.client_no, c.client_no % 3 AS color_slot,
        x.last_label, x.first_day, x.last_day
-FROM x_as_alerts a JOIN c USING (AS_email, combo) LEFT JOIN x_axis x USING (combo, kpi)"""
+FROM x_as_alerts a JOIN c USING (AS_email, combo) LEFT JOIN x_axis x USING (AS_email, combo, kpi)"""
 FINAL["as_summary"] = f"SELECT *, {BODY} AS body FROM x_as_summary"
 FINAL["as_recap"] = "SELECT AS_name, combo, kpi, ranking FROM x_as_recap"
 FINAL["ts_summary"] = f"""
@@ -152,7 +150,7 @@ FINAL["chat_digest_ts"] = messages("""
   FROM (SELECT DISTINCT partner_name, event_name, site_type FROM x_ts_alerts) GROUP BY partner_name""",
   ["channel"], "*Technical alert(s)* sent to TS", "technical")
 FINAL["alert_chart_series"] = """
-SELECT combo, currency_code, day, kpi, round(value, 9) + 0.0e0 AS value FROM x_chart_long"""
+SELECT combo, AS_name, AS_email, currency_code, day, kpi, round(value, 9) + 0.0e0 AS value FROM x_chart_long"""
 FINAL["chart_axis_spec"] = "SELECT * REPLACE (round(step, 6) AS step, round(y_max, 6) + 0.0e0 AS y_max, round(y_min, 6) + 0.0e0 AS y_min) FROM x_axis"
 FINAL["chart_axis_spec_ts"] = "SELECT * REPLACE (round(step, 6) AS step, round(y_max, 6) + 0.0e0 AS y_max, round(y_min, 6) + 0.0e0 AS y_min) FROM x_ts_axis"
 
@@ -197,26 +195,27 @@ FINAL["bps_change"] = f"""
 SELECT combo, round(change, 4) AS change, CASE WHEN round_even(change, 0) > 0 THEN '+' ELSE '' END || {number_text("round_even(change, 0)", 0)} || ' bps' AS change_text
 FROM (SELECT combo, (max(cos) FILTER (day = {Y}) - max(cos) FILTER (day = {Y} - 1)) * 10000 AS change FROM x_eligible GROUP BY combo)
 WHERE change IS NOT NULL"""
-FINAL["ts_alert_doc"] = """
+_RANKINGS = """(SELECT TS_name, partner_id, string_agg(ranking, ', ' ORDER BY ranking) AS ranking
+      FROM (SELECT DISTINCT TS_name, partner_id, ranking FROM x_ts_alerts) GROUP BY TS_name, partner_id)"""
+FINAL["ts_alert_doc"] = f"""
 WITH e AS (SELECT TS_name, ts_engineer_email, manager_name, ts_cost_center, ts_subregion, partner_name, partner_id, site_type,
-                  list({'event_name': event_name, 'graph': partner_id || '_' || site_type || '_' || event_name || '.png'} ORDER BY event_name) AS event
+                  list({{'event_name': event_name, 'graph': partner_id || '_' || site_type || '_' || event_name || '.png'}} ORDER BY event_name) AS event
            FROM (SELECT DISTINCT TS_name, ts_engineer_email, manager_name, ts_cost_center, ts_subregion, partner_name, partner_id,
-                        site_type, event_name FROM x_ts_alerts) GROUP BY ALL),
-     p AS (SELECT TS_name, ts_engineer_email, manager_name, ts_cost_center, ts_subregion, partner_name, partner_id,
-                  list({'site': site_type, 'event': event} ORDER BY site_type) AS alerts, sum(len(event)) AS n_events FROM e GROUP BY ALL),
-     r AS (SELECT TS_name, string_agg(ranking, ', ' ORDER BY ranking) AS ranking
-           FROM (SELECT DISTINCT TS_name, ranking FROM x_ts_alerts) GROUP BY TS_name)
+                        site_type, event_name FROM x_ts_alerts) GROUP BY ALL)
 SELECT TS_name AS name, ts_engineer_email AS email, manager_name, ts_cost_center AS cost_center, ts_subregion AS subregion, ranking,
-       0 AS part, CAST(count(*) AS INTEGER) AS n_partners, CAST(sum(len(alerts)) AS INTEGER) AS n_sites,
-       CAST(sum(n_events) AS INTEGER) AS n_events,
-       CAST(to_json(list({'partner_name': partner_name, 'partner_id': partner_id, 'alerts': alerts} ORDER BY partner_name)) AS VARCHAR) AS partners
-FROM p JOIN r USING (TS_name) GROUP BY ALL"""
+       partner_name, partner_id, CAST(count(*) AS INTEGER) AS n_sites, CAST(sum(len(event)) AS INTEGER) AS n_events,
+       CAST(to_json(list({{'site': site_type, 'event': event}} ORDER BY site_type)) AS VARCHAR) AS alerts
+FROM e JOIN {_RANKINGS} r USING (TS_name, partner_id) GROUP BY ALL"""
 FINAL["ts_alert_flatten"] = f"""
 SELECT DISTINCT TS_name AS name, ts_engineer_email AS email, manager_name, manager_email, ts_cost_center AS cost_center,
        ts_country AS country, ts_subregion AS subregion, ts_region AS region, r.ranking, {T} AS run_date, partner_name, partner_id,
        site_type AS site, event_name, partner_id || '_' || site_type || '_' || event_name || '.png' AS graph
-FROM x_ts_alerts a JOIN (SELECT TS_name, string_agg(ranking, ', ' ORDER BY ranking) AS ranking
-      FROM (SELECT DISTINCT TS_name, ranking FROM x_ts_alerts) GROUP BY TS_name) r USING (TS_name)"""
+FROM x_ts_alerts a JOIN {_RANKINGS} r USING (TS_name, partner_id)"""
+FINAL["as_owner_doc"] = f"""
+SELECT AS_email, AS_name, client_no, combo, client_id, color_slot, CAST(count(*) AS INTEGER) AS n_alerts,
+       CAST(to_json(list({{'kpi_rank': kpi_rank, 'kpi': kpi, 'last_label': last_label}} ORDER BY kpi_rank)) AS VARCHAR) AS alerts
+FROM ({FINAL["as_owner_digest"].replace("WITH c AS", "WITH c AS", 1)}) GROUP BY ALL"""
+FINAL["ts_recap"] = "SELECT * FROM x_ts_alerts"
 FINAL["territory_alert_text"] = "SELECT * FROM x_territory_text"
 FINAL["territory_report"] = f"""
 SELECT series, {currency_text("expected")} AS "avg_last_7D", {currency_text("actual")} AS "yesterday_RexT",
@@ -287,13 +286,34 @@ ANTI JOIN x_sent_history USING (run_date, "to", subject)"""
 FINAL["notification_outbox_ts"] = f"""
 SELECT {_OUTBOX} FROM (
   SELECT DISTINCT 'TS' AS product, 'alert' AS kind, ts_engineer_email AS "to", CAST(NULL AS VARCHAR) AS cc,
-         '{DELIVERY.maintainers}' AS bcc, 'TS Alert for ' || {title_text("TS_name")} AS subject, CAST(NULL AS VARCHAR) AS body,
+         '{DELIVERY.maintainers}' AS bcc, 'TS Alert for ' || replace({title_text("TS_name")}, '-ann ', '-Ann ') AS subject, CAST(NULL AS VARCHAR) AS body,
          {T} AS run_date FROM x_ts_alerts
   UNION ALL
   SELECT 'TS', 'summary', '{DELIVERY.maintainers}', NULL, NULL, 'KPI TS Alerts {DELIVERY.geo} Daily Stats {DAY}', {BODY}, {T}
   FROM (SELECT count(DISTINCT TS_name) AS emails_sent, count(*) AS total_alerts FROM x_ts_alerts))
 ANTI JOIN x_sent_history USING (run_date, "to", subject)"""
 
+FINAL["notification_outbox_exec"] = f"""
+SELECT 'EXEC' AS product, 'alert' AS kind, '{DELIVERY.recipients}' AS "to", CAST(NULL AS VARCHAR) AS cc, CAST(NULL AS VARCHAR) AS bcc,
+       '{DELIVERY.geo} KPI Alert' AS subject, alerts AS body, {T} AS run_date FROM x_territory_text"""
+FINAL["trouble_notices"] = f"""
+WITH e AS (SELECT DISTINCT CASE script WHEN 'job_f' THEN 'AS' WHEN 'job_o' THEN 'TS' ELSE 'EXEC' END AS product,
+                  ['no_alerts', 'late', 'error'][CAST(substr(geo, 5) AS INTEGER) % 3 + 1] AS kind
+           FROM ({FINAL["run_history_gate"]})),
+     s AS (SELECT *, mode, 'KPI ' || product || ' {DELIVERY.geo}' AS scope,
+                  CASE product WHEN 'AS' THEN 'business' WHEN 'TS' THEN 'technical' ELSE 'executive' END AS tone
+           FROM e CROSS JOIN (VALUES ('usual'), ('test')) AS m(mode))
+SELECT product, kind, mode,
+       CASE WHEN mode = 'test' THEN '{DELIVERY.test_email}' WHEN kind = 'no_alerts' THEN '{DELIVERY.maintainers}' ELSE '{DELIVERY.alias}' END AS "to",
+       CASE WHEN mode = 'usual' AND kind <> 'no_alerts' THEN '{DELIVERY.maintainers}' END AS bcc,
+       CASE mode WHEN 'test' THEN '[TEST] ' ELSE '' END || CASE kind WHEN 'no_alerts' THEN 'No Alerts to Send for ' || scope
+         WHEN 'late' THEN 'Data Delayed -- No ' || scope || ' Alerts' ELSE scope || ' Alerts Unable to Run Today' END AS subject,
+       CASE kind WHEN 'no_alerts' THEN 'No _' || tone || '_ alerts to send for today :grinning:'
+         WHEN 'late' THEN '_' || tone || '_ alerts can''t be sent today because data is late :cry:'
+         ELSE product || ' can''t run today due to issues querying the warehouse :disappointed:' END AS chat,
+       CASE mode WHEN 'test' THEN '{DELIVERY.test_channel}' ELSE '#alerts_t1 #alerts_t2' END AS channels
+FROM s"""
+
 
 def oracle_sql() -> dict[str, str]:
     filtered = {"param_filter": {"employees": EMPLOYEE_FILTER, "clients": CLIENT_FILTER}}

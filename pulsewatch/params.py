@@ -40,8 +40,6 @@ TRACKED_KPIS = ("rext", "spend", "cos", "ctr", "cr", "clicks", "displays", "tac"
 OVERSIZED_SERIES_ROWS = 100_000
 # Key sets up to this size are broadcast to drop facts out of scope early.
 BROADCAST_KEYS = 1_000_000
-# Upper bound on the entries nested into one owner document.
-DOCUMENT_ENTRIES = 10_000
 
 
 @dataclass(frozen=True)
@@ -108,8 +106,9 @@ class RunParams:
 
 @dataclass(frozen=True)
 class DeliveryParams:
-    """Recipients and texts of a product's notices."""
+    """Recipients and texts of a product's notices; ``sent_at`` is the moment of the run in UTC."""
 
+    sent_at: datetime
     geo: str = "Americas"
     product_label: str = "KPI"
     test_mode: bool = False
@@ -125,7 +124,6 @@ class DeliveryParams:
     test_channel: str = "@tester"
     max_lines_per_message: int = 25
     separator: str = "  -  "
-    sent_at: datetime = datetime(2024, 3, 1, 9, 30)
     timezone: str = "UTC"
     feedback_base: str = "http://feedback.example.test/submit"
     investigation_base: str = "http://explore.example.test/entry"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,7 @@ from pulsewatch.functions.cleaning import clean_data, with_kpi_ratios
 from pulsewatch.operators.calendar import calendar_fill
 from pulsewatch.operators.quantiles import oversized_keys
 from pulsewatch.operators.reshape import unpivot_kpis
-from pulsewatch.plans.features import account_series, tag_daily, territory_daily, with_attributes
+from pulsewatch.plans.features import account_series, reported_partners, row_id, tag_counts, territory_daily, with_attributes
 from pulsewatch.plans.territory import territory_paths
 from pulsewatch.sources.stage import stage
 from pulsewatch.sources.warehouse import Star
@@ -61,22 +61,26 @@ def export_accounts(star: Star, p: P.RunParams) -> DataFrame:
 
 
 def export_tags(star: Star, p: P.RunParams) -> DataFrame:
-    cleaned = clean_data(tag_daily(star, p))
-    tags = stage(cleaned.select(
-        "partner_name", "partner_id", "day", "ranking", F.col("ts_cost_center").alias("cost_center"),
+    """Tags and sites of the live partners; the texts of a partner are joined to the filled rows."""
+    live = clean_data(reported_partners(star, p)).select(
+        "partner_name", "partner_id", "ranking", F.col("ts_cost_center").alias("cost_center"),
         F.col("ts_country").alias("country"), F.col("ts_subregion").alias("subregion"),
-        F.col("ts_region").alias("region"), "RTC_vertical", "vertical_name", "global_account_name",
-        "site_type", "event_name", F.col("events").alias("value")).distinct(), "export-tags")
-    attributes = [c for c in tags.columns if c not in ("site_type", "event_name", "value")]
-    sites = tags.groupBy(*attributes).agg(F.sum("value").alias("value")).withColumns({
-        "site_type": F.lit(P.SITE_LEVEL), "event_name": F.lit(P.SITE_LEVEL),
-        "series": F.col("partner_name"), "kpi": F.lit("site_events")})
+        F.col("ts_region").alias("region"), "RTC_vertical", "vertical_name", "global_account_name").distinct()
+    # of several rows of a partner the fill copies the first in this order
+    order = Window.partitionBy("partner_id").orderBy(*live.columns)
+    live = stage(live.withColumn("attributes_id", row_id(*live.columns)).withColumn("attributes_no", F.row_number().over(order)), "export-partners")
+    tags = (tag_counts(star, p, live).join(live.select("partner_id", "partner_name", "attributes_id", "attributes_no"), "partner_id")
+            .select("attributes_id", "attributes_no", "partner_name", "day", F.coalesce("site_type", F.lit("0")).alias("site_type"),
+                    F.coalesce("event_name", F.lit("0")).alias("event_name"), F.coalesce("events", F.lit(0)).alias("value")))
+    tags = stage(tags.distinct(), "export-tags")
+    sites = tags.groupBy("attributes_id", "attributes_no", F.col("partner_name").alias("series"), "day").agg(F.sum("value").alias("value")).withColumns({
+        "site_type": F.lit(P.SITE_LEVEL), "event_name": F.lit(P.SITE_LEVEL), "kpi": F.lit("site_events")})
     named = tags.where(~F.col("site_type").contains("unknown")).withColumns({
         "series": F.concat_ws(" ", "partner_name", "event_name", F.lit("on"), "site_type"),
-        "kpi": F.lit("tag_events")})
+        "kpi": F.lit("tag_events")}).drop("partner_name")
     rows = stage(named.unionByName(sites), "export-series")
     filled = calendar_fill(rows, "series", ["value"], oversized_keys(rows, "series", p.oversized_rows))
-    return export_rows(filled, p, {
+    return export_rows(filled.drop("attributes_no").join(live, "attributes_id"), p, {
         "client_name": P.NOT_APPLICABLE, "client_id": -11, "campaign_id": -1, "campaign_name": P.NOT_APPLICABLE,
         "campaign_scenario": P.NOT_APPLICABLE, "campaign_type_name": P.NOT_APPLICABLE,
         "campaign_revenue_type": -11, "campaign_funnel_id": -11})
@@ -99,7 +103,7 @@ def export_territories(star: Star, p: P.RunParams) -> DataFrame:
 def export_filter(rows: DataFrame, rows_threshold: int = 3) -> DataFrame:
     """Keep series that reach the day before their run and have enough points.
 
-    The counts of one pass decide; the rows are read again for the semi join.
+    The counts of one pass decide; the rows are read again for the semi join, so pass a staged frame.
     """
     runs = rows.groupBy("series", "kpi", "run_date").agg(
         F.count(F.lit(1)).alias("n"),

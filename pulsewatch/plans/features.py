@@ -23,6 +23,7 @@ from pulsewatch.operators.screening import live_keys
 from pulsewatch.sources.stage import stage
 from pulsewatch.sources.warehouse import Star
 
+# ---- fixed values: measures and attribute columns of the daily frames -------
 MEASURES = ["clicks", "displays", "conversions", "spend", "tac", "rext", "rext_euro", "order_value"]
 CAMPAIGN_ATTRIBUTES = [
     "client_name", "client_id", "global_account_name", "RTC_vertical", "vertical_name", "campaign_name",
@@ -38,6 +39,12 @@ TAG_ATTRIBUTES = [
     "partner_name", "partner_id", "TS_name", "ts_engineer_email", "manager_name", "manager_email", "ranking",
     "ts_cost_center", "ts_country", "ts_subregion", "ts_region", "RTC_vertical", "vertical_name",
     "global_account_name"]
+# -----------------------------------------------------------------------------
+
+
+def row_id(*columns: str) -> Column:
+    """Hash of a row. Spark's hash skips nulls, so the null flags are hashed too: (null, x) is not (x, null)."""
+    return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
 
 
 def predicate(condition: str | Column) -> Column:
@@ -70,12 +77,12 @@ def _located(owners: DataFrame, star: Star) -> DataFrame:
 def in_scope(facts: DataFrame, dims: DataFrame, key: str, limit: int) -> DataFrame:
     """Drop facts whose key is not in ``dims`` early, if the keys can be broadcast.
 
-    Up to ``limit`` dimension rows (8 bytes each) go to all tasks; with more of
+    Up to ``limit`` distinct ids (8 bytes each) go to all tasks; with more of
     them the facts are left as they are, and the join with the dimension filters
     them.
     """
-    keys = dims.select(key)
-    if keys.limit(limit + 1).count() > limit:
+    keys = dims.select(key).distinct()
+    if keys.count() > limit:
         return facts
     return facts.join(F.broadcast(keys), key, "left_semi")
 
@@ -178,12 +185,12 @@ def account_series(star: Star, p: P.RunParams, without: tuple[str, ...] = ()) ->
     dims = stage(beta_filter(campaign_dims(star, p), "AS_email", p.beta_emails), "campaign-dims")
     shown = [c for c in CAMPAIGN_ATTRIBUTES if c not in without]
     client_columns = [c for c in shown if c not in CAMPAIGN_ONLY]
-    client = F.struct(F.col("client_name").alias("combo"), F.xxhash64(*client_columns).alias("attributes_id"),
+    client = F.struct(F.col("client_name").alias("combo"), row_id(*client_columns).alias("attributes_id"),
                       F.lit(True).alias("is_client"))
     campaign = F.struct(
         F.concat(F.coalesce("client_name", F.lit("NA")), F.lit(": "),
                  F.coalesce("campaign_name", F.lit("NA"))).alias("combo"),
-        F.xxhash64(*CAMPAIGN_ATTRIBUTES).alias("attributes_id"), F.lit(False).alias("is_client"))
+        row_id(*CAMPAIGN_ATTRIBUTES).alias("attributes_id"), F.lit(False).alias("is_client"))
     levels = dims.select("campaign_id", "client_currency_id", F.explode(F.array(client, campaign)).alias("s"))
     daily = (campaign_sums(star, p, dims).join(levels, ["campaign_id", "client_currency_id"])
              .groupBy("s.combo", "s.attributes_id", "s.is_client", "day")
@@ -296,19 +303,19 @@ def live_partners(star: Star, p: P.RunParams) -> DataFrame:
         "owner_name": "TS_name", "owner_email": "ts_engineer_email", "cost_center": "ts_cost_center",
         "country": "ts_country", "subregion": "ts_subregion", "region": "ts_region"})
     dims = stage(partners.join(named, F.col("ts_engineer_employee_id") == F.col("employee_id"))
-                 .select("campaign_id", *TAG_ATTRIBUTES), "partner-dims")
+                 .select("campaign_id", *TAG_ATTRIBUTES).withColumn("row_id", row_id(*TAG_ATTRIBUTES)), "partner-dims")
     raw = star.stats_2.where(
         F.col("day").between(F.lit(p.days_ago(p.live_window_days)), F.lit(p.yesterday))).select(
         "day", "campaign_id", F.col("tac_local").alias("tac"))
     media = (in_scope(raw, dims, "campaign_id", p.broadcast_keys).distinct()
              .groupBy("campaign_id", "day").agg(F.sum("tac").alias("tac")))
-    rows = media.join(dims, "campaign_id")
-    per_day = rows.groupBy(*TAG_ATTRIBUTES, "day").agg(F.sum("tac").alias("tac"))
+    rows = media.join(dims.select("campaign_id", "row_id"), "campaign_id")
     recent = F.col("day").isin(p.yesterday, p.days_ago(2))
-    live = per_day.groupBy(*TAG_ATTRIBUTES).agg(
-        F.count(F.lit(1)).alias("days_live"),
+    live = rows.groupBy("row_id").agg(
+        F.size(F.collect_set("day")).cast("bigint").alias("days_live"),
         F.sum(F.when(recent, F.col("tac")).otherwise(0.0)).alias("recent_tac"))
-    return live.where((F.col("days_live") >= p.required_days) & (F.col("recent_tac") > 0))
+    live = live.where((F.col("days_live") >= p.required_days) & (F.col("recent_tac") > 0))
+    return dims.drop("campaign_id").distinct().join(live, "row_id").drop("row_id")
 
 
 def tag_event_name() -> Column:
@@ -316,14 +323,14 @@ def tag_event_name() -> Column:
     return F.when(name == "page", "homepage").when(name == "itempageview", "product").otherwise(name)
 
 
-def _tag_counts(star: Star, p: P.RunParams, live: DataFrame) -> DataFrame:
+def tag_counts(star: Star, p: P.RunParams, live: DataFrame) -> DataFrame:
     raw = star.events.where(F.col("day") >= F.lit(p.days_ago(p.account_window_days)))
     return (in_scope(raw, live, "partner_id", p.broadcast_keys)
             .groupBy("partner_id", "day", "site_type", tag_event_name().alias("event_name"))
             .agg(F.sum("events").alias("events")))
 
 
-def _reported_partners(star: Star, p: P.RunParams) -> DataFrame:
+def reported_partners(star: Star, p: P.RunParams) -> DataFrame:
     live = live_partners(star, p).select(*TAG_ATTRIBUTES).withColumn(
         "ts_subregion", F.when(F.col("ts_cost_center") == "LM", "LATAM").otherwise(F.col("ts_subregion")))
     return beta_filter(live, "ts_engineer_email", p.beta_emails)
@@ -331,10 +338,8 @@ def _reported_partners(star: Star, p: P.RunParams) -> DataFrame:
 
 def tag_daily(star: Star, p: P.RunParams) -> DataFrame:
     """Daily events per tag of every live partner."""
-    live = stage(_reported_partners(star, p), "live-partners")
-    return (_tag_counts(star, p, live).join(live, "partner_id")
-            .groupBy(*TAG_ATTRIBUTES, "day", "site_type", "event_name")
-            .agg(F.sum("events").alias("events")))
+    live = stage(reported_partners(star, p).distinct(), "live-partners")
+    return tag_counts(star, p, live).join(live, "partner_id").select(*TAG_ATTRIBUTES, "day", "site_type", "event_name", "events")
 
 
 def tag_series(star: Star, p: P.RunParams) -> SeriesFrame:
@@ -344,8 +349,8 @@ def tag_series(star: Star, p: P.RunParams) -> SeriesFrame:
     totals are formed over the cleaned attributes. The attributes returned are
     those of the partners (no ``combo`` yet).
     """
-    live = _reported_partners(star, p).withColumn("raw_id", F.xxhash64(*TAG_ATTRIBUTES))
-    live = clean_data(live).withColumn("attributes_id", F.xxhash64(*TAG_ATTRIBUTES))
+    live = reported_partners(star, p).withColumn("raw_id", row_id(*TAG_ATTRIBUTES))
+    live = clean_data(live).withColumn("attributes_id", row_id(*TAG_ATTRIBUTES))
     live = stage(live, "live-partners")
     site, event = F.coalesce("site_type", F.lit("0")), F.coalesce("event_name", F.lit("0"))
 
@@ -354,10 +359,10 @@ def tag_series(star: Star, p: P.RunParams) -> SeriesFrame:
         return F.struct(combo.alias("combo"), site.alias("site_type"), event.alias("event_name"), row_id.alias("row_id"))
 
     total = F.lit(P.SITE_LEVEL)
-    rows = _tag_counts(star, p, live).join(
+    rows = tag_counts(star, p, live).join(
         live.select("partner_id", "partner_name", "TS_name", "raw_id", "attributes_id"), "partner_id")
     rows = rows.select("attributes_id", "day", "events", F.explode(F.array(
-        level(site, event, F.xxhash64("raw_id", "site_type", "event_name")),
+        level(site, event, row_id("raw_id", "site_type", "event_name")),
         level(total, total, F.lit(0).cast("bigint")))).alias("s"))
     daily = rows.groupBy("s.combo", "attributes_id", "s.site_type", "s.event_name", "s.row_id", "day").agg(
         F.coalesce(F.sum("events"), F.lit(0)).alias("events")).drop("row_id")

@@ -15,6 +15,7 @@ PRODUCTS = ("AS", "TS", "EXEC")
 CHAT_KINDS = {"AS": "business", "TS": "technical", "EXEC": "executive"}
 CHAT_LATE = "_{kind}_ alerts can't be sent today because data is late :cry:"
 CHAT_NO_ALERTS = "No _{kind}_ alerts to send for today :grinning:"
+CHAT_ERROR = "{product} can't run today due to issues querying the warehouse :disappointed:"
 SUBJECTS = {
     "no_alerts": "No Alerts to Send for {scope}",
     "late": "Data Delayed -- No {scope} Alerts",
@@ -101,7 +102,7 @@ def tag_owner_notices(alerts: DataFrame, d: P.DeliveryParams, p: P.RunParams) ->
     owners = alerts.select("ts_engineer_email", "TS_name").distinct()
     return owners.select(*_row(
         "TS", "alert", _test(d, F.col("ts_engineer_email"), _text(d.test_email)), _text(None), _text(d.maintainers),
-        _subject(d, F.lit("TS Alert for "), X.title_name(F.col("TS_name"))), _text(None), p.today))
+        _subject(d, F.lit("TS Alert for "), X.every_part_capitalized(F.col("TS_name"))), _text(None), p.today))
 
 
 def summary_notices(summary: DataFrame, d: P.DeliveryParams, p: P.RunParams, product: str = "AS") -> DataFrame:
@@ -152,9 +153,19 @@ def trouble_notice(spark: SparkSession, product: str, kind: str, d: P.DeliveryPa
 
 
 def chat_notice(product: str, kind: str) -> str:
-    """Chat text of a late or empty run."""
-    template = CHAT_LATE if kind == "late" else CHAT_NO_ALERTS
-    return template.format(kind=CHAT_KINDS[_known(product)])
+    """Chat text of a late, empty or failed run."""
+    template = {"late": CHAT_LATE, "no_alerts": CHAT_NO_ALERTS, "error": CHAT_ERROR}[kind]
+    return template.format(kind=CHAT_KINDS[_known(product)], product=_known(product))
+
+
+def chat_channels(d: P.DeliveryParams) -> list[str]:
+    return [d.test_channel] if d.test_mode else sorted(set(d.channels.values()))
+
+
+def chat_notices(spark: SparkSession, product: str, kind: str, d: P.DeliveryParams) -> DataFrame:
+    """(channel, text): the chat text once for every channel."""
+    rows = [(channel, chat_notice(product, kind)) for channel in chat_channels(d)]
+    return spark.createDataFrame(rows, "channel string, text string")
 
 
 def unsent(outbox: DataFrame, sent: DataFrame) -> DataFrame:

@@ -1,14 +1,17 @@
 """The daily jobs: gate, pull, detect, report, log.
 
 Every job writes its tables below ``out`` (a new folder per run) and returns
-what happened: "done", "no_alerts", "late" or "already_ran". Delivery itself
-(mail, chat, scheduling) is left to the caller, who reads the outbox table and
-the chat tables.
+what happened: "done", "no_alerts", "late" or "already_ran". A pull that fails
+or returns nothing raises; the last try of the day tells the readers first.
+Delivery itself (mail, chat, scheduling) is left to the caller, who reads the
+outbox table and the chat tables. What a job stages is deleted when it ends.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +24,7 @@ from pulsewatch.plans import reports as R
 from pulsewatch.plans import tag_alerts as TS
 from pulsewatch.plans import territory as EX
 from pulsewatch.sources.sinks import write_csv, write_documents
-from pulsewatch.sources.stage import stage
+from pulsewatch.sources.stage import stage, staging_scope
 from pulsewatch.sources.warehouse import Star
 
 
@@ -54,6 +57,31 @@ def _send(outbox: DataFrame, star: Star, files: JobFiles) -> None:
     G.log_sent(fresh, files.sent_history)
 
 
+def _tell(spark: SparkSession, star: Star, product: str, kind: str, p: P.RunParams, d: P.DeliveryParams, files: JobFiles) -> None:
+    """Mail and chat rows of a run without alerts, with late data or with a failed pull."""
+    _write(G.chat_notices(spark, product, kind, d), files, "chat")
+    _send(G.trouble_notice(spark, product, kind, d, p), star, files)
+
+
+def _pulled(pull: Callable[[], X.SeriesFrame | DataFrame], tell: Callable[[], None], gate: Gate) -> X.SeriesFrame | DataFrame:
+    """What a pull returns; if it fails or has no rows on the last try, the readers are told before the error goes on."""
+    try:
+        return pull()
+    except Exception:
+        if gate.last_try:
+            tell()
+        raise
+
+
+def _own_staging(job):
+    """Runs a job with a staging folder of its own."""
+    @wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        with staging_scope(spark):
+            return job(spark, *args, **kwargs)
+    return run
+
+
 def blocked(spark: SparkSession, star: Star, product: str, gate: Gate, p: P.RunParams, d: P.DeliveryParams,
             files: JobFiles) -> str | None:
     """"already_ran" or "late" if the job must not start; the last try tells the readers."""
@@ -65,30 +93,32 @@ def blocked(spark: SparkSession, star: Star, product: str, gate: Gate, p: P.RunP
     if not G.data_late(G.freshness(required, loaded)):
         return None
     if gate.last_try:
-        _send(G.trouble_notice(spark, product, "late", d, p), star, files)
+        _tell(spark, star, product, "late", p, d, files)
     return "late"
 
 
 def _no_alerts(spark, star, product, p, d, files) -> str:
-    _send(G.trouble_notice(spark, product, "no_alerts", d, p), star, files)
+    _tell(spark, star, product, "no_alerts", p, d, files)
     G.log_run(spark, files.run_history, p.today, product, d.geo)
     return "no_alerts"
 
 
+@_own_staging
 def run_account_job(spark: SparkSession, star: Star, gate: Gate, p: P.RunParams, d: P.DeliveryParams,
                     files: JobFiles) -> str:
     reason = blocked(spark, star, "AS", gate, p, d, files)
     if reason:
         return reason
-    found = AS.detect_accounts(AS.account_rows(star, p), p, keep_history=True)
+    rows = _pulled(lambda: AS.account_rows(star, p), lambda: _tell(spark, star, "AS", "error", p, d, files), gate)
+    found = AS.detect_accounts(rows, p, keep_history=True)
     found = replace(found, results=stage(found.results, "results"))
     _write(found.results, files, "results")
     alerts = stage(AS.account_alerts(found, p), "alerts")
     if alerts.isEmpty():
         return _no_alerts(spark, star, "AS", p, d, files)
-    charts = stage(R.account_chart_input(found.cleaned, found.attributes, alerts), "charts")
+    charts = stage(R.account_chart_input(found.cleaned, found.attributes, alerts, p.pod_leaders), "charts")
     axis = R.chart_axis(charts)
-    digest = R.owner_digest(alerts, axis.select("combo", "kpi", "last_label"))
+    digest = R.owner_digest(alerts, axis.select("AS_email", "combo", "kpi", "last_label"))
     summary = R.account_summary(alerts)
     _write(alerts.orderBy(*AS.report_order()), files, "alerts")
     _write(charts, files, "chart_series")
@@ -104,12 +134,14 @@ def run_account_job(spark: SparkSession, star: Star, gate: Gate, p: P.RunParams,
     return "done"
 
 
+@_own_staging
 def run_tag_job(spark: SparkSession, star: Star, gate: Gate, p: P.RunParams, d: P.DeliveryParams,
                 files: JobFiles) -> str:
     reason = blocked(spark, star, "TS", gate, p, d, files)
     if reason:
         return reason
-    found = TS.detect_tags(TS.tag_rows(star, p), p, keep_history=True)
+    rows = _pulled(lambda: TS.tag_rows(star, p), lambda: _tell(spark, star, "TS", "error", p, d, files), gate)
+    found = TS.detect_tags(rows, p, keep_history=True)
     alerts = stage(TS.tag_alerts(found.results), "tag-alerts")
     # without alerts the documents are an empty folder, never those of the last run
     write_documents(TS.owner_documents(alerts), f"{files.out}/documents")
@@ -126,12 +158,14 @@ def run_tag_job(spark: SparkSession, star: Star, gate: Gate, p: P.RunParams, d:
     return "done"
 
 
+@_own_staging
 def run_territory_job(spark: SparkSession, star: Star, gate: Gate, p: P.RunParams, d: P.DeliveryParams,
                       files: JobFiles) -> str:
     reason = blocked(spark, star, "EXEC", gate, p, d, files)
     if reason:
         return reason
-    found = EX.detect_territories(EX.territory_rows(star, p), p, keep_history=True)
+    rows = _pulled(lambda: EX.territory_rows(star, p), lambda: _tell(spark, star, "EXEC", "error", p, d, files), gate)
+    found = EX.detect_territories(rows, p, keep_history=True)
     found = replace(found, results=stage(found.results, "results"))
     text = stage(EX.alert_text(found.results), "alert-text")
     daily = stage(X.account_daily(star, p), "account-daily")
@@ -144,6 +178,7 @@ def run_territory_job(spark: SparkSession, star: Star, gate: Gate, p: P.RunParam
     return "done"
 
 
+@_own_staging
 def run_export_job(spark: SparkSession, star: Star, p: P.RunParams, out: str) -> list[str]:
     """The three labelling exports as CSV folders; no gate, no detection."""
     written = []

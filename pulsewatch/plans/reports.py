@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from pulsewatch import params as P
 from pulsewatch.functions import links as L
 from pulsewatch.functions import texts as X
-from pulsewatch.operators.numbering import document_part, number_rows
+from pulsewatch.operators.numbering import number_rows
 from pulsewatch.operators.reshape import kpi_order
+from pulsewatch.plans.account_alerts import with_pod_leaders
 from pulsewatch.plans.features import with_attributes
 
 # ---- fixed values: chart axes and chat texts --------------------------------
@@ -25,13 +26,15 @@ MESSAGE_START = ">>>"
 NO_TAG_LABEL = "site-level"
 RECAP_NOTE = "Recap of triggered accounts/alerts attached."
 COLOR_SLOTS = 3
+SUMMARY_OWNERS, SUMMARY_ALERTS = "Emails Sent: ", "\nTotal Alerts Triggered: "
+DIGEST_START, DIGEST_TOTAL = "{headline} at ", "*Total accounts with {noun} alert(s): "
 # -----------------------------------------------------------------------------
 
 
 # ---- summaries --------------------------------------------------------------
 
 def summary_body(owners: Column, alerts: Column) -> Column:
-    return F.concat(F.lit("Emails Sent: "), owners.cast("string"), F.lit("\nTotal Alerts Triggered: "),
+    return F.concat(F.lit(SUMMARY_OWNERS), owners.cast("string"), F.lit(SUMMARY_ALERTS),
                     alerts.cast("string"), F.lit(f"\n\n{RECAP_NOTE}"))
 
 
@@ -74,9 +77,9 @@ def _messages(lines: DataFrame, groups: list[str], headline: str, noun: str, d:
     last = F.ceil(F.col("n") / size).cast("int") + 1
     frame = counts.select(*groups, F.explode(F.array(
         F.struct(F.lit(0).alias("message_no"), F.concat(
-            F.lit(f"{headline} at "), X.moment_text(d.sent_at, d.timezone)).alias("text")),
+            F.lit(DIGEST_START.format(headline=headline)), X.moment_text(d.sent_at, d.timezone)).alias("text")),
         F.struct(last.alias("message_no"), F.concat(
-            F.lit(f"*Total accounts with {noun} alert(s): "), F.col("n").cast("string"),
+            F.lit(DIGEST_TOTAL.format(noun=noun)), F.col("n").cast("string"),
             F.lit("*\n" + MESSAGE_RULE)).alias("text")))).alias("m")).select(*groups, "m.*")
     return blocks.unionByName(frame)
 
@@ -132,17 +135,13 @@ def owner_digest(alerts: DataFrame, chart: DataFrame) -> DataFrame:
     """One row per owner, client and KPI with its place in the mail and its chart."""
     one = alerts.select("AS_email", "AS_name", "combo", "client_id", "kpi", "kpi_rank").distinct()
     return (one.join(owner_clients(alerts), ["AS_email", "combo"])
-            .join(chart, ["combo", "kpi"], "left"))
+            .join(chart, ["AS_email", "combo", "kpi"], "left"))
 
 
-def owner_documents(digest: DataFrame, limit: int = P.DOCUMENT_ENTRIES) -> DataFrame:
-    """The digest nested per owner: clients in order, each with its KPIs."""
-    owner = ["AS_email", "AS_name"]
-    rows = document_part(digest, owner, ["combo"], limit)
-    clients = rows.groupBy(*owner, "part", "client_no", "combo", "client_id", "color_slot").agg(
+def owner_documents(digest: DataFrame) -> DataFrame:
+    """The digest as one row per owner and client, with its KPIs nested in order."""
+    return digest.groupBy("AS_email", "AS_name", "client_no", "combo", "client_id", "color_slot").agg(
         F.array_sort(F.collect_list(F.struct("kpi_rank", "kpi", "last_label"))).alias("alerts"))
-    return clients.groupBy(*owner, "part").agg(F.array_sort(F.collect_list(
-        F.struct("client_no", "combo", "client_id", "color_slot", "alerts"))).alias("clients"))
 
 
 # ---- charts -----------------------------------------------------------------
@@ -155,11 +154,12 @@ def _axis_step(kpi: Column, highest: Column) -> Column:
 
 
 def chart_axis(long: DataFrame) -> DataFrame:
-    """Axis limits, last value label and date ticks per (combo, kpi).
+    """Axis limits, last value label and date ticks per owner (if there is one), combo and kpi.
 
-    ``long`` holds combo, currency_code, kpi, day and value.
+    ``long`` holds combo, currency_code, kpi, day, value and, for accounts, AS_name and AS_email.
     """
-    spec = long.groupBy("combo", "kpi").agg(
+    keys = [c for c in ("AS_name", "AS_email", "combo", "kpi") if c in long.columns]
+    spec = long.groupBy(*keys).agg(
         F.max("value").alias("hi"), F.min("value").alias("lo"), F.max_by("value", "day").alias("last_value"),
         F.min("currency_code").alias("currency_code"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
     kpi, hi, lo = F.col("kpi"), F.col("hi"), F.col("lo")
@@ -182,18 +182,21 @@ def chart_axis(long: DataFrame) -> DataFrame:
     ticks = F.floor(F.datediff("last_day", "first_day") / TICK_DAYS).cast("int")
     spec = spec.withColumns({"step": step, "y_max": y_max, "y_min": y_min, "last_label": label,
                              "n_ticks": ticks + 1, "first_tick": F.date_sub("last_day", ticks * TICK_DAYS)})
-    return spec.select("combo", "kpi", "step", "y_max", "y_min", axis_label(F.col("y_max")).alias("y_max_label"),
+    return spec.select(*keys, "step", "y_max", "y_min", axis_label(F.col("y_max")).alias("y_max_label"),
                        axis_label(F.col("y_min")).alias("y_min_label"), "last_label", "first_day", "last_day",
                        "n_ticks", "first_tick")
 
 
-def account_chart_input(cleaned: DataFrame, attributes: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Alerted (combo, kpi) pairs with their history, long."""
-    pairs = alerts.select("combo", "kpi").distinct()
-    rows = cleaned.join(pairs.select("combo").distinct(), "combo", "left_semi")
-    rows = with_attributes(rows, attributes, "currency_code").select("combo", "currency_code", "day", *P.ALERT_KPIS)
-    return rows.unpivot(["combo", "currency_code", "day"], list(P.ALERT_KPIS), "kpi", "value").join(
-        pairs, ["combo", "kpi"], "left_semi")
+def account_chart_input(cleaned: DataFrame, attributes: DataFrame, alerts: DataFrame,
+                        leaders: tuple[str, ...] = ()) -> DataFrame:
+    """Alerted KPIs with their history, long: of each client the rows of the owner who is told."""
+    pairs = alerts.select("combo", "kpi", "AS_name", "AS_email").distinct()
+    rows = cleaned.where("is_client").join(pairs.select("combo").distinct(), "combo", "left_semi")
+    rows = with_attributes(rows, attributes, "currency_code", "AS_name", "AS_email", "manager_name", "manager_email")
+    ids = ["combo", "AS_name", "AS_email", "currency_code", "day"]
+    rows = with_pod_leaders(rows.select(*ids, "manager_name", "manager_email", "attributes_id", *P.ALERT_KPIS), leaders)
+    return rows.select(*ids, *P.ALERT_KPIS).unpivot(ids, list(P.ALERT_KPIS), "kpi", "value").join(
+        pairs, ["combo", "kpi", "AS_name", "AS_email"], "left_semi")
 
 
 def tag_chart_input(cleaned: DataFrame, alerts: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pulsewatch import params as P
 from pulsewatch.operators.calendar import calendar_fill
 from pulsewatch.operators.detector import detector_flags, detector_stats
-from pulsewatch.operators.numbering import document_part
 from pulsewatch.operators.quantiles import oversized_keys
 from pulsewatch.plans.account_alerts import Detection
 from pulsewatch.plans.features import TAG_ATTRIBUTES, SeriesFrame, tag_series
@@ -52,39 +51,34 @@ def tag_alerts(results: DataFrame) -> DataFrame:
     return tag_level(results.where("is_alert").drop("global_account_name").distinct())
 
 
-def owner_documents(alerts: DataFrame, limit: int = P.DOCUMENT_ENTRIES) -> DataFrame:
-    """Nested alerts of every owner: partners (by name), sites and tags (by code).
+def owner_documents(alerts: DataFrame) -> DataFrame:
+    """Nested alerts, one document per owner and partner: sites and tags by code.
 
-    One document per owner; an owner with more than ``limit`` entries gets
-    several parts, so no document grows without bound.
+    A document is bounded by the sites and tags of one partner, whatever an
+    owner has to look after; the owner's columns stand beside it.
     """
     owner = ["TS_name", "ts_engineer_email", "manager_name", "manager_email", "ts_cost_center", "ts_country",
              "ts_subregion", "ts_region", "run_date"]
-    entry = ["partner_name", "partner_id", "site_type", "event_name"]
-    rows = alerts.select(*owner, "ranking", *entry).distinct()
-    rows = document_part(rows, owner, entry, limit)
+    partner = [*owner, "partner_name", "partner_id"]
+    rows = alerts.select(*partner, "ranking", "site_type", "event_name").distinct()
     chart = F.concat(F.concat_ws("_", "partner_id", "site_type", "event_name"), F.lit(".png"))
-    sites = rows.groupBy(*owner, "part", "partner_name", "partner_id", "site_type").agg(
-        F.sort_array(F.collect_set("ranking")).alias("rankings"),
+    sites = rows.groupBy(*partner, "site_type").agg(
+        F.collect_set("ranking").alias("rankings"),
         F.sort_array(F.collect_set(F.struct("event_name", chart.alias("graph")))).alias("event"))
-    partners = sites.groupBy(*owner, "part", "partner_name", "partner_id").agg(
-        F.flatten(F.collect_list("rankings")).alias("rankings"),
-        F.sort_array(F.collect_list(F.struct(F.col("site_type").alias("site"), "event"))).alias("alerts"))
-    documents = partners.groupBy(*owner, "part").agg(
+    documents = sites.groupBy(*partner).agg(
         F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("rankings")))), ", ").alias("ranking"),
-        F.sort_array(F.collect_list(F.struct("partner_name", "partner_id", "alerts"))).alias("partners"))
+        F.sort_array(F.collect_list(F.struct(F.col("site_type").alias("site"), "event"))).alias("alerts"))
     return documents.select(
         F.col("TS_name").alias("name"), F.col("ts_engineer_email").alias("email"), "manager_name", "manager_email",
         F.col("ts_cost_center").alias("cost_center"), F.col("ts_country").alias("country"),
         F.col("ts_subregion").alias("subregion"), F.col("ts_region").alias("region"), "ranking", "run_date",
-        "part", "partners")
+        "partner_name", "partner_id", "alerts")
 
 
 def flatten_documents(documents: DataFrame) -> DataFrame:
     """One row per alert of the nested documents; alerts without a site are skipped."""
-    owner = [c for c in documents.columns if c not in ("partners", "part")]
-    return (documents.select(*owner, F.explode("partners").alias("p"))
-            .select(*owner, "p.partner_name", "p.partner_id", F.explode("p.alerts").alias("a"))
+    owner = [c for c in documents.columns if c != "alerts"]
+    return (documents.select(*owner, F.explode("alerts").alias("a"))
             .where(F.col("a.site").isNotNull() & (F.col("a.site") != ""))
-            .select(*owner, "partner_name", "partner_id", F.col("a.site").alias("site"), F.explode("a.event").alias("e"))
-            .select(*owner, "partner_name", "partner_id", "site", "e.event_name", "e.graph"))
+            .select(*owner, F.col("a.site").alias("site"), F.explode("a.event").alias("e"))
+            .select(*owner, "site", "e.event_name", "e.graph"))

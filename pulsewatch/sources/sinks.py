@@ -6,15 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def write_csv(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:
-    """UTF-8 CSV with header; refuses to overwrite."""
-    df.write.option("header", True).option("encoding", "UTF-8").option("quoteAll", False).partitionBy(
-        *partition_by).csv(path)
+# quotes are doubled, blanks kept; an empty text and a null both read back as null
+_CSV = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+        "nullValue": "", "lineSep": "\n"}
+
+
+def write_csv(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), rows_per_file: int = 1_000_000) -> str:
+    """UTF-8 CSV with header; refuses to overwrite.
+
+    Texts may hold quotes and line breaks. A reader cannot split such files, so
+    they are kept to ``rows_per_file``.
+    """
+    df.write.options(**_CSV, maxRecordsPerFile=rows_per_file).partitionBy(*partition_by).csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").csv(path)
+    options = {k: v for k, v in _CSV.items() if k != "lineSep"}
+    return spark.read.schema(schema).options(**options, multiLine=True).csv(path)
 
 
 def write_documents(df: DataFrame, path: str) -> str:

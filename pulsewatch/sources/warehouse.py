@@ -19,7 +19,7 @@ def _schema(text: str) -> T.StructType:
 
 # ---- fixed values: input schemas (s text, l long, i int, d double, D date, t timestamp)
 SCHEMAS = {
-    "employee": _schema("employee_id:l full_name:s email:s country:i cost_center_country:s "
+    "employee": _schema("employee_id:l full_name:s email:s country:s cost_center_country:s "
                         "cost_center_activity:s job_name:s direct_reports_id:l"),
     "client": _schema("client_id:l client_name:s campaign_id:l campaign_name:s "
                       "account_strategist_employee_id:l ts_engineer_employee_id:l client_currency_id:i "
@@ -29,7 +29,7 @@ SCHEMAS = {
                       "client_country_name:s client_country_level_1_name:s "
                       "client_country_level_2_name:s client_country_level_3_name:s"),
     "currency": _schema("currency_id:i currency_code:s"),
-    "country": _schema("country_code:i country_level_1_name:s country_level_2_name:s country_level_3_name:s"),
+    "country": _schema("country_code:s country_level_1_name:s country_level_2_name:s country_level_3_name:s"),
     "stats": _schema("day:D campaign_id:l client_id:l displays:d clicks:d sales_all_post_click:d "
                      "order_value_all_post_click_local:d revenue_local:d tac_local:d revenue_euro:d "
                      "tac_euro:d affiliate_currency_id:i"),
@@ -66,14 +66,18 @@ def read_table(spark: SparkSession, name: str, location: str | Mapping[str, str]
                fmt: str = "parquet") -> DataFrame:
     """A warehouse table from files (path) or from JDBC (mapping of options).
 
-    Files are read with the declared schema; a JDBC source keeps its own types.
+    Files are read with the declared schema, after a check that they have its
+    columns; a JDBC source keeps its own types.
     """
     if isinstance(location, Mapping):
         return spark.read.format("jdbc").options(**location).load()
-    reader = spark.read.schema(SCHEMAS[name])
+    reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
-    return reader.format(fmt).load(location)
+    missing = {f.name for f in SCHEMAS[name].fields} - set(reader.load(location).columns)
+    if missing:
+        raise ValueError(f"table {name} lacks the columns {', '.join(sorted(missing))}")
+    return reader.schema(SCHEMAS[name]).load(location)
 
 
 def load_star(spark: SparkSession, locations: Mapping[str, str | Mapping[str, str]],

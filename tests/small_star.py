@@ -8,8 +8,8 @@ TODAY = date(2024, 3, 1)
 Y = date(2024, 2, 29)
 
 
-def employee(i, manager=1, name=None, country=10, center="US"):
-    return (i, name or f"NAME {i}", f"user{i}@example.test", country, center, "TIE", "JOB", manager)
+def employee(i, manager=1, name=None, country="10", center="US"):
+    return (i, name or f"NAME {i}", f"user{i}@example.test", country, center, "FIELD", "JOB", manager)
 
 
 def client(client_id, campaign_id, owner=2, currency=1, name=None, ranking="TIER 1", vertical="RETAIL",
@@ -28,7 +28,7 @@ DEFAULT = {
     "employee": [employee(1, None), employee(2)],
     "client": [client(1, 11)],
     "currency": [(1, "EUR"), (2, "USD")],
-    "country": [(10, "US", "NORTH AMERICA", "AMERICAS")],
+    "country": [("10", "US", "NORTH AMERICA", "AMERICAS")],
     "stats": [stat(Y, 11)],
     "stats_2": [(Y, 11, 60.0, 100.0, 1)],
     "fx_daily": [(s, t, Y, 1.0 if s == t else 2.0) for s in (1, 2) for t in (1, 2)],

@@ -9,7 +9,7 @@ from pulsewatch import params as P
 from pulsewatch.plans import account_alerts as AS
 from pulsewatch.plans import features as X
 from pulsewatch.plans import territory as EX
-from pulsewatch.sources.warehouse import EmptySourceError, Star
+from pulsewatch.sources.warehouse import SCHEMAS, EmptySourceError, Star
 from tests.small_star import TODAY, Y, client, employee, star, stat
 
 RUN = P.RunParams(today=TODAY)
@@ -172,3 +172,22 @@ def test_empty_names_are_one_series(spark):
     again = AS.detect_accounts(AS.account_rows(star(spark, client=clients, stats=facts, fx_daily=rates), low), low)
     assert sorted(map(str, found.results.collect())) == sorted(map(str, again.results.collect()))
     assert sorted(map(str, found.cleaned.collect())) == sorted(map(str, again.cleaned.collect()))
+
+
+def test_nulls_in_neighbouring_attributes_stay_apart(spark):
+    first, second = client(1, 11), client(1, 12)
+    at = [f.name for f in SCHEMAS["client"].fields]
+    def with_verticals(row, rtc, vertical):
+        row = list(row)
+        row[at.index("vertical_level_2_name")], row[at.index("vertical_name")] = rtc, vertical
+        return tuple(row)
+    small = star(spark, client=[with_verticals(first, "x", None), with_verticals(second, None, "x")],
+                 stats=[stat(Y, 11), stat(Y, 12)])
+    rows = X.account_series(small, RUN).wide().where("campaign_id = -1").collect()
+    assert sorted((r.RTC_vertical or "", r.vertical_name or "", r.spend) for r in rows) == [("", "x", 100.0), ("x", "", 100.0)]
+
+
+def test_a_key_stands_once_among_the_attributes(spark, sf_dir):
+    from pulsewatch.sources.sample import sample_star
+    attributes = X.account_series(sample_star(spark, sf_dir), RUN).attributes
+    assert attributes.groupBy("combo", "attributes_id").count().where("count > 1").isEmpty()

@@ -2,6 +2,7 @@
 
 from dataclasses import replace
 from datetime import date
+from pathlib import Path
 
 import pytest
 
@@ -10,7 +11,7 @@ from pulsewatch.catalog import DELIVERY, RUN
 from pulsewatch.plans import jobs as J
 from pulsewatch.sources.sample import sample_star
 from pulsewatch.sources.stage import staging_root
-from pulsewatch.sources.warehouse import SCHEMAS, load_star
+from pulsewatch.sources.warehouse import SCHEMAS, EmptySourceError, load_star, read_table
 
 GATE = J.Gate(("schema_1",), ("view_table", "click_table"))
 
@@ -76,6 +77,43 @@ def test_tag_job_with_and_without_alerts(spark, stored, tmp_path):
     assert J.run_tag_job(spark, open_star(spark, stored, calm), GATE, quiet, DELIVERY, calm) == "no_alerts"
     assert spark.read.schema("name string").json(f"{calm.out}/documents").count() == 0
     assert [r.kind for r in spark.read.parquet(f"{calm.out}/outbox").collect()] == ["no_alerts"]
+    assert {r.text for r in spark.read.parquet(f"{calm.out}/chat").collect()} == {"No _technical_ alerts to send for today :grinning:"}
+
+
+def test_failed_pull_is_told_on_the_last_try(spark, stored, tmp_path):
+    files = files_in(tmp_path)
+    empty = P.RunParams(today=RUN.today, client_filter="false")
+    with pytest.raises(EmptySourceError):
+        J.run_account_job(spark, open_star(spark, stored, files), GATE, empty, DELIVERY, files)
+    assert spark.read.schema(SCHEMAS["sent_history"]).parquet(files.sent_history).count() == 0
+    broken = P.RunParams(today=RUN.today, client_filter="no_such_column > 1")
+    for job, p, name, error in ((J.run_account_job, empty, "AS", EmptySourceError), (J.run_tag_job, broken, "TS", Exception)):
+        own = replace(files, out=f"{tmp_path}/{name}")
+        with pytest.raises(error):
+            job(spark, open_star(spark, stored, files), replace(GATE, last_try=True), p, DELIVERY, own)
+        assert [r.subject for r in spark.read.parquet(f"{own.out}/outbox").collect()] == [f"KPI {name} Americas Alerts Unable to Run Today"]
+        chat = {(r.channel, r.text) for r in spark.read.parquet(f"{own.out}/chat").collect()}
+        assert chat == {(c, f"{name} can't run today due to issues querying the warehouse :disappointed:") for c in DELIVERY.channels.values()}
+
+
+def test_jobs_leave_nothing_staged(spark, stored, tmp_path):
+    files = files_in(tmp_path)
+    folder = Path(staging_root(spark)) / "pulsewatch" / spark.sparkContext.applicationId
+    assert J.run_territory_job(spark, open_star(spark, stored, files), GATE, RUN, DELIVERY, files) == "done"
+    empty = P.RunParams(today=RUN.today, client_filter="false")
+    with pytest.raises(EmptySourceError):
+        J.run_account_job(spark, open_star(spark, stored, files_in(tmp_path / "b")), GATE, empty, DELIVERY, files_in(tmp_path / "b"))
+    assert not list(folder.glob("run-*"))
+
+
+def test_files_must_have_the_declared_columns(spark, tmp_path):
+    staff = [(1, "A", "a@e", "US", "US", "x", "y", None), (2, "B", "b@e", "CA", "US", "x", "y", 1)]
+    spark.createDataFrame(staff, SCHEMAS["employee"]).write.parquet(str(tmp_path / "employee"))
+    read = read_table(spark, "employee", str(tmp_path / "employee"))
+    assert {r.employee_id for r in read.alias("em").where("em.country IN ('US', 'CA')").collect()} == {1, 2}
+    spark.range(1).withColumnRenamed("id", "employee_ident").write.parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="employee lacks the columns"):
+        read_table(spark, "employee", str(tmp_path / "other"))
 
 
 def test_territory_and_export_jobs(spark, stored, tmp_path):

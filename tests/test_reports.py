@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pulsewatch import params as P
 from pulsewatch.functions import links as L
 from pulsewatch.functions import texts as X
-from pulsewatch.operators.numbering import document_part, number_rows
+from pulsewatch.operators.numbering import number_rows
 from pulsewatch.plans import account_alerts as AS
 from pulsewatch.plans import export as E
 from pulsewatch.plans import gates as G
@@ -23,7 +23,7 @@ from pulsewatch.sources.sinks import read_csv, read_documents, write_csv, write_
 TODAY = date(2024, 3, 1)
 Y = date(2024, 2, 29)
 RUN = P.RunParams(today=TODAY)
-D = P.DeliveryParams(channels={"tier1": "#t1"}, alias="team@example.test", summary_cc={"tier1": "lead@example.test"})
+D = P.DeliveryParams(sent_at=datetime(2024, 3, 1, 9, 30), channels={"tier1": "#t1"}, alias="team@example.test", summary_cc={"tier1": "lead@example.test"})
 
 
 def shown(spark, column, value, kind="double"):
@@ -54,7 +54,7 @@ def test_name_texts(spark, column, value, text):
 
 def test_moment_and_changes(spark):
     text = spark.range(1).select(X.moment_text(datetime(2024, 3, 1, 20, 5), "America/New_York").alias("t")).first().t
-    assert text == "Fri  1 Mar 2024 03:05PM America/New_York"
+    assert text == "Fri  1 Mar 2024 03:05PM EST"
     row = spark.createDataFrame([(0.0, 5.0), (4.0, 5.0)], "b double, a double").select(
         X.percent_difference(F.col("b"), F.col("a")).alias("d"), X.bps_change(F.col("b"), F.col("a"), 100).alias("c")).collect()
     assert [(r.d, r.c) for r in row] == [(None, 500.0), (0.25, 100.0)]
@@ -75,12 +75,9 @@ def test_number_rows_spreads_a_large_group(spark):
         assert [(v, i) for _, v, i in items] == sorted((v, i) for _, v, i in items)
 
 
-def test_document_parts_bound_the_size_and_lose_nothing(spark):
-    df = spark.createDataFrame([("big", i) for i in range(1000)] + [("small", 1)], "owner string, e int")
-    out = document_part(df, ["owner"], ["e"], 100)
-    sizes = {(r.owner, r.part): r.n for r in out.groupBy("owner", "part").agg(F.count("*").alias("n")).collect()}
-    assert sum(sizes.values()) == 1001 and sizes["small", 0] == 1
-    assert len(sizes) == 11 and max(sizes.values()) < 200
+def test_every_run_of_letters_gets_a_capital(spark):
+    for value, text in (("ANNE-MARIE o'neil", "Anne-Marie O'Neil"), ("élan 2go", "Élan 2Go"), ("", "")):
+        assert shown(spark, X.every_part_capitalized, value, "string") == text
 
 
 def alerts(spark, n_clients, tier="TIER 1"):
@@ -116,16 +113,28 @@ def test_summary_leaves_out_own_managers(spark):
 
 def test_owner_clients_and_documents(spark):
     df = alerts(spark, 20)
-    axis = df.select("combo", "kpi", F.lit("1").alias("last_label")).distinct()
+    axis = df.select("AS_email", "combo", "kpi", F.lit("1").alias("last_label")).distinct()
     digest = R.owner_digest(df, axis)
     order = {r.combo: (r.client_no, r.color_slot) for r in digest.where("AS_email = 'o0@example.test'").collect()}
     # by margin: client 12 (12), 0 (0), then -4, -8, -16
     assert order == {"client 012": (1, 1), "client 000": (2, 2), "client 004": (3, 0), "client 008": (4, 1), "client 016": (5, 2)}
-    docs = {r.AS_email: r.clients for r in R.owner_documents(digest).collect()}
-    assert [c.client_no for c in docs["o1@example.test"]] == [1, 2, 3, 4, 5]
-    assert [a.kpi for a in docs["o1@example.test"][0].alerts] == ["rext", "spend"]
-    parts = R.owner_documents(digest, limit=3)
-    assert parts.count() > 4 and parts.select(F.sum(F.size("clients"))).first()[0] == 20
+    docs = {(r.AS_email, r.client_no): r for r in R.owner_documents(digest).collect()}
+    assert len(docs) == 20 and [n for e, n in sorted(docs) if e == "o1@example.test"] == [1, 2, 3, 4, 5]
+    assert [a.kpi for a in docs["o1@example.test", 1].alerts] == ["rext", "spend"]
+
+
+def test_charts_keep_owners_apart(spark):
+    df = alerts(spark, 2).where("kpi = 'spend'")
+    two = df.unionByName(df.withColumns({"AS_name": F.lit("OTHER"), "AS_email": F.lit("other@example.test")})).where("combo = 'client 000'")
+    owners = [("a", "OWNER 0", "o0@example.test", 5.0), ("b", "OTHER", "other@example.test", 9000.0), ("c", "THIRD", "third@example.test", 1.0)]
+    attributes = spark.createDataFrame([("client 000", i, n, e) for i, (_, n, e, _) in enumerate(owners)], "combo string, attributes_id long, AS_name string, AS_email string"
+                                       ).withColumns({"currency_code": F.lit("EUR"), "manager_name": F.lit("M"), "manager_email": F.lit("m@e")})
+    cleaned = spark.createDataFrame([("client 000", i, Y, v) for i, (_, _, _, v) in enumerate(owners)], "combo string, attributes_id long, day date, spend double"
+                                    ).withColumns({"is_client": F.lit(True), **{k: F.lit(0.0) for k in ("rext", "cos", "cr", "ctr")}})
+    axis = R.chart_axis(R.account_chart_input(cleaned, attributes, two))
+    assert {(r.AS_name, r.last_label) for r in axis.collect()} == {("OWNER 0", "5.00 EUR"), ("OTHER", "9,000.00 EUR")}
+    digest = R.owner_digest(two, axis.select("AS_email", "combo", "kpi", "last_label"))
+    assert {(r.AS_email, r.last_label) for r in digest.collect()} == {("o0@example.test", "5.00 EUR"), ("other@example.test", "9,000.00 EUR")}
 
 
 def test_pod_leaders(spark):
@@ -177,24 +186,29 @@ def tag_alert_rows(spark):
 def test_tag_documents_round_trip(spark, tmp_path):
     df = tag_alert_rows(spark)
     docs = TS.owner_documents(df)
-    first = docs.where("name = 'TS 1'").first()
-    assert (first.ranking, [p.partner_name for p in first.partners]) == ("TIER 1, TIER 2", ["p1", "p2"])
-    assert [(a.site, [e.event_name for e in a.event]) for a in first.partners[0].alerts] == [("d", ["basket", "sales"]), ("m", ["sales"])]
+    by = {(r.name, r.partner_name): r for r in docs.collect()}
+    assert sorted(by) == [("TS 1", "p1"), ("TS 1", "p2"), ("TS 2", "p3")] and by["TS 1", "p2"].ranking == "TIER 2"
+    assert [(a.site, [e.event_name for e in a.event]) for a in by["TS 1", "p1"].alerts] == [("d", ["basket", "sales"]), ("m", ["sales"])]
     path = write_documents(docs, str(tmp_path / "docs"))
     flat = TS.flatten_documents(read_documents(spark, path, docs.schema))
     assert {(r.partner_name, r.site, r.event_name) for r in flat.collect()} == {
         (r.partner_name, r.site_type, r.event_name) for r in df.collect()}
     assert flat.where("graph = '1_m_sales.png'").count() == 1
-    split = TS.owner_documents(df, limit=1)
-    assert split.count() > 2 and TS.flatten_documents(split).count() == 5
     empty = write_documents(TS.owner_documents(df.limit(0)), str(tmp_path / "none"))
     assert read_documents(spark, empty, docs.schema).count() == 0
 
 
+def test_a_large_owner_keeps_whole_partners(spark):
+    one = tag_alert_rows(spark).where("partner_name = 'p2'")
+    many = one.drop("partner_id", "event_name").join(spark.range(20_000).select(
+        (F.col("id") % 1000).alias("partner_id"), F.concat(F.lit("e"), (F.col("id") / 1000).cast("int").cast("string")).alias("event_name")))
+    docs = TS.owner_documents(many)
+    assert docs.count() == 1000 and docs.where(F.size(F.col("alerts")[0]["event"]) == 20).count() == 1000
+
+
 def test_documents_without_site_are_skipped(spark):
     docs = TS.owner_documents(tag_alert_rows(spark))
-    no_site = docs.withColumn("partners", F.transform("partners", lambda p: p.withField(
-        "alerts", F.transform(p["alerts"], lambda a: a.withField("site", F.lit(None).cast("string"))))))
+    no_site = docs.withColumn("alerts", F.transform("alerts", lambda a: a.withField("site", F.lit(None).cast("string"))))
     assert TS.flatten_documents(no_site).count() == 0
 
 
@@ -293,3 +307,11 @@ def test_freshness(spark):
     assert {r.table_name: r.is_late for r in checked.collect()} == {"a": False, "b": True, "c": True}
     assert G.data_late(checked) and not G.data_late(checked.where("table_name = 'a'"))
 
+
+
+def test_csv_keeps_texts(spark, tmp_path):
+    rows = [(" lead", 'a\nb', 'q"x', 1), ("", None, 'back\\slash, "', 2), (None, " tail ", "ü\r\nz", None)]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d int")
+    back = read_csv(spark, write_csv(df, str(tmp_path / "texts")), df.schema)
+    want = [tuple(x or None for x in r) for r in rows]  # an empty text comes back as null
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(want, key=str)
