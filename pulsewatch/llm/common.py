@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import os
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +13,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WORD = r"[^\x20\x09-\x0D]+"
+from pulsewatch.sources.stage import stage_path
+
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -31,22 +31,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; on a local master without that setting, below the working folder's
-    ``spark-warehouse``, which the driver and its tasks share there."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/corpus-scratch"
-    return f"{root.rstrip('/')}/corpus/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-
-
 def staged(df: DataFrame) -> DataFrame:
     """Written once to the shared folder and read back: cuts the lineage and survives lost executors."""
-    spark, path = df.sparkSession, scratch(df.sparkSession)
+    path = stage_path(df.sparkSession, "corpus")
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def remainder(column: Column, mod: int) -> Column:
