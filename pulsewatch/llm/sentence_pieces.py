@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search.
 
-The lattice has a node for every boundary between characters and an edge for every piece. Forward, each node keeps one backpointer.
+The lattice has a node for every boundary between characters and an edge for every piece. Each node keeps one backpointer, a piece.
 A future piece can only start at the last ``longest`` nodes, so only these can be the end of a surviving path; as soon as all
 their paths run through one boundary, the ids before it are committed and forgotten. Memory is bounded by the longest piece, not
 by the text. Between two characters that stand together in no piece all paths meet at once; what lies between two such places
@@ -15,6 +15,7 @@ One path survives, and it is the merging result of the whole text.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -26,8 +27,8 @@ from pulsewatch.llm.common import pick, pieces, public_file
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, BPE = 1, 2, 3, 4, 6, 2
-#: Looked-up parts of texts are kept up to this length and number.
-KNOWN_LENGTH, KNOWN_PARTS = 64, 200_000
+#: Parts of texts are kept up to this length, twice this number of the latest ones; and this number of beginnings of them.
+KNOWN_LENGTH, KNOWN_PARTS, KNOWN_ENDS = 64, 200_000, 300_000
 #: What an unknown character costs below the worst piece of a unigram model.
 PENALTY = 10.0
 
@@ -55,14 +56,17 @@ class Encoder:
         self.unknown = next((k for k, (_, _, kind) in enumerate(model["pieces"]) if kind == UNKNOWN), 0)
         self.byte_id = {int(p[3:5], 16): k for k, (p, _, kind) in enumerate(model["pieces"]) if kind == BYTE}
         self.longest = max(map(len, self.id), default=1)
+        self.endings = {p[k:] for p in self.id for k in range(1, len(p))}
         self.worst = min(self.score.values(), default=0.0) - PENALTY
-        inside = {x for p in self.id for x in zip(p, p[1:])}
+        self.inside = inside = {x for p in self.id for x in zip(p, p[1:])}
         letters = {c for p in self.id for c in p}
         # paths always meet before a space mark that follows something else, if no piece holds such a pair
         after_space = any(b == SPACE and a != SPACE for a, b in inside)
         self.cut = re.compile("\n|[^\n]+" if after_space or "\n" in letters else f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
         self.parts: dict[str, bytes] = {}
-        self.fits = lru_cache(1 << 18)(self._fits)
+        self.older: dict[str, bytes] = {}
+        self.ends: dict[str, str] = {}
+        self.fits = lru_cache(1 << 17)(self._fits)
         self.raw = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(SPACE, " ").encode()
                     for p, _, kind in model["pieces"]]
 
@@ -70,15 +74,15 @@ class Encoder:
         if not text:
             return np.empty(0, np.int32)
         parts = self.cut.findall((SPACE if self.prefix else "") + text.replace(" ", SPACE))
-        known = self.parts
-        if len(known) > KNOWN_PARTS:
-            known.clear()
-        out = []
+        if len(self.parts) > KNOWN_PARTS:
+            self.older, self.parts = self.parts, {}
+        known, older, out = self.parts, self.older, []
         for part in parts:
             found = known.get(part)
             if found is None:
-                found = np.fromiter(self.stream(part), np.int32).tobytes()
-                if len(part) <= KNOWN_LENGTH:
+                short = len(part) <= KNOWN_LENGTH
+                found = older.get(part) or array("i", self.short(part) if short and self.bpe else self.stream(part)).tobytes()
+                if short:
                     known[part] = found
             out.append(found)
         return np.frombuffer(b"".join(out), np.int32)
@@ -89,50 +93,80 @@ class Encoder:
 
     def stream(self, text: str):
         """Ids of the best path, each given out as soon as no other path can survive."""
-        back, last, score = {0: 0}, {0: ""}, {0: 0.0}
-        committed = 0
-        for i in range(1, len(text) + 1):
-            best = None
-            for start in range(i - 1, max(committed, i - self.longest) - 1, -1):
-                piece = text[start:i]
-                if start not in last:
-                    continue
-                if piece in self.id:
-                    if self.bpe:
-                        if not self.fits(last[start], piece):
-                            continue
-                        best = start, piece, 0.0
-                        break
-                    value = score[start] + self.score[piece]
-                elif i - start == 1:
-                    if self.bpe and not self.fits(last[start], piece):
-                        continue
-                    value = score[start] + self.worst
-                else:
-                    continue
-                if best is None or value > best[2]:
-                    best = start, piece, value
-            if best is not None:
-                back[i], last[i], score[i] = best
-            if i - committed >= 2 * self.longest or i == len(text):
-                # boundaries that a path to the end can still use
-                alive = {len(text)} if i == len(text) else {k for k in range(max(committed, i - self.longest + 1), i + 1) if k in last}
+        size, committed, last, score = len(text), 0, {0: ""}, {0: 0.0}
+        for end in range(1, size + 1):
+            piece = self._fitting(text, end, last.get) if self.bpe else self._best(text, end, last, score)
+            last[end] = piece
+            if end == size or end - committed >= 2 * self.longest:
+                # a path to the end can still run through the last boundaries only
+                alive = {size} if end == size else set(range(end - self.longest + 1, end + 1))
                 while len(alive) > 1:
                     k = max(alive)
                     alive.discard(k)
-                    alive.add(back[k])
+                    alive.add(k - len(last[k]))
                 meet, path = alive.pop(), []
                 k = meet
                 while k > committed:
                     path.append(last[k])
-                    k = back[k]
+                    k -= len(last[k])
                 for piece in reversed(path):
                     yield from self._ids(piece)
+                for k in range(committed, meet):
+                    last.pop(k, None)
+                    score.pop(k, None)
                 committed = max(committed, meet)
-                low = max(committed, 0) if i < len(text) else i
-                for table in (back, last, score):
-                    for k in [k for k in table if k < low]:
-                        del table[k]
+
+    def _ending(self, text: str, end: int) -> list[str]:
+        """Pieces that end here, longest first; a character without a piece stands for itself."""
+        found = []
+        for start in range(end - 1, -1, -1):
+            piece = text[start:end]
+            if piece in self.id:
+                found.append(piece)
+            elif start == end - 1:
+                found.append(piece)
+            if piece not in self.endings:
+                break
+        found.reverse()
+        return found
+
+    def _fitting(self, text: str, end: int, before) -> str:
+        for piece in self._ending(text, end):
+            left = before(end - len(piece))
+            if left is not None and self.fits(left, piece):
+                return piece
+        raise AssertionError("every text has a path")
+
+    def _end(self, text: str) -> str:
+        """The backpointer at the end of a short text for a BPE model. It only depends on the text, so it is kept, and those
+        before it are found when a piece asks for them."""
+        if not text:
+            return ""
+        piece = self.ends.get(text)
+        if piece is None:
+            piece = self._fitting(text, len(text), lambda k: self._end(text[:k]))
+            self.ends[text] = piece
+        return piece
+
+    def short(self, text: str):
+        """Ids of a short text for a BPE model, by the kept backpointers."""
+        if len(self.ends) > KNOWN_ENDS:
+            self.ends.clear()
+        path = []
+        while text:
+            path.append(self._end(text))
+            text = text[:-len(path[-1])]
+        for piece in reversed(path):
+            yield from self._ids(piece)
+
+    def _best(self, text: str, end: int, last: dict[int, str], score: dict[int, float]) -> str:
+        best = None
+        for piece in self._ending(text, end):
+            before = score.get(end - len(piece))
+            value = None if before is None else before + self.score.get(piece, self.worst)
+            if value is not None and (best is None or value > score[end]):
+                best, score[end] = piece, value
+        return best
 
     def _ids(self, piece: str):
         if piece in self.id:
@@ -144,7 +178,7 @@ class Encoder:
 
     def _fits(self, left: str, right: str) -> bool:
         """Whether merging the characters of both by rank gives exactly these two."""
-        return not left or self.merged(left + right) == [left, right]
+        return not left or (left[-1], right[0]) not in self.inside or self.merged(left + right) == [left, right]
 
     def merged(self, text: str) -> list[str]:
         """Pieces after joining, again and again, the neighbours that form the piece of the highest score (ties: the first)."""
