@@ -91,7 +91,7 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, r
              .select("item", "a2", "b2", "whole2", F.col("at.block").alias("block"), F.explode(F.transform(
                  F.array(*map(F.lit, flips)), lambda x: x.bitwiseXOR(F.col("at.value")))).alias("value")))
     near = (prints.select("content", "a", "b", "whole", _blocks()).select("content", "a", "b", "whole", "at.block", "at.value")
-            .join(index, ["block", "value"])
+            .join(index.hint("merge"), ["block", "value"])  # its size is not that of the file it is exploded from
             .where(F.bit_count(F.col("a").bitwiseXOR(F.col("a2"))) + F.bit_count(F.col("b").bitwiseXOR(F.col("b2"))) <= radius)
             .select("content", "item", "whole", "whole2").distinct())
     both = near.join(contents.select("content", "h", "w"), "content").join(wanted.select("item", "h", F.col("w").alias("w2")), ["item", "h"])
