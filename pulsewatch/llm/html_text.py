@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from pulsewatch.llm.common import pick, pieces
 
-#: Pages that the potentials are counted on, chosen by hash of their id.
+#: Labelled pages that the potentials are counted on, chosen by hash of their id.
 SAMPLE = 3000
 #: Pseudo-count of every potential, and of what the lists below say.
 PRIOR, BELIEF = 0.5, 20.0
@@ -238,9 +238,12 @@ def _count(batches):
 
 
 def train(pages: DataFrame) -> Potentials:
-    """Potentials counted on at most SAMPLE pages (columns page_id and html)."""
-    chosen = pages.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE)
-    counts = (pages.join(chosen, "page_id", "left_semi").select("html").mapInArrow(_count, "potential string, at long, n double")
+    """Potentials counted on at most SAMPLE pages that mark their article (columns page_id and html; a null id is told by the html)."""
+    seen = F.regexp_replace("html", r"(?is)<!--.*?-->|<script\b.*?</script|<style\b.*?</style", "")
+    mark = F.when(F.col("page_id").isNull(), F.xxhash64("html")).otherwise(F.xxhash64("page_id"))
+    labelled = pages.where(seen.rlike(r"(?i)<(article|main)([\s/>]|$)")).select(mark.alias("mark"), "html")
+    chosen = labelled.select("mark").distinct().orderBy("mark").limit(SAMPLE)
+    counts = (labelled.join(chosen, "mark", "left_semi").dropDuplicates(["mark", "html"]).select("html").mapInArrow(_count, "potential string, at long, n double")
               .groupBy("potential", "at").agg(F.sum("n").alias("n")).collect())
     model = Potentials()
     for r in counts:

@@ -63,3 +63,14 @@ def test_main_text_and_odd_rows(spark):
     assert "First text 7" in got[200]["text"] and "cookies" not in got[200]["text"] and "Nice post" not in got[200]["text"]
     assert H.main_texts(df).count() == len(rows)
     assert H.main_texts(df.limit(0)).collect() == []
+
+
+def test_trains_on_labelled_pages_only(spark, monkeypatch):
+    monkeypatch.setattr(H, "SAMPLE", 5)
+    plain = "<!-- <main> --><script>'<article>'</script><div><p>no mark</p></div>"
+    rows = [(k, plain) for k in range(200)] + [(k, PAGE.format("article", k)) for k in range(300, 303)] + [(None, PAGE.format("main", k)) for k in range(2)]
+    got = H.train(spark.createDataFrame(rows, "page_id long, html string"))
+    wanted, pages = H.Potentials(), [H.Page(x) for _, x in rows[200:]]
+    forest = H.Forest(pages)
+    wanted.count(forest, forest.labels(pages))
+    assert all(getattr(got, name) == pytest.approx(getattr(wanted, name)) for name in H.TABLES)
