@@ -28,12 +28,14 @@ SAMPLE = 3000
 PRIOR, BELIEF = 0.5, 20.0
 
 # Elements of HTML and words that sites use in class and id attributes.
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "select", "object", "math"}
+RAW = {"script", "style", "textarea", "title", "template", "iframe", "svg", "select"}
+#: Elements with text of their own that stand inside paragraphs as well.
+INNER = {"noscript", "object"}
 FURNITURE = {"nav", "header", "footer", "aside", "form", "button", "dialog", "menu", "head", *RAW}
 MAIN = {"article", "main"}
 BLOCKS = {"html", "body", "div", "section", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "table", "thead",
           "tbody", "tfoot", "tr", "td", "th", "caption", "blockquote", "pre", "figure", "figcaption", "address", "fieldset", "details",
-          "summary", "hr", "center", *FURNITURE, *MAIN}
+          "summary", "hr", "center", *INNER, *FURNITURE, *MAIN}
 VOID = {"hr", "br", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
@@ -93,8 +95,11 @@ class Page:
                 if closing:
                     self._close(stack, name)
                     continue
-                self._implied(stack, name)
+                if name not in INNER:
+                    self._implied(stack, name)
                 node = self._add(KIND_AT[name], stack[-1][1], _says(m[3]) if m[3] else 0, "", 0)
+                if name == "svg" and m[3].endswith("/"):
+                    continue
                 if name in RAW:
                     end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(source, at)
                     at = end.end() if end else len(source)

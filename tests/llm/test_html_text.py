@@ -74,3 +74,12 @@ def test_trains_on_labelled_pages_only(spark, monkeypatch):
     forest = H.Forest(pages)
     wanted.count(forest, forest.labels(pages))
     assert all(getattr(got, name) == pytest.approx(getattr(wanted, name)) for name in H.TABLES)
+
+
+def test_text_after_and_in_inner_elements_stays():
+    assert blocks('<p>a<svg class="x"/>b</p><p>c</p><svg><text>no</text></svg><p>d</p>') == ["a", "b", "c", "d"]
+    assert blocks("<p>let <math><mi>x</mi></math> be<math/> one</p><p>c</p>") == ["let x be one", "c"]
+    assert blocks("<p>a<object data=f><p>b</p></object>c<noscript>d</noscript>e</p>") == ["a", "b", "c", "d", "e"]
+    page = H.Page("<article><p>a</p><noscript>b</noscript></article>")
+    forest = H.Forest([page])
+    assert [k for k, t in zip(forest.labels([page]), page.text) if t] == [1, 1]
