@@ -1,11 +1,12 @@
 """Benchmark decontamination by SimHash over item-sized windows, in DataFrame functions only.
 
 1. A window that is similar enough to an item shares a shingle with it. So windows as long as the item are laid on every
-   shingle that a document shares with the benchmark, the two shingles on top of each other: no window that could pass is left out.
+   shingle that a document shares with the benchmark, the two shingles on top of each other: no window that could pass is left out here.
 2. Equal windows collapse. Every window and every item gets a SimHash of 128 bits over its weighted shingles.
 3. Multi-index search: the fingerprint has BLOCKS blocks. Two fingerprints that differ in at most RADIUS bits differ in at most
    RADIUS // BLOCKS bits on one block at least, so the index of the items holds every block value with up to so many bits
-   flipped, and the blocks of the windows are joined with it. All pairs within the radius meet.
+   flipped, and the blocks of the windows are joined with it. All pairs within the radius meet. The radius itself misses some
+   pairs at the edge: of simulated pairs with a similarity of 0.80 to 0.83, 36 of 20,000 were beyond it (0.13 to 0.28 % by length).
 4. Pairs within the radius are verified by the exact similarity of their weighted shingles: the shingles count as often as they
    occur, times their characters; the sum of the smaller over the sum of the larger weights.
 """
