@@ -69,9 +69,10 @@ def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of some texts: distinct values, and for every word in reading order the index of its value."""
 
-    def __init__(self, texts: pa.Array, lower: bool = True):
+    def __init__(self, texts: pa.Array, lower: bool = True, between: np.ndarray = _BLANK):
+        """``between`` marks the bytes that separate words."""
         raw, cuts = raw_bytes(texts)
-        blank = _BLANK[raw]
+        blank = between[raw]
         solid = ~blank
         begins = solid.copy()
         begins[1:] &= blank[:-1]
@@ -122,6 +123,18 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(start, rows)
 
 
+def bounded(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches with at most ``size`` bytes in a text column, but one row at least, to bound a task's memory."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def public_file(name: str) -> str:
     """A public vocabulary file; ``TOKENIZER_DIR`` names another folder."""
     return os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), name)

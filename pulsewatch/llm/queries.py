@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsewatch.llm import host_rules as H
+from pulsewatch.llm import source_audit as A
 from pulsewatch.llm.brown_lm import brown_scores
 from pulsewatch.llm.common import read_table
 from pulsewatch.llm.decontaminate import matches
@@ -61,11 +62,15 @@ def op10_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), mod=5, held=0)
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.divergences(read_table(spark, sf_dir, "documents"), least_docs=3, ranks=200)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_brown_lm, op2_html_text, op3_line_dedup, op4_host_rules, op5_decontaminate, op6_jaccard_join, op7_language_id,
-                                    op8_repeated_spans, op9_sentence_pieces, op10_quality_rank)}
+                                    op8_repeated_spans, op9_sentence_pieces, op10_quality_rank, op11_source_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Statements for what SQL can express; the others are tested against plain versions, round trips or held-out rows."""
-    return {"op4_host_rules": H.oracle()}
+    return {"op4_host_rules": H.oracle(), "op11_source_audit": A.oracle()}
