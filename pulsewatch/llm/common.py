@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +55,7 @@ def slices(total: int, each: int) -> int:
 
 _LOWER, _BLANK = np.arange(256, dtype=np.uint8), np.zeros(256, bool)
 _LOWER[65:91] += 32
+_AT_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _BLANK[[32, *range(9, 14)]] = True
 
 
@@ -135,6 +137,18 @@ def bounded(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterat
             start = stop
 
 
+def cut_long(text: bytes, size: int) -> list[bytes]:
+    """Parts of about ``size`` bytes, cut where an ASCII blank begins; a part without blanks is as long as it is."""
+    out, start = [], 0
+    while len(text) - start > size:
+        found = _AT_BLANK.search(text, start + size)
+        if not found:
+            break
+        out.append(text[start:found.start()])
+        start = found.start()
+    return [*out, text[start:]]
+
+
 def public_file(name: str) -> str:
     """A public vocabulary file; ``TOKENIZER_DIR`` names another folder."""
     return os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), name)

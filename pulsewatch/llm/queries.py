@@ -18,6 +18,8 @@ from pulsewatch.llm.line_dedup import deduplicated
 from pulsewatch.llm.quality_rank import quality_scores
 from pulsewatch.llm.repeated_spans import without_repeats
 from pulsewatch.llm.sentence_pieces import encoded
+from pulsewatch.llm.sequence_packing import packed
+from pulsewatch.llm.whitening import whitened
 
 
 def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,9 +68,19 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.divergences(read_table(spark, sf_dir, "documents"), least_docs=3, ranks=200)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(read_table(spark, sf_dir, "embeddings"), count=16)
+
+
+def op13_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places of all pieces; their ids only go into the checksum."""
+    return packed(read_table(spark, sf_dir, "documents"), capacity=2048, keep_ids=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_brown_lm, op2_html_text, op3_line_dedup, op4_host_rules, op5_decontaminate, op6_jaccard_join, op7_language_id,
-                                    op8_repeated_spans, op9_sentence_pieces, op10_quality_rank, op11_source_audit)}
+                                    op8_repeated_spans, op9_sentence_pieces, op10_quality_rank, op11_source_audit, op12_whitening,
+                                    op13_sequence_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

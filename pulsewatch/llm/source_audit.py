@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsewatch.llm.common import Words, bounded, pick, staged
+from pulsewatch.llm.common import Words, bounded, cut_long, pick, staged
 
 #: Scale of a probability, as a whole number.
 SCALE = 1_000_000_000
@@ -34,9 +34,25 @@ _OUTSIDE[[*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 
 # ---- counting ---------------------------------------------------------------
 
+def _long_counts(text: bytes) -> tuple[pa.Array, np.ndarray]:
+    """Terms of one long text, counted part by part, and how often they occur."""
+    parts = []
+    for part in cut_long(text, STEP_BYTES):
+        words = Words(pa.array([part], pa.binary()).cast(pa.string()), between=_OUTSIDE)
+        parts.append(pa.table([words.values, pa.array(np.bincount(words.ids, minlength=len(words.values)))], names=["term", "n"]))
+    whole = pa.concat_tables(parts).group_by("term").aggregate([("n", "sum")])
+    return whole["term"].combine_chunks(), whole["n_sum"].to_numpy()
+
+
 def _term_counts(batches):
     """(lang, source, term, n, docs) of some documents: occurrences, and documents that have the term."""
     for batch in bounded(batches, "text", STEP_BYTES):
+        if batch.num_rows == 1 and len(text := batch.column("text")[0].as_py().encode()) > STEP_BYTES:
+            term, n = _long_counts(text)
+            same = [pa.array(batch.column(c).to_pylist() * len(term), pa.string()) for c in ("lang", "source")]
+            yield pa.RecordBatch.from_arrays([*same, term.cast(pa.string()), pa.array(n), pa.array(np.ones(len(n), np.int64))],
+                                             names=["lang", "source", "term", "n", "docs"])
+            continue
         lang, source = (batch.column(c).dictionary_encode() for c in ("lang", "source"))
         group = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(source.dictionary) + source.indices.to_numpy(zero_copy_only=False)
         words = Words(batch.column("text"), between=_OUTSIDE)
