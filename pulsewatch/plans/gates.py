@@ -59,12 +59,6 @@ def jobs_to_run(jobs: DataFrame, history: DataFrame, today: date) -> DataFrame:
     return jobs.join(done, ["script", "geo"], "left_anti")
 
 
-def log_run(spark: SparkSession, path: str, run_date: date, script: str, geo: str) -> None:
-    """Append one successful run; repeated entries are harmless."""
-    row = spark.range(1).select(F.lit(run_date).alias("run_date"), F.lit(script).alias("script"), F.lit(geo).alias("geo"))
-    row.write.mode("append").parquet(path)
-
-
 # ---- outbox -----------------------------------------------------------------
 
 OUTBOX_COLUMNS = ("product", "kind", "to", "cc", "bcc", "subject", "body", "run_date")
@@ -172,7 +166,3 @@ def unsent(outbox: DataFrame, sent: DataFrame) -> DataFrame:
     """Mails not yet sent today, each (to, subject) once."""
     fresh = outbox.join(sent.select("run_date", "to", "subject").distinct(), ["run_date", "to", "subject"], "left_anti")
     return fresh.dropDuplicates(["run_date", "to", "subject"]).select(*OUTBOX_COLUMNS)
-
-
-def log_sent(outbox: DataFrame, path: str) -> None:
-    outbox.select("run_date", "to", "subject").write.mode("append").parquet(path)
