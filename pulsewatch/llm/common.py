@@ -71,13 +71,16 @@ def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of some texts: distinct values, and for every word in reading order the index of its value."""
 
-    def __init__(self, texts: pa.Array, lower: bool = True, between: np.ndarray = _BLANK):
-        """``between`` marks the bytes that separate words."""
+    def __init__(self, texts: pa.Array, lower: bool = True, between: np.ndarray = _BLANK, sides: np.ndarray | None = None):
+        """``between`` marks the bytes that separate words; words are also cut where a byte of side 1 and one of side 2 meet."""
         raw, cuts = raw_bytes(texts)
         blank = between[raw]
         solid = ~blank
         begins = solid.copy()
         begins[1:] &= blank[:-1]
+        if sides is not None:
+            side = sides[raw]
+            begins[1:] |= (side[1:] ^ side[:-1]) == 3
         own = cuts[:-1][cuts[:-1] < len(raw)]
         begins[own] = solid[own]
         starts = np.nonzero(begins)[0]

@@ -1,6 +1,7 @@
 """Best-fit packing of tokenised documents into sequences of fixed length.
 
-Texts are cut at blanks, where no token of the vocabulary crosses, and every distinct stretch is encoded once and kept. Documents
+Texts are cut where no token of the vocabulary crosses, at blanks and between letters and marks, and every distinct stretch is
+encoded once and kept. Documents
 longer than a sequence are cut; their pieces keep their order. How the pieces go together depends on their lengths only, of which
 there are no more than a sequence has places, so the lengths are counted and the counts packed by bin completion
 (``bin_completion``). Pieces of one length are numbered across all partitions by running sums, and each number is looked up in the
@@ -11,9 +12,11 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,51 +24,55 @@ from pyspark.sql import functions as F
 from pulsewatch.llm.bin_completion import Pattern, complete
 from pulsewatch.llm.common import Words, bounded, cut_long, pick, public_file, staged
 
-#: Bytes of text encoded at a time, and stretches kept by a worker.
-STEP_BYTES, KNOWN = 4 << 20, 1 << 19
+#: Bytes of text encoded at a time; a worker keeps twice so many stretches.
+STEP_BYTES, KNOWN = 8 << 20, 600_000
 #: The id behind every document.
 END = 0
+#: No token holds both an ASCII letter or digit (1) and one of these marks (2).
+_SIDES = np.zeros(256, np.uint8)
+_SIDES[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_SIDES[list(b",.;:!?()\"")] = 2
 
 
 class Encoder:
-    """Ids of texts, with a memory of the stretches between blanks."""
+    """Ids of texts, with a memory of the stretches between blanks: those met since it was last full, and those of the time before."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids, self.ends = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)]
-
-    def _learn(self, values: list[str]) -> np.ndarray:
-        """Places of these stretches in the memory."""
-        fresh = [v for v in values if v not in self.place]
-        if len(self.place) + len(fresh) > KNOWN and self.place:
-            self.forget()
-            fresh = values
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _stretches(self, values: list[str]) -> list[bytes]:
+        if len(self.known) > KNOWN:
+            self.older, self.known = self.known, {}
+        known, older, fresh = self.known, self.older, []
+        found = list(map(known.get, values))
+        for k, ids in enumerate(found):
+            if ids is None:
+                ids = older.get(values[k])
+                if ids is None:
+                    fresh.append(k)
+                else:
+                    found[k] = known[values[k]] = ids
         if fresh:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            first = len(self.place)
-            self.place.update(zip(fresh, range(first, first + len(fresh))))
-            last = self.ends[-1][-1]
-            self.ends.append(last + np.cumsum([len(f) for f in found]))
-            self.ids.append(np.fromiter((i for f in found for i in f), np.uint32))
-            self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
-        return np.fromiter((self.place[v] for v in values), np.int64, len(values))
+            for k, e in zip(fresh, self.tokenizer.encode_batch_fast([values[k] for k in fresh], add_special_tokens=False)):
+                found[k] = known[values[k]] = array("I", e.ids).tobytes()
+        return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
-        words = Words(texts, lower=False)
-        place = self._learn(words.values.to_pylist())[words.ids]
-        ends, ids = self.ends[0], self.ids[0]
-        size = ends[place + 1] - ends[place]
-        before = np.cumsum(size) - size
-        flat = ids[np.arange(size.sum()) + np.repeat(ends[place] - before, size)]
-        return flat, np.diff(np.append(0, np.cumsum(size))[words.ends])
+        # the vocabulary has lower-case letters only, but for its special tokens
+        special = bool(pc.any(pc.match_substring(texts, "<|")).as_py())
+        words = Words(texts, lower=not special, sides=_SIDES)
+        found = self._stretches(words.values.to_pylist())
+        ids, size = np.frombuffer(b"".join(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        start, size = (np.cumsum(size) - size)[words.ids], size[words.ids]
+        ends = np.cumsum(size)
+        flat = ids[np.arange(size.sum()) + np.repeat(start - ends + size, size)]
+        return flat, np.diff(np.append(0, ends)[words.ends])
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -91,9 +91,9 @@ def test_fillings_are_undominated_and_within_the_waste():
 
 def odd_texts():
     r = random.Random(5)
-    letters = "aB'sé ÉΣσ́İ日9<|>  \t\n\x0b\x1c .,!?🙂ﬁ​"
+    letters = "aB'sS.(\"é ÉΣσ́İ日9<|>  \t\n\x0b\x1c .,!?🙂ﬁ​"
     out = ["".join(r.choice(letters) for _ in range(r.randrange(0, 60))) for _ in range(300)]
-    return out + ["<|endoftext|>", "a <|startoftext|>b <|endoftext|> c", "it's we'll  I'D", "ΑΣ ΑΣΑ", "é ́x"]
+    return out + ["<|endoftext|>", "<|ENDOFTEXT|>", "x,'s.'S 's,'t", "a=\u0338.\u0338b", "a.<|endoftext|>.A", "a <|startoftext|>b <|endoftext|> c", "it's we'll  I'D", "ΑΣ ΑΣΑ", "é ́x"]
 
 
 def test_ids_equal_the_library(tokenizer, monkeypatch):
