@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsewatch.sources.stage import stage_path
+from pulsewatch.sources.stage import stage_path, staging_scope
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -39,6 +41,21 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables staged inside are deleted at the end, but for what is staged by the function that it gives."""
+    outside = stage_path(spark, "corpus")
+    count = itertools.count()
+
+    def keep(df: DataFrame) -> DataFrame:
+        path = f"{outside}-{next(count)}"
+        df.write.option("compression", "zstd").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    with staging_scope(spark):
+        yield keep
+
+
 def remainder(column: Column, mod: int) -> Column:
     """crc32 of the value as text, modulo ``mod``; a null counts as empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % F.lit(mod)
