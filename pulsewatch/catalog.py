@@ -22,11 +22,13 @@ from pulsewatch.plans import account_alerts as AS
 from pulsewatch.plans import export as E
 from pulsewatch.plans import features as X
 from pulsewatch.plans import gates as G
+from pulsewatch.plans import jobs as J
 from pulsewatch.plans import reports as R
+from pulsewatch.plans import runs as N
 from pulsewatch.plans import tag_alerts as TS
 from pulsewatch.plans import territory as EX
 from pulsewatch.sources.sample import TODAY, sample_star
-from pulsewatch.sources.sinks import read_csv, read_documents, write_csv, write_documents
+from pulsewatch.sources.sinks import read_checked, read_csv, read_documents, write_csv, write_documents
 from pulsewatch.sources.stage import stage, stage_path
 
 RUN = P.RunParams(today=TODAY)
@@ -37,6 +39,7 @@ DELIVERY = P.DeliveryParams(
 # parameters of the filtered queries; the same texts are used in the check statements
 EMPLOYEE_FILTER = "length(em.country) = 1 AND em.cost_center_activity <> 'OTHER'"
 CLIENT_FILTER = "campaign_type_name = 'CONVERSION'"
+LEVELS = (0.5, 0.9, 0.99, 0.999)
 REQUIRED_TABLES = ("signup_table", "view_table", "error_table", "refund_table")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -470,10 +473,9 @@ def export_territory(spark, d):
 
 @query
 def export_filter(spark, d):
-    """The account export written as CSV, read back and filtered."""
-    path = write_csv(E.export_accounts(sample_star(spark, d), RUN), stage_path(spark, "export"))
-    rows = stage(read_csv(spark, path, E.EXPORT_SCHEMA).select("series", "kpi", "day", "run_date", "value"), "export-rows")
-    return rounded(E.export_filter(rows).select("series", "kpi", "day", "run_date", "value"), 9)
+    """The account export filtered, written as CSV and read back with all its columns."""
+    rows = stage(E.export_accounts(sample_star(spark, d), RUN), "export")
+    return rounded(read_csv(spark, write_csv(E.export_filter(rows), stage_path(spark, "export")), E.EXPORT_SCHEMA), 9)
 
 
 # ---- gates and outbox -------------------------------------------------------
@@ -517,18 +519,52 @@ def notification_outbox_exec(spark, d):
 
 @query
 def trouble_notices(spark, d):
-    """Mail and chat of the jobs that did not run today: no alerts, late or failed, as usual and in test mode."""
+    """Mail and chat of every job that did not run today: no alerts, late or failed, as usual and in test mode."""
     product = F.when(F.col("script") == "job_f", "AS").when(F.col("script") == "job_o", "TS").otherwise("EXEC")
     kind = F.element_at(F.array(*map(F.lit, ("no_alerts", "late", "error"))), F.substring("geo", 5, 12).cast("int") % 3 + 1)
-    cases = run_history_gate(spark, d).select(product.alias("product"), kind.alias("kind")).distinct()
-    out = []
-    for one in cases.collect():  # nine at most
-        for mode in ("usual", "test"):
-            own = replace(DELIVERY, test_mode=mode == "test")
-            mail = G.trouble_notice(spark, one.product, one.kind, own, RUN).select("product", "kind", "to", "bcc", "subject")
-            out.append(mail.withColumns({"mode": F.lit(mode), "chat": F.lit(G.chat_notice(one.product, one.kind)),
-                                         "channels": F.lit(" ".join(G.chat_channels(own)))}))
-    return reduce(DataFrame.unionByName, out)
+    jobs = stage(run_history_gate(spark, d).select(product.alias("product"), kind.alias("kind"), "geo"), "stopped")
+
+    def told(mode: str) -> DataFrame:
+        own = replace(DELIVERY, test_mode=mode == "test")
+        return G.trouble_notices(jobs, own, RUN).select("product", "kind", "geo", "to", "bcc", "subject", "chat").withColumns(
+            {"mode": F.lit(mode), "channels": F.lit(" ".join(G.chat_channels(own)))})
+
+    return told("usual").unionByName(told("test"))
+
+
+@query
+def committed_mails(spark, d):
+    """The mails of a day's account job from the log of committed runs; the job is run again after it was done."""
+    root = stage_path(spark, "runs")
+    files = N.JobFiles(f"{root}/out", f"{root}/log")
+    star = sample_star(spark, d)
+    gate = J.Gate(("schema_1",), ("view_table", "click_table"))
+    for _ in range(2):
+        J.run_account_job(spark, star, gate, RUN, DELIVERY, files)
+    return N.sent_mails(spark, files.log, RUN.today)
+
+
+@query
+def detector_levels(spark, d):
+    """The same series tested at other levels of confidence."""
+    stats = stage(_stats(spark, d, ("spend",)), "stats")
+
+    def tested(confidence: float) -> DataFrame:
+        flags = detector_flags(stats, {"spend": P.KpiRule(confidence, "both", 1.0)}, RUN.yesterday)
+        return flags.select("combo", F.lit(confidence).alias("confidence"), "is_outlier", "is_alert")
+
+    return reduce(DataFrame.unionByName, map(tested, LEVELS))
+
+
+@query
+def quarantine(spark, d):
+    """Employees written as CSV, the id of every tenth damaged; what cannot be read is listed, not lost."""
+    damaged = F.when(F.col("employee_id") % 10 == 3, F.concat(F.col("employee_id"), F.lit("x"))).otherwise(F.col("employee_id").cast("string"))
+    path = write_csv(sample_star(spark, d).employee.select(damaged.alias("employee_id"), "full_name", "email"), stage_path(spark, "damaged"))
+    good, bad = read_checked(spark, path, "csv", T.StructType.fromDDL("employee_id long, full_name string, email string"), 0.2)
+    return good.withColumn("is_rejected", F.lit(False)).unionByName(bad.select(
+        F.regexp_extract("record", "^([0-9]+)x,", 1).cast("long").alias("employee_id"), F.lit(None).cast("string").alias("full_name"),
+        F.lit(None).cast("string").alias("email"), F.lit(True).alias("is_rejected")))
 
 
 def queries() -> dict[str, Query]:

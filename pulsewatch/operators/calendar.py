@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsewatch.operators.quantiles import series_profile
+from pulsewatch.operators.series_state import calendar_of
 
 
 def calendar_fill(df: DataFrame, key: str, metrics: list[str],
-                  oversized: DataFrame | None = None) -> DataFrame:
+                  oversized: DataFrame | None = None, calendar: Column | None = None) -> DataFrame:
     """Add the days that a series lacks, up to the last day of all series.
 
     * a day that no series has: the series' own median per metric,
@@ -21,14 +22,11 @@ def calendar_fill(df: DataFrame, key: str, metrics: list[str],
     the smallest by day and then by the remaining columns, the hash of the
     attributes last. Reads ``df`` three
     times, so pass a staged frame. The calendar is the only thing shared by all
-    tasks: one row with the distinct days.
+    tasks: one row with the distinct days (``series_state.calendar_of``); by default that of ``df``.
     """
     for metric in metrics:
         df = df.withColumn(metric, F.col(metric).cast("double"))
-    calendar = df.agg(F.min("day").alias("lo"), F.max("day").alias("hi"),
-                      F.collect_set("day").alias("days"))
-    calendar = calendar.select(F.struct(
-        "hi", F.array_except(F.sequence("lo", "hi"), "days").alias("unseen")).alias("c")).scalar()
+    calendar = calendar_of(df.select("day")) if calendar is None else calendar
 
     others = sorted((c for c in df.columns if c != "day"), key=lambda c: c == "attributes_id")
     profile = series_profile(df, key, [

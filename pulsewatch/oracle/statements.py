@@ -264,7 +264,7 @@ SELECT {EXPORT_COLUMNS} FROM (SELECT *, 'territory_rext' AS kpi, 'N/A' AS client
   'N/A' AS campaign_type_name, -11 AS campaign_revenue_type, -11 AS campaign_funnel_id, 'N/A' AS cost_center,
   'TIER 1' AS ranking, 'N/A' AS event_name, 'N/A' AS site_type, {T} AS run_date FROM x_export_territory)"""
 FINAL["export_filter"] = f"""
-WITH e AS (SELECT series, kpi, day, {T} AS run_date, round(value, 9) + 0.0e0 AS value FROM x_export_as),
+WITH e AS ({FINAL["export_as"]}),
      y AS (SELECT * FROM e SEMI JOIN (SELECT series, kpi FROM e WHERE day = run_date - 1) USING (series, kpi))
 SELECT * FROM y SEMI JOIN (SELECT series, run_date, kpi FROM y GROUP BY ALL HAVING count(*) >= 3) USING (series, kpi)"""
 FINAL["freshness_gate"] = f"""
@@ -297,13 +297,13 @@ FINAL["notification_outbox_exec"] = f"""
 SELECT 'EXEC' AS product, 'alert' AS kind, '{DELIVERY.recipients}' AS "to", CAST(NULL AS VARCHAR) AS cc, CAST(NULL AS VARCHAR) AS bcc,
        '{DELIVERY.geo} KPI Alert' AS subject, alerts AS body, {T} AS run_date FROM x_territory_text"""
 FINAL["trouble_notices"] = f"""
-WITH e AS (SELECT DISTINCT CASE script WHEN 'job_f' THEN 'AS' WHEN 'job_o' THEN 'TS' ELSE 'EXEC' END AS product,
+WITH e AS (SELECT geo, CASE script WHEN 'job_f' THEN 'AS' WHEN 'job_o' THEN 'TS' ELSE 'EXEC' END AS product,
                   ['no_alerts', 'late', 'error'][CAST(substr(geo, 5) AS INTEGER) % 3 + 1] AS kind
            FROM ({FINAL["run_history_gate"]})),
-     s AS (SELECT *, mode, 'KPI ' || product || ' {DELIVERY.geo}' AS scope,
+     s AS (SELECT *, mode, 'KPI ' || product || ' ' || geo AS scope,
                   CASE product WHEN 'AS' THEN 'business' WHEN 'TS' THEN 'technical' ELSE 'executive' END AS tone
            FROM e CROSS JOIN (VALUES ('usual'), ('test')) AS m(mode))
-SELECT product, kind, mode,
+SELECT product, kind, geo, mode,
        CASE WHEN mode = 'test' THEN '{DELIVERY.test_email}' WHEN kind = 'no_alerts' THEN '{DELIVERY.maintainers}' ELSE '{DELIVERY.alias}' END AS "to",
        CASE WHEN mode = 'usual' AND kind <> 'no_alerts' THEN '{DELIVERY.maintainers}' END AS bcc,
        CASE mode WHEN 'test' THEN '[TEST] ' ELSE '' END || CASE kind WHEN 'no_alerts' THEN 'No Alerts to Send for ' || scope
@@ -315,6 +315,18 @@ SELECT product, kind, mode,
 FROM s"""
 
 
+FINAL["committed_mails"] = FINAL["notification_outbox"]
+#: Quantiles of the chi-square distribution with one degree of freedom, from tables.
+_CRITICAL = {0.5: 0.454936423119572, 0.9: 2.705543454095404, 0.99: 6.634896601021213, 0.999: 10.827566170662733}
+FINAL["detector_levels"] = f"""
+SELECT combo, confidence, coalesce(score > critical, false) AS is_outlier,
+       is_material AND enough_rows AND ends_yesterday AND coalesce(score > critical, false) AND ((below_fence AND fell) OR (above_fence AND rose)) AS is_alert
+FROM x_as_flags CROSS JOIN (VALUES {", ".join(f"({c!r}e0, {q!r}e0)" for c, q in _CRITICAL.items())}) AS v(confidence, critical) WHERE kpi = 'spend'"""
+FINAL["quarantine"] = """
+SELECT employee_id, CASE WHEN NOT bad THEN full_name END AS full_name, CASE WHEN NOT bad THEN email END AS email, bad AS is_rejected
+FROM (SELECT *, employee_id % 10 = 3 AS bad FROM x_employee)"""
+
+
 def oracle_sql() -> dict[str, str]:
     filtered = {"param_filter": {"employees": EMPLOYEE_FILTER, "clients": CLIENT_FILTER}}
     return {name: statement(final, **filtered.get(name, {})) for name, final in FINAL.items()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
+from statistics import NormalDist
 
 # ---- fixed values: statistical settings of the detector --------------------
 # Chi-square (1 degree of freedom) quantiles for the confidence levels in use.
@@ -42,6 +43,13 @@ OVERSIZED_SERIES_ROWS = 100_000
 BROADCAST_KEYS = 1_000_000
 
 
+def chi_square_critical(confidence: float) -> float:
+    """Quantile of the chi-square distribution with one degree of freedom: that of a squared normal variable."""
+    if confidence in CHI_SQUARE_CRITICAL:
+        return CHI_SQUARE_CRITICAL[confidence]
+    return NormalDist().inv_cdf((1 + confidence) / 2) ** 2
+
+
 @dataclass(frozen=True)
 class KpiRule:
     """How one KPI is tested: confidence, direction, smallest absolute change."""
@@ -51,14 +59,14 @@ class KpiRule:
     min_deviation: float | None = 1.0
 
     def __post_init__(self):
-        if self.confidence not in CHI_SQUARE_CRITICAL:
-            raise ValueError(f"no critical value known for confidence {self.confidence}")
+        if not 0 < self.confidence < 1:
+            raise ValueError(f"confidence must lie between 0 and 1, not {self.confidence}")
         if self.direction.lower() not in ("neg", "pos", "both"):
             raise ValueError('direction must be "both", "pos" or "neg"')
 
     @property
     def critical(self) -> float:
-        return CHI_SQUARE_CRITICAL[self.confidence]
+        return chi_square_critical(self.confidence)
 
 
 # ---- fixed values: rule per KPI ---------------------------------------------

@@ -11,9 +11,9 @@ from pulsewatch import params as P
 from pulsewatch.functions.cleaning import clean_data, with_kpi_ratios
 from pulsewatch.operators.calendar import calendar_fill
 from pulsewatch.operators.detector import detector_flags, detector_stats
-from pulsewatch.operators.quantiles import oversized_keys
 from pulsewatch.operators.reshape import kpi_order, unpivot_kpis
 from pulsewatch.operators.screening import disqualify, drop_series
+from pulsewatch.operators.series_state import calendar_of, filled, long_rows, oversized_series, series_state, state_stats
 from pulsewatch.plans.features import SeriesFrame, account_series, with_attributes
 from pulsewatch.sources.stage import stage
 from pulsewatch.sources.warehouse import Star, require_rows
@@ -53,16 +53,37 @@ def detect_accounts(series: SeriesFrame, p: P.RunParams, alert_kpis: tuple[str,
                     keep_history: bool = False) -> Detection:
     """Clean, fill the calendar and test every (series, KPI).
 
-    ``keep_history`` stages the filled series, for callers that report them too.
+    The daily rows are shuffled once, into one row per series. ``keep_history`` stages the filled series, for callers that report them too.
     """
-    eligible = stage(eligible_rows(series.daily, p), "eligible")
-    large = oversized_keys(eligible, "combo", p.oversized_rows)
-    cleaned = calendar_fill(eligible, "combo", list(P.ACCOUNT_FILL_METRICS), large)
+    metrics, kpis = list(P.ACCOUNT_FILL_METRICS), list(alert_kpis)
+    named = F.coalesce("combo", F.lit("0"))         # as clean_data names it
+    large = oversized_series(series.daily.select(named.alias("combo")), "combo", p.oversized_rows)
+    usual = series.daily if large is None else series.daily.join(large.withColumnRenamed("combo", "__large"), named == F.col("__large"), "left_anti")
+    rows = clean_data(with_kpi_ratios(usual.withColumns({"__tac": F.col("tac"), "__unnamed": F.col("combo").isNull()})), keep=("day", "__tac", "__unnamed"))
+    columns = [c for c in rows.columns if c not in ("__tac", "__unnamed")]
+    state = stage(series_state(rows, "combo", rows.select(*columns), p.yesterday, p.required_days), "series-state")
+    days = state.select(F.explode("rows.day").alias("day"))
+    if large is not None:
+        big = series.daily.join(large.withColumnRenamed("combo", "__large"), named == F.col("__large"), "left_semi")
+        eligible = stage(eligible_rows(big, p).select(*columns), "eligible")
+        days = days.unionByName(eligible.select("day"))
+    calendar = calendar_of(days)
+    whole = filled(state, "combo", metrics, calendar)
     if keep_history:
-        cleaned = stage(cleaned, "cleaned")
-    on_yesterday = F.col("day") == F.lit(p.yesterday)
-    stats = detector_stats(cleaned, "combo", list(alert_kpis), p.yesterday, large, extra=[
-        F.max(F.when(on_yesterday, F.col("rext_euro"))).alias("rext_euro_yesterday")])
+        whole = stage(whole, "filled")
+    cleaned = long_rows(whole, "combo", columns)
+    stats = state_stats(whole, "combo", kpis, p.yesterday, ["rext_euro"])
+    seen = state.select("combo", F.explode(F.array_distinct("rows.attributes_id")).alias("attributes_id"))
+    if large is not None:
+        # rows of one series in too great number for an array
+        keys = eligible.select("combo").distinct()
+        more = calendar_fill(eligible, "combo", metrics, keys, calendar)
+        cleaned = cleaned.unionByName(more)
+        on_yesterday = F.col("day") == F.lit(p.yesterday)
+        stats = stats.unionByName(detector_stats(more, "combo", kpis, p.yesterday, keys, extra=[
+            F.max(F.when(on_yesterday, F.col("rext_euro"))).alias("rext_euro_yesterday")]))
+        seen = seen.unionByName(eligible.select("combo", "attributes_id").distinct())
+        cleaned = stage(cleaned, "cleaned") if keep_history else cleaned
     tested = detector_flags(stats, {k: P.rule_for(k) for k in alert_kpis}, p.yesterday)
     deep_loss = ((F.col("kpi") == "rext") & (F.col("n_yesterday") == 1)
                  & (F.col("rext_euro_yesterday") <= P.NEGATIVE_MARGIN_FLOOR_EURO))
@@ -75,8 +96,7 @@ def detect_accounts(series: SeriesFrame, p: P.RunParams, alert_kpis: tuple[str,
         F.struct("kpi", "is_alert"), F.struct(F.lit("rext_euro").alias("kpi"), F.lit(False).alias("is_alert"))
     )).otherwise(F.array(F.struct("kpi", "is_alert")))
     per_kpi = flags.select("combo", F.explode(listed).alias("t")).select("combo", "t.*")
-    attributes = clean_data(series.attributes).join(
-        eligible.select("combo", "attributes_id").distinct(), ["combo", "attributes_id"], "left_semi")
+    attributes = clean_data(series.attributes).join(seen, ["combo", "attributes_id"], "left_semi")
     results = attributes.select(*SERIES_ATTRIBUTES).distinct().join(per_kpi, "combo").select(
         *SERIES_ATTRIBUTES, "kpi", F.lit(p.today).alias("run_date"), "is_alert")
     return Detection(results, cleaned, flags, attributes)

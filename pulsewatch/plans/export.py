@@ -111,4 +111,4 @@ def export_filter(rows: DataFrame, rows_threshold: int = 3) -> DataFrame:
     kept = runs.groupBy("series", "kpi").agg(
         F.max("n").alias("most"), F.sum("n_last").alias("n_last")
     ).where((F.col("n_last") > 0) & (F.col("most") >= rows_threshold)).select("series", "kpi")
-    return rows.join(kept, ["series", "kpi"], "left_semi")
+    return rows.join(kept, ["series", "kpi"], "left_semi").select(*rows.columns)

@@ -3,8 +3,9 @@
 Facts out of scope are dropped first, by a broadcast of the campaign ids if
 these are few enough (counted), otherwise by the later join. The rest is
 de-duplicated and summed per campaign, currency and day *before* it meets the
-dimensions. De-duplication hashes whole rows, and the sums combine on the map
-side, so one campaign holding a large part of the facts stays spread. The joins
+dimensions. De-duplication shuffles a hash per row and those rows whose hash
+occurs twice, and the sums combine on the map side, so one campaign holding a
+large part of the facts stays spread. The joins
 after that see one row per campaign, currency and day, and the many text
 attributes come last. Those joins carry no hint: Spark broadcasts what its size
 statistics allow and sorts the rest.
@@ -94,9 +95,28 @@ def campaign_facts(star: Star, p: P.RunParams) -> DataFrame:
                     "tac_local", "revenue_euro", "tac_euro", "campaign_id", "affiliate_currency_id"))
 
 
+def without_repeats(rows: DataFrame, limit: int) -> DataFrame:
+    """The distinct rows, without shuffling all of them.
+
+    A first pass shuffles a hash per row and finds those that occur twice; only rows with such a hash go through the exact
+    ``distinct``, all others stay where they are. With more than ``limit`` repeated hashes, which would have to be sent to all
+    tasks, all rows go through it.
+    """
+    marked = rows.withColumn("__hash", row_id(*rows.columns))
+    twice = stage(marked.groupBy("__hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__hash"), "repeated")
+    n = twice.count()
+    if n > limit:
+        return rows.distinct()
+    if n == 0:
+        return rows
+    sent = F.broadcast(twice)
+    return marked.join(sent, "__hash", "left_anti").drop("__hash").unionByName(
+        marked.join(sent, "__hash", "left_semi").drop("__hash").distinct())
+
+
 def deduplicated_facts(star: Star, p: P.RunParams) -> DataFrame:
     """Fact rows of the window; rows equal in all columns used count once."""
-    return campaign_facts(star, p).distinct()
+    return without_repeats(campaign_facts(star, p), p.broadcast_keys)
 
 
 def campaign_dims(star: Star, p: P.RunParams) -> DataFrame:
@@ -118,7 +138,7 @@ def campaign_dims(star: Star, p: P.RunParams) -> DataFrame:
 def campaign_sums(star: Star, p: P.RunParams, dims: DataFrame) -> DataFrame:
     """Measures per (campaign_id, client_currency_id, day); no text columns."""
     both = F.col("revenue_local").isNotNull() & F.col("tac_local").isNotNull()
-    facts = in_scope(campaign_facts(star, p), dims, "campaign_id", p.broadcast_keys).distinct()
+    facts = without_repeats(in_scope(campaign_facts(star, p), dims, "campaign_id", p.broadcast_keys), p.broadcast_keys)
     facts = facts.groupBy("campaign_id", "affiliate_currency_id", "day").agg(
         F.sum("clicks").alias("clicks"), F.sum("displays").alias("displays"),
         F.sum("conversions").alias("conversions"), F.sum("order_value").alias("order_value"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from string import Formatter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,32 +125,49 @@ def executive_notice(text: DataFrame, d: P.DeliveryParams, p: P.RunParams) -> Da
         _subject(d, F.lit(f"{d.geo} {d.product_label} Alert")), F.col("alerts"), p.today))
 
 
-def trouble_notice(spark: SparkSession, product: str, kind: str, d: P.DeliveryParams, p: P.RunParams) -> DataFrame:
-    """Notice that a run has no alerts, cannot run for late data, or failed.
+def trouble_notices(jobs: DataFrame, d: P.DeliveryParams, p: P.RunParams) -> DataFrame:
+    """Notices that runs have no alerts, cannot run for late data, or failed: one for each row (product, kind, geo) of ``jobs``.
 
-    To the beta testers if the beta is on, else the alias, else the recipients;
-    "no alerts" goes to the maintainers.
+    To the beta testers if the beta is on, else the alias, else the recipients; "no alerts" goes to the maintainers. The outbox
+    columns, and geo and the chat text beside them.
     """
-    product = _known(product)
+    product, calm = F.col("product"), F.col("kind") == "no_alerts"
+    scope = F.concat_ws(" ", F.lit(d.product_label), product, "geo")
+
+    def filled(template: str, **parts: Column) -> Column:
+        """A text with columns in the place of its named fields."""
+        pieces = [(F.lit(text), parts.get(name)) for text, name, *_ in Formatter().parse(template)]
+        return F.concat(*[x for pair in pieces for x in pair if x is not None])
+
+    def by_kind(texts: dict[str, Column]) -> Column:
+        out = F.lit(None).cast("string")
+        for kind, text in texts.items():
+            out = F.when(F.col("kind") == kind, text).otherwise(out)
+        return out
+
+    readers = d.beta_testers if d.beta_active else d.alias if d.alias is not None else d.recipients
+
+    def usually(value: str | None, calm_value: str | None, in_test: str | None) -> Column:
+        return _test(d, F.when(calm, _text(calm_value)).otherwise(_text(value)), _text(in_test))
+
+    tone = F.element_at(F.create_map(*[F.lit(x) for pair in CHAT_KINDS.items() for x in pair]), product)
+    chat = by_kind({k: filled(t, kind=tone, product=product) for k, t in (("late", CHAT_LATE), ("no_alerts", CHAT_NO_ALERTS), ("error", CHAT_ERROR))})
+    subject = by_kind({k: filled(t, scope=scope) for k, t in SUBJECTS.items()})
+    return jobs.select(
+        product, F.col("kind"), usually(readers, d.maintainers, d.test_email).alias("to"), usually(d.cc, None, None).alias("cc"),
+        usually(d.maintainers, None, None).alias("bcc"), _subject(d, subject).alias("subject"), F.when(calm, NO_ALERTS_BODY).alias("body"),
+        F.lit(p.today).alias("run_date"), "geo", chat.alias("chat"))
+
+
+def _job(spark: SparkSession, product: str, kind: str, d: P.DeliveryParams) -> DataFrame:
     if kind not in SUBJECTS:
         raise ValueError(f"unknown notice {kind!r}")
-    scope = f"{d.product_label} {product} {d.geo}"
-    subject = SUBJECTS[kind].format(scope=scope)
-    body = NO_ALERTS_BODY if kind == "no_alerts" else None
-    readers = d.beta_testers if d.beta_active else d.alias if d.alias is not None else d.recipients
-    cc, bcc = d.cc, d.maintainers
-    if kind == "no_alerts":
-        readers, cc, bcc = d.maintainers, None, None
-    if d.test_mode:
-        readers, cc, bcc = d.test_email, None, None
-    return spark.range(1).select(*_row(
-        product, kind, _text(readers), _text(cc), _text(bcc), _subject(d, F.lit(subject)), _text(body), p.today))
+    return spark.range(1).select(F.lit(_known(product)).alias("product"), F.lit(kind).alias("kind"), F.lit(d.geo).alias("geo"))
 
 
-def chat_notice(product: str, kind: str) -> str:
-    """Chat text of a late, empty or failed run."""
-    template = {"late": CHAT_LATE, "no_alerts": CHAT_NO_ALERTS, "error": CHAT_ERROR}[kind]
-    return template.format(kind=CHAT_KINDS[_known(product)], product=_known(product))
+def trouble_notice(spark: SparkSession, product: str, kind: str, d: P.DeliveryParams, p: P.RunParams) -> DataFrame:
+    """The notice of one job, as outbox row."""
+    return trouble_notices(_job(spark, product, kind, d), d, p).select(*OUTBOX_COLUMNS)
 
 
 def chat_channels(d: P.DeliveryParams) -> list[str]:
@@ -157,9 +175,10 @@ def chat_channels(d: P.DeliveryParams) -> list[str]:
 
 
 def chat_notices(spark: SparkSession, product: str, kind: str, d: P.DeliveryParams) -> DataFrame:
-    """(channel, text): the chat text once for every channel."""
-    rows = [(channel, chat_notice(product, kind)) for channel in chat_channels(d)]
-    return spark.createDataFrame(rows, "channel string, text string")
+    """(channel, text): the chat text of a late, empty or failed run once for every channel."""
+    channels = F.array(*map(F.lit, chat_channels(d))).cast("array<string>")
+    told = trouble_notices(_job(spark, product, kind, d), d, P.RunParams(today=d.sent_at.date()))
+    return told.select(F.explode(channels).alias("channel"), F.col("chat").alias("text"))
 
 
 def unsent(outbox: DataFrame, sent: DataFrame) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsewatch.sources.stage import stage
 
 # quotes are doubled, blanks kept; an empty text and a null both read back as null
 _CSV = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
@@ -34,3 +36,25 @@ def write_documents(df: DataFrame, path: str) -> str:
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
+
+
+class BadRecordsError(RuntimeError):
+    """A file holds more records that cannot be read than is allowed."""
+
+
+def read_checked(spark: SparkSession, path: str, fmt: str, schema: T.StructType, most_bad: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a CSV or JSON file: rejects has a column ``record`` with every line that does not fit the schema.
+
+    Such a line would read as nulls and pass unnoticed. The file is read once, into a staged table. More rejects than the share
+    ``most_bad`` of all records raise an error that shows a few.
+    """
+    options = {"csv": {**{k: v for k, v in _CSV.items() if k != "lineSep"}, "multiLine": True}, "json": {}}[fmt]
+    named = T.StructType([*schema.fields, T.StructField("_record", T.StringType())])
+    reader = spark.read.schema(named).options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord="_record")
+    read = stage(reader.format(fmt).load(path), "checked")
+    bad = read.where("_record IS NOT NULL").select(F.col("_record").alias("record"))
+    n, total = bad.count(), read.count()
+    if n > most_bad * total:
+        shown = "; ".join(r["record"][:80] for r in bad.limit(3).collect())
+        raise BadRecordsError(f"{n} of {total} records of {path} cannot be read, such as: {shown}")
+    return read.where("_record IS NULL").drop("_record"), bad

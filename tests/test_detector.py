@@ -80,8 +80,6 @@ def test_unknown_settings_are_refused():
         P.KpiRule(0.975, "sideways")
     with pytest.raises(ValueError):
         P.rule_for("visits")
-    with pytest.raises(ValueError):
-        P.KpiRule(0.5)
     assert P.rule_for("COS") == P.rule_for("cos")
 
 
@@ -173,3 +171,18 @@ def test_row_order_and_partitions_do_not_matter(spark):
         assert seen is None or got == seen
         seen = got
     assert any(r[-1] for r in seen.values())
+
+
+@pytest.mark.parametrize("confidence, quantile", [(0.5, 0.454936423119572), (0.9, 2.705543454095404), (0.95, 3.841458820694124), (0.99, 6.634896601021213), (1e-6, 1.5707963267955e-12)])
+def test_any_confidence_has_its_quantile(confidence, quantile):
+    assert P.KpiRule(confidence).critical == pytest.approx(quantile, rel=1e-9)
+
+
+def test_listed_quantiles_stay_as_they_are():
+    from statistics import NormalDist
+
+    for confidence, value in P.CHI_SQUARE_CRITICAL.items():
+        assert P.KpiRule(confidence).critical == value == pytest.approx(NormalDist().inv_cdf((1 + confidence) / 2) ** 2, rel=1e-9)
+    for wrong in (0, 1, -0.5, 1.5):
+        with pytest.raises(ValueError, match="between 0 and 1"):
+            P.KpiRule(wrong)

@@ -191,3 +191,22 @@ def test_a_key_stands_once_among_the_attributes(spark, sf_dir):
     from pulsewatch.sources.sample import sample_star
     attributes = X.account_series(sample_star(spark, sf_dir), RUN).attributes
     assert attributes.groupBy("combo", "attributes_id").count().where("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("limit", [1000, 1, 0])
+def test_rows_without_repeats_equal_distinct(spark, limit):
+    """Also with nulls, zeros of both signs and NaN; more repeated hashes than may be sent fall back on all rows."""
+    rows = [(k % 50, None if k % 7 == 0 else float(k % 3), "x") for k in range(200)] + [(1000 + k, float(k), None) for k in range(30)]
+    rows += [(2000, 0.0, "z"), (2000, -0.0, "z"), (2001, float("nan"), None), (2001, float("nan"), None), (None, 1.0, "y"), (None, 1.0, "y")]
+    df = spark.createDataFrame(rows, "a long, b double, c string")
+    assert sorted(map(str, X.without_repeats(df, limit).collect())) == sorted(map(str, df.distinct().collect()))
+    once = df.where("a >= 1000 AND a < 2000")
+    assert X.without_repeats(once, limit).count() == 30 and X.without_repeats(df.limit(0), limit).isEmpty()
+
+
+def test_facts_once_in_the_table_are_not_shuffled(spark):
+    """Rows without a twin reach the sums without an exchange of their own."""
+    facts = spark.range(1000).selectExpr("id AS campaign_id", "id * 1.0D AS clicks")
+    twice = facts.unionByName(facts.where("campaign_id < 5"))
+    plan = X.without_repeats(twice, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__hash" not in plan and plan.count("hashpartitioning(campaign_id") == 1 and "BroadcastHashJoin" in plan

@@ -1,12 +1,18 @@
 """Cleaning, screening and calendar fill on hand-made frames."""
 
+import random
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
 
+from pulsewatch import params as P
 from pulsewatch.functions.cleaning import clean_data, with_kpi_ratios
 from pulsewatch.operators.calendar import calendar_fill, last_entries, pad_days
+from pulsewatch.operators.detector import detector_stats
 from pulsewatch.operators.screening import disqualify, drop_series, eligibility, live_keys
+from pulsewatch.plans import account_alerts as AS
+from pulsewatch.plans.features import CAMPAIGN_ATTRIBUTES, MEASURES, SeriesFrame
 
 D0 = date(2024, 2, 1)
 Y = date(2024, 2, 29)
@@ -114,3 +120,34 @@ def test_last_entries(spark, n, expected):
     df = spark.createDataFrame([("a", day(i), i + 0.125) for i in range(4)], "k string, day date, v double")
     out = sorted((r.day, r.v) for r in last_entries(df, "k", "v", n).collect())
     assert [d for d, _ in out] == expected and out[-1][1] == 3.12
+
+
+def test_series_as_one_row_equal_daily_rows(spark):
+    """Screening, fill and statistics on arrays give what they give on daily rows, for all, some and no oversized series."""
+    r, p = random.Random(2), P.RunParams(today=date(2024, 3, 1), required_days=6)
+    rows = []
+    for name in [*(f"s{k}" for k in range(14)), None, "0"]:
+        first = r.randrange(0, 12)
+        for back in range(1, 20):
+            if back == 9 or (back == 4 and name == "s1") or r.random() < 0.15 or back > 19 - first or (back == 1 and name in ("s2", "s3")):
+                continue
+            for owner in range(3 if name in (None, "s4") else 1):
+                measures = [None if r.random() < 0.05 else float(r.randrange(-20 if m == "rext" else 0, 200)) for m in MEASURES]
+                rows.append((name, owner, True, p.days_ago(back), *measures, 0.1 * r.random()))
+    columns = ["combo", "attributes_id", "is_client", "day", *MEASURES, "margin"]
+    kinds = ["string", "long", "boolean", "date", *["double"] * (len(MEASURES) + 1)]
+    daily = spark.createDataFrame(rows, ", ".join(f"{c} {k}" for c, k in zip(columns, kinds)))
+    names = spark.createDataFrame([(c, o, *["x"] * len(CAMPAIGN_ATTRIBUTES)) for c, o in {(x[0], x[1]) for x in rows}],
+                                  ", ".join(["combo string", "attributes_id long", *(f"{c} string" for c in CAMPAIGN_ATTRIBUTES)]))
+    old = AS.eligible_rows(daily, p).cache()
+    fill = calendar_fill(old, "combo", list(P.ACCOUNT_FILL_METRICS))
+    stats = detector_stats(fill, "combo", list(P.ALERT_KPIS), p.yesterday)
+    plain = lambda df, cols: sorted(str([round(v, 9) if isinstance(v, float) else v for v in x]) for x in df.select(*cols).collect())
+    numbers = ["combo", "kpi", "n_rows", "last_day", "n_yesterday", "mean", "variance", "q1", "median", "q3", "value", "value_before"]
+    assert 0 < old.select("combo").distinct().count() < 16
+    for limit in (100_000, 30, 18, 0):
+        found = AS.detect_accounts(SeriesFrame(daily, names), replace(p, oversized_rows=limit), keep_history=limit != 30)
+        assert plain(found.cleaned, fill.columns) == plain(fill, fill.columns), limit
+        assert plain(found.flags, numbers) == plain(stats, numbers), limit
+        assert found.results.select("combo").distinct().count() == old.select("combo").distinct().count()
+    old.unpersist()

@@ -296,7 +296,16 @@ def test_trouble_notices(spark, kind, changes, to, subject):
 def test_unknown_product_is_refused(spark):
     with pytest.raises(ValueError):
         G.trouble_notice(spark, "web", "late", D, RUN)
-    assert G.chat_notice("AS", "late").startswith("_business_ alerts can't be sent")
+    told = G.chat_notices(spark, "AS", "late", replace(D, test_mode=False, channels={"a": "#x", "b": "#y", "c": "#x"})).collect()
+    assert [r.channel for r in told] == ["#x", "#y"] and all(r.text.startswith("_business_ alerts can't be sent") for r in told)
+
+
+def test_notices_of_many_jobs_at_a_time(spark):
+    jobs = spark.createDataFrame([("AS", "late", "north"), ("TS", "error", "south"), ("EXEC", "no_alerts", "west")], "product string, kind string, geo string")
+    rows = {r.geo: r for r in G.trouble_notices(jobs, replace(D, test_mode=False, alias="r@e"), RUN).collect()}
+    assert rows["north"].subject == f"Data Delayed -- No {D.product_label} AS north Alerts" and rows["north"].to == "r@e"
+    assert rows["south"].chat == "TS can't run today due to issues querying the warehouse :disappointed:"
+    assert rows["west"].body == "There are no alerts for today." and rows["west"].to == D.maintainers and rows["west"].bcc is None
 
 
 def test_freshness(spark):
