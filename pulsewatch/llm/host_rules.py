@@ -2,8 +2,10 @@
 
 Every text is measured and held against fixed rules. The failures are summed up by host; the failure rate of a host is shrunk
 towards the others' by a beta prior that is fitted to all hosts by the method of moments, so that hosts of a few documents
-are not judged by chance. A host above the limit is a bad host. On a bad host a document only stays if it passes the strict
-form of the rules; elsewhere the plain rules decide.
+are not judged by chance. A host is bad if its rate is clearly above the others': if the lower end of what its posterior allows
+(95 %, one-sided, normal approximation) is above the mean of all hosts. A document stays if it passes the plain rules; on a bad
+host it must also pass the strict form of those on repeated words, symbols and repeated lines. Texts are not judged more strictly
+for being short, since that says nothing about a host.
 """
 
 from __future__ import annotations
@@ -15,8 +17,8 @@ from pulsewatch.llm.common import pick, staged
 
 BLANKS, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 WINDOW = 3
-#: A host whose shrunk failure rate is above this is bad.
-HOST_LIMIT = 0.5
+#: Standard deviations of the posterior by which a bad host's rate is above the mean: the 95 % quantile of the normal distribution.
+CLEARLY = 1.6448536269514722
 
 
 def _repeat_words(words: Column) -> Column:
@@ -63,8 +65,10 @@ def host_verdicts(measured: DataFrame) -> DataFrame:
     mean, spread = about[0] or 0.0, (about[1] or 0.0) - (about[0] or 0.0) * (1 - (about[0] or 0.0)) * (about[2] or 0.0)
     # with no more spread than chance gives, hosts do not differ: the prior weighs as much as a thousand documents
     weight = min(max(mean * (1 - mean) / spread - 1, 1.0), 1000.0) if spread > 0 else 1000.0
-    shrunk = (F.col("n_failed") + F.lit(mean * weight)) / (F.col("n_docs") + F.lit(weight))
-    return hosts.withColumn("host_rate", shrunk).withColumn("bad_host", F.col("host_rate") > HOST_LIMIT)
+    size = F.col("n_docs") + F.lit(weight)
+    shrunk = hosts.withColumn("host_rate", (F.col("n_failed") + F.lit(mean * weight)) / size)
+    spread = F.sqrt(F.col("host_rate") * (1 - F.col("host_rate")) / (size + 1))
+    return shrunk.withColumn("bad_host", F.col("host_rate") - F.lit(CLEARLY) * spread > F.lit(mean))
 
 
 def host_rules(docs: DataFrame, id_column: str = "doc_id", host_column: str = "source", text_column: str = "text") -> DataFrame:
@@ -76,10 +80,10 @@ def host_rules(docs: DataFrame, id_column: str = "doc_id", host_column: str = "s
     docs = pick(docs, id_column, host_column, text_column).toDF("doc_id", "host", "text")
     measured = staged(measures(docs).withColumns({
         "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
-        "failed": _failures(50, 50, 10, 30), "strictly_failed": _failures(100, 20, 5, 10)}))
+        "failed": _failures(50, 50, 10, 30), "strictly_failed": _failures(50, 20, 5, 10)}))
     hosts = host_verdicts(measured).select(F.col("host").alias("of_host"), "host_rate", "bad_host")
     return (measured.join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
-            .withColumn("kept", ~F.col("base_failed") & (~F.col("bad_host") | ~F.col("strictly_failed")))
+            .withColumn("kept", ~F.col("base_failed") & ~F.col("failed") & (~F.col("bad_host") | ~F.col("strictly_failed")))
             .select(F.col("doc_id").alias(id_column), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                     F.round("host_rate", 9).alias("host_rate")))
 
@@ -102,13 +106,14 @@ m AS (
 f AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
          n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 10 * word_chars OR 100 * n_dup_lines > 30 * n_lines AS failed,
-         n_words < 100 OR 100 * n_repeat_words > 20 * n_words OR 100 * n_symbols > 5 * word_chars OR 100 * n_dup_lines > 10 * n_lines AS strict
+         n_words < 50 OR 100 * n_repeat_words > 20 * n_words OR 100 * n_symbols > 5 * word_chars OR 100 * n_dup_lines > 10 * n_lines AS strict
   FROM m),
 h AS (SELECT source, count(*) AS n, count(*) FILTER (failed) AS k FROM f GROUP BY source),
 s AS (SELECT avg(k / n) AS mean, coalesce(var_samp(k / n), 0) - avg(k / n) * (1 - avg(k / n)) * avg(1 / n) AS spread FROM h),
 p AS (SELECT mean, CASE WHEN spread > 0 THEN least(greatest(mean * (1 - mean) / spread - 1, 1), 1000) ELSE 1000 END AS weight FROM s),
-v AS (SELECT source, (k + mean * weight) / (n + weight) AS rate FROM h, p)
+v AS (SELECT source, (k + mean * weight) / (n + weight) AS rate, n + weight AS size, mean FROM h, p),
+w AS (SELECT source, rate, rate - 1.6448536269514722e0 * sqrt(rate * (1 - rate) / (size + 1)) > mean AS bad FROM v)
 SELECT f.doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-       NOT base_failed AND (rate <= 0.5 OR NOT strict) AS kept, round(rate, 9) AS host_rate
-FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source"""
+       NOT base_failed AND NOT failed AND NOT (bad AND strict) AS kept, round(rate, 9) AS host_rate
+FROM f JOIN w ON f.source IS NOT DISTINCT FROM w.source"""

@@ -1,10 +1,13 @@
 """Main text of web pages by a tree-structured graphical model.
 
 A page becomes the tree of its block elements, with the runs of text between them as leaves. Every node is content or not.
-The model multiplies one potential for every parent and child (by the child's kind) and one for every feature of a node: its
-kind, what its class and id say, how much of its text is in links, how long the text is. All are estimated by counting on
-labelled pages. Messages pass once from the leaves to the root and once back, which gives the exact marginal of every node;
-the text runs above one half are the main text.
+The model multiplies one potential for every parent and child, by the kinds of both and what the child's class and id say, and two
+for every run of text: how much of it is in links, and how long it is. All are estimated by counting on labelled pages. A pair of
+kinds that was never or seldom counted weighs as a general rule says: what stands below a node has its label; only an article, or
+what calls itself one, begins content below a node that is not; furniture ends it, and below furniture nothing begins. So a paragraph is content because of where it
+stands, not because paragraphs usually are; where no element marks the article, several long texts side by side can outweigh the
+rule. Messages pass once from the leaves to the root and once back, which gives the exact marginal of every node; the text runs
+above one half are the main text.
 
 Labelled pages are those that mark their article with an ``article`` or ``main`` element: nodes inside it are content, but
 for what stands in an element or class of a fixed list of page furniture; all else is not.
@@ -24,8 +27,14 @@ from pulsewatch.llm.common import pick, pieces
 
 #: Labelled pages that the potentials are counted on, chosen by hash of their id.
 SAMPLE = 3000
-#: Pseudo-count of every potential, and of what the lists below say.
-PRIOR, BELIEF = 0.5, 20.0
+#: Pseudo-count of the general rules, and of each value of a text's features.
+BELIEF, PRIOR = 20.0, 0.5
+#: The rules: how likely content begins below a node that is not content: at an article, at what calls itself one, at anything else, and
+#: at furniture; and how likely it goes on below content, at anything but furniture. Below furniture, it begins at an article as elsewhere at anything else.
+MAIN_BEGINS, BEGINS, STARTS, NEVER, GOES_ON = 1 - 1e-15, 0.5, 0.002, 1e-250, 1 - 1e-6
+#: Share of a text's features that is chance, and as how many texts those side by side in one element weigh at most: they are much
+#: alike, and together they must not overrule an article or furniture.
+CHANCE, TOGETHER = 0.3, 4
 
 # Elements of HTML and words that sites use in class and id attributes.
 RAW = {"script", "style", "textarea", "title", "template", "iframe", "svg", "select"}
@@ -155,6 +164,11 @@ class Forest:
                 d[k] = d[p.parent[k]] + 1
             depth[s:s + len(d)] = d
         self.levels = [np.nonzero(depth == k)[0] for k in range(depth.max() + 1)] if len(depth) else []
+        #: Nodes below a piece of furniture, whatever they are themselves. What a whole page calls itself does not count.
+        out = (np.isin(self.kind, [KIND_AT[k] for k in FURNITURE]) | (self.says == 1)) & ~np.isin(self.kind, [KIND_AT["html"], KIND_AT["body"]])
+        self.under = np.zeros(len(out), bool)
+        for level in self.levels[1:]:
+            self.under[level] = (self.under | out)[self.parent[level]]
         linked = join("linked") * own
         for level in self.levels[:0:-1]:
             np.add.at(own, self.parent[level], own[level])
@@ -176,57 +190,76 @@ class Forest:
         return np.where(marked[self.page], inside & ~furniture, -1).astype(int)
 
 
+def _rules() -> np.ndarray:
+    """What is known of the child's label by the parent's label, the child's kind and what its class and id say."""
+    furniture, main = (np.isin(np.arange(len(KINDS)), [KIND_AT[k] for k in kinds]) for kinds in (FURNITURE, MAIN))
+    content = np.empty((2, len(KINDS), len(SAYS)))
+    for says in range(len(SAYS)):
+        out = furniture | (says == 1)
+        content[0, :, says] = np.where(out, NEVER, np.where(main, MAIN_BEGINS, BEGINS if says == 2 else STARTS))
+        content[1, :, says] = np.where(out, NEVER, GOES_ON)
+    return np.stack([1 - content, content], axis=3)
+
+
 class Potentials:
-    """Log potentials from counts."""
+    """Potentials from counts: ``edge`` by parent's label and kind, child's kind, what it says, and label; ``link`` and ``size`` by label."""
 
     def __init__(self):
-        self.edge = np.full((2, len(KINDS), 2), PRIOR)
-        self.edge[0, :, 0] += BELIEF / 4
-        self.edge[1, :, 1] += BELIEF / 4
-        self.kind = np.full((2, len(KINDS)), PRIOR)
-        self.says = np.full((2, len(SAYS)), PRIOR)
+        self.edge = np.zeros((2, len(KINDS), len(KINDS), len(SAYS), 2))
         self.link = np.full((2, LINKED), PRIOR)
         self.size = np.full((2, LENGTHS), PRIOR)
-        for name in FURNITURE:
-            self.edge[1, KIND_AT[name], 0] += BELIEF
-            self.kind[0, KIND_AT[name]] += BELIEF
-        for name in MAIN:
-            self.edge[0, KIND_AT[name], 1] += BELIEF
-            self.kind[1, KIND_AT[name]] += BELIEF
-        self.says[0, 1] += BELIEF
-        self.says[1, 2] += BELIEF / 4
-        self.root = np.array([BELIEF, PRIOR])
+        self.root = np.array([1 - STARTS, STARTS])
 
     def count(self, forest: Forest, label: np.ndarray) -> None:
         known = np.nonzero((label >= 0) & (forest.parent >= 0))[0]
-        np.add.at(self.edge, (label[forest.parent[known]], forest.kind[known], label[known]), 1)
-        for table, value in ((self.kind, forest.kind), (self.says, forest.says), (self.link, forest.link), (self.size, forest.size)):
-            np.add.at(table, (label[known], value[known]), 1)
+        above = forest.parent[known]
+        np.add.at(self.edge, (label[above], forest.kind[above], forest.kind[known], forest.says[known], label[known]), 1)
+        texts = known[forest.kind[known] == KIND_AT[TEXT]]
+        for table, value in ((self.link, forest.link), (self.size, forest.size)):
+            np.add.at(table, (label[texts], value[texts]), 1)
+
+    def steps(self, forest: Forest) -> np.ndarray:
+        """For every node but the roots the potential of (parent's label, own label)."""
+        above = forest.parent
+        counted = self.edge[:, forest.kind[above], forest.kind, forest.says].transpose(1, 0, 2)
+        rule = _rules()[:, forest.kind, forest.says].transpose(1, 0, 2)
+        begins = np.where(np.isin(forest.kind, [KIND_AT[k] for k in MAIN]), STARTS, NEVER)[forest.under]
+        rule[forest.under, 0] = np.stack([1 - begins, begins], axis=1)
+        return (counted + BELIEF * rule) / (counted.sum(2, keepdims=True) + BELIEF)
+
+    def alone(self, forest: Forest) -> np.ndarray:
+        """For every node the potential of its own label: of texts by their features, of elements none."""
+        out = np.ones((len(forest.kind), 2))
+        texts = np.nonzero(forest.kind == KIND_AT[TEXT])[0]
+        around = forest.parent[np.maximum(forest.parent[texts], 0)]
+        weight = np.minimum(1, TOGETHER / np.bincount(np.where(around < 0, len(out), around), minlength=len(out) + 1)[np.where(around < 0, len(out), around)])
+        for table, value in ((self.link, forest.link), (self.size, forest.size)):
+            share = (1 - CHANCE) * table / table.sum(1, keepdims=True) + CHANCE / table.shape[1]
+            out[texts] *= share[:, value[texts]].T ** weight[:, None]
+        return out
 
     def marginals(self, forest: Forest) -> np.ndarray:
         """Probability that each node is content, by messages up and down the trees."""
-        step = np.log(self.edge / self.edge.sum(2, keepdims=True))
-        alone = sum(np.log(t / t.sum(1, keepdims=True))[:, v].T for t, v in
-                    ((self.kind, forest.kind), (self.says, forest.says), (self.link, forest.link), (self.size, forest.size)))
+        step, alone = np.log(self.steps(forest)), np.log(self.alone(forest))
         below, up = alone.copy(), np.zeros_like(alone)
         for level in forest.levels[:0:-1]:
             for above in (0, 1):
-                both = step[above, forest.kind[level]] + below[level]
+                both = step[level, above] + below[level]
                 up[level, above] = np.logaddexp(both[:, 0], both[:, 1])
             np.add.at(below, forest.parent[level], up[level])
         whole = np.zeros_like(alone)
         if forest.levels:
             roots = forest.levels[0]
-            whole[roots] = below[roots] + np.log(self.root / self.root.sum())
+            whole[roots] = below[roots] + np.log(self.root)
         for level in forest.levels[1:]:
             rest = whole[forest.parent[level]] - up[level]
             for own in (0, 1):
-                from_above = rest + step[:, forest.kind[level], own].T
+                from_above = rest + step[level, :, own]
                 whole[level, own] = np.logaddexp(from_above[:, 0], from_above[:, 1]) + below[level, own]
         return 1 / (1 + np.exp(np.clip(whole[:, 0] - whole[:, 1], -700, 700)))
 
 
-TABLES = ("edge", "kind", "says", "link", "size")
+TABLES = ("edge", "link", "size")
 
 
 def _count(batches):

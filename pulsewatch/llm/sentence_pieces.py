@@ -3,8 +3,8 @@
 The lattice has a node for every boundary between characters and an edge for every piece. Each node keeps one backpointer, a piece.
 A future piece can only start at the last ``longest`` nodes, so only these can be the end of a surviving path; as soon as all
 their paths run through one boundary, the ids before it are committed and forgotten. Memory is bounded by the longest piece, not
-by the text. Between two characters that stand together in no piece all paths meet at once; what lies between two such places
-is looked up if it was met before.
+by the text. Between two characters that stand together in no piece all paths meet at once. Every stretch between two such places is
+searched this way; its committed ids are remembered for when it comes again, and so are the backpointers of its beginnings.
 
 For a unigram model the backpointer maximises the sum of the piece scores. For a BPE model the sum of scores is not what the model
 means: a path is worth nothing if merging would join two of its neighbours otherwise, so edges are only followed from a piece that
@@ -27,8 +27,8 @@ from pulsewatch.llm.common import pick, pieces, public_file
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, BPE = 1, 2, 3, 4, 6, 2
-#: Parts of texts are kept up to this length, twice this number of the latest ones; and this number of beginnings of them.
-KNOWN_LENGTH, KNOWN_PARTS, KNOWN_ENDS = 64, 200_000, 300_000
+#: What is remembered: ids of stretches and backpointers of beginnings up to this length, twice these numbers of the latest ones.
+REMEMBERED, KNOWN_PARTS, KNOWN_ENDS = 64, 300_000, 300_000
 #: What an unknown character costs below the worst piece of a unigram model.
 PENALTY = 10.0
 
@@ -66,6 +66,8 @@ class Encoder:
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.ends: dict[str, str] = {}
+        #: How often converged paths were committed, and the most boundaries held at a time.
+        self.commits = self.window = 0
         self.fits = lru_cache(1 << 17)(self._fits)
         self.raw = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(SPACE, " ").encode()
                     for p, _, kind in model["pieces"]]
@@ -80,9 +82,10 @@ class Encoder:
         for part in parts:
             found = known.get(part)
             if found is None:
-                short = len(part) <= KNOWN_LENGTH
-                found = older.get(part) or array("i", self.short(part) if short and self.bpe else self.stream(part)).tobytes()
-                if short:
+                found = older.get(part)
+                if found is None:
+                    found = array("i", self.stream(part)).tobytes()
+                if len(part) <= REMEMBERED:
                     known[part] = found
             out.append(found)
         return np.frombuffer(b"".join(out), np.int32)
@@ -93,22 +96,48 @@ class Encoder:
 
     def stream(self, text: str):
         """Ids of the best path, each given out as soon as no other path can survive."""
-        size, committed, last, score = len(text), 0, {0: ""}, {0: 0.0}
-        for end in range(1, size + 1):
-            piece = self._fitting(text, end, last.get) if self.bpe else self._best(text, end, last, score)
+        size, committed, last, score, begin = len(text), 0, {0: ""}, {0: 0.0}, 1
+        known = self.ends
+        if self.bpe:
+            if len(known) > KNOWN_ENDS:
+                known.clear()
+            # the search goes on behind the longest beginning that was met before; its backpointers are remembered
+            begin = min(size, REMEMBERED) + 1
+            while begin > 1 and text[:begin - 1] not in known:
+                begin -= 1
+            if begin > size:
+                self.commits += 1
+                path, k = [], size
+                while k:
+                    path.append(known[text[:k]])
+                    k -= len(path[-1])
+                for piece in reversed(path):
+                    yield from self._ids(piece)
+                return
+            for k in range(max(1, begin - self.longest), begin):
+                last[k] = known[text[:k]]
+        for end in range(begin, size + 1):
+            if self.bpe:
+                piece = self._fitting(text, end, last.get)
+                if end <= REMEMBERED:
+                    known[text[:end]] = piece
+            else:
+                piece = self._best(text, end, last, score)
             last[end] = piece
             if end == size or end - committed >= 2 * self.longest:
+                self.window = max(self.window, len(last))
                 # a path to the end can still run through the last boundaries only
                 alive = {size} if end == size else set(range(end - self.longest + 1, end + 1))
                 while len(alive) > 1:
                     k = max(alive)
                     alive.discard(k)
-                    alive.add(k - len(last[k]))
+                    alive.add(k - len(last[k] if k in last else known[text[:k]]))
                 meet, path = alive.pop(), []
                 k = meet
                 while k > committed:
-                    path.append(last[k])
-                    k -= len(last[k])
+                    path.append(last[k] if k in last else known[text[:k]])
+                    k -= len(path[-1])
+                self.commits += meet > committed
                 for piece in reversed(path):
                     yield from self._ids(piece)
                 for k in range(committed, meet):
@@ -137,28 +166,6 @@ class Encoder:
                 return piece
         raise AssertionError("every text has a path")
 
-    def _end(self, text: str) -> str:
-        """The backpointer at the end of a short text for a BPE model. It only depends on the text, so it is kept, and those
-        before it are found when a piece asks for them."""
-        if not text:
-            return ""
-        piece = self.ends.get(text)
-        if piece is None:
-            piece = self._fitting(text, len(text), lambda k: self._end(text[:k]))
-            self.ends[text] = piece
-        return piece
-
-    def short(self, text: str):
-        """Ids of a short text for a BPE model, by the kept backpointers."""
-        if len(self.ends) > KNOWN_ENDS:
-            self.ends.clear()
-        path = []
-        while text:
-            path.append(self._end(text))
-            text = text[:-len(path[-1])]
-        for piece in reversed(path):
-            yield from self._ids(piece)
-
     def _best(self, text: str, end: int, last: dict[int, str], score: dict[int, float]) -> str:
         best = None
         for piece in self._ending(text, end):

@@ -22,17 +22,13 @@ def test_blocks_of_broken_pages():
 def exact(model, forest):
     """Marginals by summing over all labellings."""
     n = len(forest.kind)
-    step = model.edge / model.edge.sum(2, keepdims=True)
-    alone = np.ones((n, 2))
-    for t, v in ((model.kind, forest.kind), (model.says, forest.says), (model.link, forest.link), (model.size, forest.size)):
-        alone *= (t / t.sum(1, keepdims=True))[:, v].T
-    root = model.root / model.root.sum()
+    step, alone, root = model.steps(forest), model.alone(forest), model.root
     weight = np.zeros((n, 2))
     for case in range(1 << n):
         x = [(case >> k) & 1 for k in range(n)]
         w = 1.0
         for k in range(n):
-            w *= alone[k, x[k]] * (root[x[k]] if forest.parent[k] < 0 else step[x[forest.parent[k]], forest.kind[k], x[k]])
+            w *= alone[k, x[k]] * (root[x[k]] if forest.parent[k] < 0 else step[k, x[forest.parent[k]], x[k]])
         for k in range(n):
             weight[k, x[k]] += w
     return weight[:, 1] / weight.sum(1)
@@ -83,3 +79,42 @@ def test_text_after_and_in_inner_elements_stays():
     page = H.Page("<article><p>a</p><noscript>b</noscript></article>")
     forest = H.Forest([page])
     assert [k for k, t in zip(forest.labels([page]), page.text) if t] == [1, 1]
+
+
+LONG = "This paragraph has a fair number of words, commas and full stops, as the text of an article has. "
+WRAPS = ["<footer>{}</footer>", "<nav>{}</nav>", "<aside>{}</aside>", "<form>{}</form>", "<header>{}</header>", '<section class="comments">{}</section>',
+         '<div class="cookie-notice">{}</div>', '<div class="ad">{}</div>', '<div id="sidebar"><div class="x1">{}</div></div>', '<ul class="menu"><li>{}</li></ul>']
+
+
+@pytest.fixture(scope="module")
+def trained(spark, sf_dir):
+    return H.train(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html"))
+
+
+def extracted(model, source):
+    page = H.Page(source)
+    forest = H.Forest([page])
+    return [t for t, m in zip(page.text, model.marginals(forest)) if t and m > 0.5]
+
+
+@pytest.mark.parametrize("n, size", [(1, 1), (1, 6), (3, 2), (8, 3)])
+@pytest.mark.parametrize("wrap", WRAPS)
+def test_paragraphs_in_furniture_stay_out_of_other_layouts(trained, wrap, n, size):
+    """Inside and outside the article, few and many, short and long, in a layout that training never saw."""
+    junk = wrap.format("".join(f"<p>junk {k} {LONG * size}</p>" for k in range(n)))
+    body = [f"text {k} {LONG * 2}".strip() for k in range(3)]
+    article = "<h2>Heading</h2>" + f"<p>{body[0]}</p><div class='q7'><p>{body[1]}</p></div>{{}}<blockquote><p>{body[2]}</p></blockquote>"
+    for main in ("article", "main"):
+        for inside, before, after in ((junk, "", ""), ("", junk, ""), ("", "", junk)):
+            page = f"<html><body>{before}<div><{main}>{article.format(inside)}</{main}></div>{after}</body></html>"
+            assert extracted(trained, page) == ["Heading", *body]
+
+
+@pytest.mark.parametrize("wrap", WRAPS)
+def test_pages_without_an_article_element(trained, wrap):
+    """Long paragraphs side by side are the text, whatever the element around them is called; furniture is not."""
+    body = [f"text {k} {LONG * 3}".strip() for k in range(6)]
+    text = "".join(f"<p>{x}</p>" for x in body)
+    for around in ("<div class='zz'>{}</div>", "<div class='entry-content'>{}</div>", "<section><div>{}</div></section>", "<table><tr><td>{}</table>"):
+        page = f"<body><div class='k3'><a href=/>Home</a></div>{around.format(text)}{wrap.format('<p>junk ' + LONG + '</p>')}</body>"
+        assert extracted(trained, page) == body

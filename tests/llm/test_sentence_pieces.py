@@ -32,6 +32,20 @@ def test_few_ids_wait_to_be_committed():
     assert given > 1000
 
 
+def test_every_stretch_of_a_table_goes_through_the_streaming_search(spark, sf_dir):
+    """The number of commits is that of the different stretches, all others are remembered; few boundaries are held at a time."""
+    encoder = S.Encoder(S.read_model(PATH))
+    rows = [r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    stretches = {x for t in rows if t for x in encoder.cut.findall((S.SPACE if encoder.prefix else "") + t.replace(" ", S.SPACE))}
+    for t in rows:
+        encoder.encode(t)
+    long = sum(len(x) // encoder.longest for x in stretches)
+    assert len(stretches) > 5000 and len(stretches) <= encoder.commits <= len(stretches) + long
+    assert encoder.window <= 2 * encoder.longest + 1
+    encoder.encode("internationalization" * 3000)
+    assert encoder.window <= 2 * encoder.longest + 1
+
+
 def unigram(tmp_path):
     """A small unigram model written by hand."""
     r, proto = random.Random(3), pb.ModelProto()
