@@ -30,6 +30,7 @@ from pulsewatch.plans import territory as EX
 from pulsewatch.sources.sample import TODAY, sample_star
 from pulsewatch.sources.sinks import read_checked, read_csv, read_documents, write_csv, write_documents
 from pulsewatch.sources.stage import stage, stage_path
+from pulsewatch.sources.warehouse import SCHEMAS, Star
 
 RUN = P.RunParams(today=TODAY)
 DELIVERY = P.DeliveryParams(
@@ -116,6 +117,19 @@ def campaign_daily(spark, d):
     return X.campaign_daily(sample_star(spark, d), RUN)
 
 
+@query
+def campaign_daily_kept(spark, d):
+    """From kept daily sums: the day before's run fills the store, today's sums one more day."""
+    root, star = stage_path(spark, "store"), sample_star(spark, d)
+    star.stats.write.partitionBy("day").parquet(f"{root}/stats")
+    stats = spark.read.schema(star.stats.schema).parquet(f"{root}/stats")
+    p = replace(RUN, daily_store=f"{root}/kept")
+    X.kept_sums(stats.where(F.col("day") < F.lit(RUN.yesterday)), f"{root}/kept/stats", p.days_ago(p.account_window_days + 1),
+                lambda rows: X.fact_sums(X.without_repeats(X.campaign_facts(rows), p.broadcast_keys)))
+    tables = {name: getattr(star, name) for name in SCHEMAS if name != "stats"}
+    return X.campaign_daily(Star(**tables, stats=stats), p)
+
+
 @query
 def param_filter(spark, d):
     p = replace(RUN, employee_filter=EMPLOYEE_FILTER, client_filter=CLIENT_FILTER)

@@ -53,6 +53,7 @@ FINAL["owner_dim"] = "SELECT * FROM x_owner"
 FINAL["fact_dedup"] = """
 SELECT campaign_id, day, count(*) AS n_facts, sum(revenue_local) AS revenue FROM x_facts GROUP BY campaign_id, day"""
 FINAL["campaign_daily"] = "SELECT * FROM x_campaign"
+FINAL["campaign_daily_kept"] = "SELECT * FROM x_campaign"
 FINAL["param_filter"] = "SELECT * FROM x_campaign"
 FINAL["client_campaign_union"] = f"""
 SELECT combo, campaign_name, campaign_id, campaign_scenario, campaign_revenue_type, campaign_funnel_id, AS_email, day,

@@ -103,6 +103,8 @@ class RunParams:
     pod_leaders: tuple[str, ...] = ()
     oversized_rows: int = OVERSIZED_SERIES_ROWS
     broadcast_keys: int = BROADCAST_KEYS
+    # folder of the daily sums kept from run to run (plans.daily_store); without one all facts of the window are read
+    daily_store: str | None = None
 
     @property
     def yesterday(self) -> date:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pulsewatch import params as P
 from pulsewatch.functions.cleaning import clean_data
 from pulsewatch.operators.screening import live_keys
+from pulsewatch.plans.daily_store import kept_sums
 from pulsewatch.sources.stage import stage
 from pulsewatch.sources.warehouse import Star
 
@@ -88,11 +89,10 @@ def in_scope(facts: DataFrame, dims: DataFrame, key: str, limit: int) -> DataFra
     return facts.join(F.broadcast(keys), key, "left_semi")
 
 
-def campaign_facts(star: Star, p: P.RunParams) -> DataFrame:
-    return (star.stats.where(F.col("day") >= F.lit(p.days_ago(p.account_window_days)))
-            .select("day", "displays", "clicks", F.col("sales_all_post_click").alias("conversions"),
-                    F.col("order_value_all_post_click_local").alias("order_value"), "revenue_local",
-                    "tac_local", "revenue_euro", "tac_euro", "campaign_id", "affiliate_currency_id"))
+def campaign_facts(stats: DataFrame) -> DataFrame:
+    return stats.select("day", "displays", "clicks", F.col("sales_all_post_click").alias("conversions"),
+                        F.col("order_value_all_post_click_local").alias("order_value"), "revenue_local",
+                        "tac_local", "revenue_euro", "tac_euro", "campaign_id", "affiliate_currency_id")
 
 
 def without_repeats(rows: DataFrame, limit: int) -> DataFrame:
@@ -116,7 +116,8 @@ def without_repeats(rows: DataFrame, limit: int) -> DataFrame:
 
 def deduplicated_facts(star: Star, p: P.RunParams) -> DataFrame:
     """Fact rows of the window; rows equal in all columns used count once."""
-    return without_repeats(campaign_facts(star, p), p.broadcast_keys)
+    window = star.stats.where(F.col("day") >= F.lit(p.days_ago(p.account_window_days)))
+    return without_repeats(campaign_facts(window), p.broadcast_keys)
 
 
 def campaign_dims(star: Star, p: P.RunParams) -> DataFrame:
@@ -137,15 +138,29 @@ def campaign_dims(star: Star, p: P.RunParams) -> DataFrame:
 
 def campaign_sums(star: Star, p: P.RunParams, dims: DataFrame) -> DataFrame:
     """Measures per (campaign_id, client_currency_id, day); no text columns."""
+    if p.daily_store:
+        facts = kept_sums(star.stats, f"{p.daily_store}/stats", p.days_ago(p.account_window_days), lambda rows: fact_sums(
+            without_repeats(campaign_facts(rows), p.broadcast_keys)))
+    else:
+        rows = campaign_facts(star.stats.where(F.col("day") >= F.lit(p.days_ago(p.account_window_days))))
+        facts = fact_sums(without_repeats(in_scope(rows, dims, "campaign_id", p.broadcast_keys), p.broadcast_keys))
+    return priced_sums(star, p, dims, facts)
+
+
+def fact_sums(facts: DataFrame) -> DataFrame:
+    """Facts per campaign, currency and day."""
     both = F.col("revenue_local").isNotNull() & F.col("tac_local").isNotNull()
-    facts = without_repeats(in_scope(campaign_facts(star, p), dims, "campaign_id", p.broadcast_keys), p.broadcast_keys)
-    facts = facts.groupBy("campaign_id", "affiliate_currency_id", "day").agg(
+    return facts.groupBy("campaign_id", "affiliate_currency_id", "day").agg(
         F.sum("clicks").alias("clicks"), F.sum("displays").alias("displays"),
         F.sum("conversions").alias("conversions"), F.sum("order_value").alias("order_value"),
         F.sum("revenue_local").alias("revenue"), F.sum("tac_local").alias("media"),
         F.sum(F.when(both, F.col("revenue_local"))).alias("paired_revenue"),
         F.sum(F.when(both, F.col("tac_local"))).alias("paired_media"),
         F.sum(F.col("revenue_euro") - F.col("tac_euro")).alias("rext_euro"))
+
+
+def priced_sums(star: Star, p: P.RunParams, dims: DataFrame, facts: DataFrame) -> DataFrame:
+    """The sums of campaigns in scope, media cost in client currency."""
     rates = star.fx_daily.where(F.col("day") >= F.lit(p.days_ago(p.account_window_days))).select(
         F.col("source_currency_id").alias("affiliate_currency_id"),
         F.col("destination_currency_id").alias("client_currency_id"), "day", "rate").distinct()
@@ -344,10 +359,14 @@ def tag_event_name() -> Column:
 
 
 def tag_counts(star: Star, p: P.RunParams, live: DataFrame) -> DataFrame:
-    raw = star.events.where(F.col("day") >= F.lit(p.days_ago(p.account_window_days)))
-    return (in_scope(raw, live, "partner_id", p.broadcast_keys)
-            .groupBy("partner_id", "day", "site_type", tag_event_name().alias("event_name"))
-            .agg(F.sum("events").alias("events")))
+    since = p.days_ago(p.account_window_days)
+    if p.daily_store:
+        return in_scope(kept_sums(star.events, f"{p.daily_store}/events", since, event_sums), live, "partner_id", p.broadcast_keys)
+    return event_sums(in_scope(star.events.where(F.col("day") >= F.lit(since)), live, "partner_id", p.broadcast_keys))
+
+
+def event_sums(events: DataFrame) -> DataFrame:
+    return events.groupBy("partner_id", "day", "site_type", tag_event_name().alias("event_name")).agg(F.sum("events").alias("events"))
 
 
 def reported_partners(star: Star, p: P.RunParams) -> DataFrame:

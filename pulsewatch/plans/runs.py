@@ -43,7 +43,7 @@ def _path(spark: SparkSession, name: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def _exists(spark: SparkSession, name: str) -> bool:
+def exists(spark: SparkSession, name: str) -> bool:
     fs, path = _path(spark, name)
     return fs.exists(path)
 
@@ -143,7 +143,7 @@ def manifest_path(log: str, run_date: date, script: str, geo: str, kind: str | N
 def manifests(spark: SparkSession, log: str, run_date: date) -> DataFrame:
     """All manifests of a day: at most a few for each job."""
     folder = f"{log}/{run_date.isoformat()}"
-    if not _exists(spark, folder):
+    if not exists(spark, folder):
         return spark.createDataFrame([], MANIFEST)
     return spark.read.schema(MANIFEST).json(folder)
 
@@ -151,7 +151,7 @@ def manifests(spark: SparkSession, log: str, run_date: date) -> DataFrame:
 def committed(spark: SparkSession, log: str, run_date: date, script: str, geo: str, kind: str | None = None) -> str | None:
     """Folder of the run that counts (or of a notice of this kind); None if there is none."""
     place = manifest_path(log, run_date, script, geo, kind)
-    if not _exists(spark, place):
+    if not exists(spark, place):
         return None
     return spark.read.schema(MANIFEST).json(place).first()["folder"]
 
