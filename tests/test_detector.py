@@ -137,6 +137,24 @@ def test_counted_quantiles_equal_exact_ones(spark):
         assert got[k].a__q == exact[k].a__q and got[k].b__q == exact[k].b__q
 
 
+def test_ranges_shrink_until_few_values_are_left(spark, monkeypatch):
+    """A bucket with more values than the limit is cut again; ties, infinities and values that are no number keep their order."""
+    from pulsewatch.operators import quantiles as Q
+
+    monkeypatch.setattr(Q, "FEW", 4)
+    monkeypatch.setattr(Q, "_CUTS", 3)
+    rng = random.Random(8)
+    rows = [("hot", 1e9 + rng.random() if i % 2 else float(i)) for i in range(600)] + [("hot", 5.0)] * 300
+    rows += [("odd", v) for v in (float("inf"), float("-inf"), float("nan"), 0.0, 1.0, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0)]
+    df = spark.createDataFrame(rows, "k string, a double").repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    got = {r.k: r.a__q for r in counted_quantiles(df, "k", ["a"], probs).collect()}
+    exact = {r.k: r.a__q for r in series_profile(df, "k", [], ["a"], probs).collect()}
+    assert got.keys() == exact.keys() and all(str(got[k]) == str(exact[k]) for k in got)
+    plan = counted_quantiles(df, "k", ["a"], [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
 def test_oversized_series_take_the_counting_path(spark):
     rng = random.Random(5)
     rows = [("big", Y - timedelta(days=i % 50), rng.gauss(10, 3)) for i in range(900)]
