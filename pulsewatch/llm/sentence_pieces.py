@@ -31,6 +31,7 @@ NORMAL, UNKNOWN, CONTROL, USER, BYTE, BPE = 1, 2, 3, 4, 6, 2
 REMEMBERED, KNOWN_PARTS, KNOWN_ENDS = 64, 300_000, 300_000
 #: What an unknown character costs below the worst piece of a unigram model.
 PENALTY = 10.0
+_NONE = float("-inf")
 
 
 def read_model(path: str) -> dict:
@@ -68,7 +69,7 @@ class Encoder:
         self.ends: dict[str, str] = {}
         #: How often converged paths were committed, and the most boundaries held at a time.
         self.commits = self.window = 0
-        self.fits = lru_cache(1 << 17)(self._fits)
+        self.fits = lru_cache(1 << 19)(self._fits)
         self.raw = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(SPACE, " ").encode()
                     for p, _, kind in model["pieces"]]
 
@@ -111,14 +112,16 @@ class Encoder:
                 while k:
                     path.append(known[text[:k]])
                     k -= len(path[-1])
-                for piece in reversed(path):
-                    yield from self._ids(piece)
+                path.reverse()
+                yield from self._all_ids(path)
                 return
+            # a piece may begin at the last ``longest`` of them
             for k in range(max(1, begin - self.longest), begin):
                 last[k] = known[text[:k]]
+            before = last.get
         for end in range(begin, size + 1):
             if self.bpe:
-                piece = self._fitting(text, end, last.get)
+                piece = self._fitting(text, end, before)
                 if end <= REMEMBERED:
                     known[text[:end]] = piece
             else:
@@ -138,11 +141,12 @@ class Encoder:
                     path.append(last[k] if k in last else known[text[:k]])
                     k -= len(path[-1])
                 self.commits += meet > committed
-                for piece in reversed(path):
-                    yield from self._ids(piece)
-                for k in range(committed, meet):
-                    last.pop(k, None)
-                    score.pop(k, None)
+                path.reverse()
+                yield from self._all_ids(path)
+                if end < size:
+                    for k in range(committed, meet):
+                        last.pop(k, None)
+                        score.pop(k, None)
                 committed = max(committed, meet)
 
     def _ending(self, text: str, end: int) -> list[str]:
@@ -160,9 +164,19 @@ class Encoder:
         return found
 
     def _fitting(self, text: str, end: int, before) -> str:
-        for piece in self._ending(text, end):
+        """The longest piece that ends here and can follow the one before it; a character without a piece stands for itself."""
+        ids, endings, inside = self.id, self.endings, self.inside
+        start, found = end - 1, []
+        while True:
+            piece = text[start:end]
+            if piece in ids or start == end - 1:
+                found.append(piece)
+            if not start or piece not in endings:
+                break
+            start -= 1
+        for piece in reversed(found):
             left = before(end - len(piece))
-            if left is not None and self.fits(left, piece):
+            if left is not None and (not left or (left[-1], piece[0]) not in inside or self.fits(left, piece)):
                 return piece
         raise AssertionError("every text has a path")
 
@@ -175,6 +189,10 @@ class Encoder:
                 best, score[end] = piece, value
         return best
 
+    def _all_ids(self, path: list[str]) -> list[int]:
+        found = list(map(self.id.get, path))
+        return found if None not in found else [i for piece in path for i in self._ids(piece)]
+
     def _ids(self, piece: str):
         if piece in self.id:
             yield self.id[piece]
@@ -185,20 +203,21 @@ class Encoder:
 
     def _fits(self, left: str, right: str) -> bool:
         """Whether merging the characters of both by rank gives exactly these two."""
-        return not left or (left[-1], right[0]) not in self.inside or self.merged(left + right) == [left, right]
+        return self.merged(left + right) == [left, right]
 
     def merged(self, text: str) -> list[str]:
         """Pieces after joining, again and again, the neighbours that form the piece of the highest score (ties: the first)."""
-        parts = list(text)
-        while True:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                s = self.score.get(parts[k] + parts[k + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, k
-            if at < 0:
-                return parts
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        score, parts = self.score.get, list(text)
+        both = [score(a + b, _NONE) for a, b in zip(parts, parts[1:])]
+        while both and (best := max(both)) > _NONE:
+            k = both.index(best)
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            del both[k]
+            if k:
+                both[k - 1] = score(parts[k - 1] + parts[k], _NONE)
+            if k < len(both):
+                both[k] = score(parts[k] + parts[k + 1], _NONE)
+        return parts
 
 
 _ENCODERS: dict[str, Encoder] = {}
