@@ -29,7 +29,7 @@ from pulsewatch.plans import tag_alerts as TS
 from pulsewatch.plans import territory as EX
 from pulsewatch.sources.sample import TODAY, sample_star
 from pulsewatch.sources.sinks import read_checked, read_csv, read_documents, write_csv, write_documents
-from pulsewatch.sources.stage import stage, stage_path
+from pulsewatch.sources.stage import stage, stage_path, staging_scope
 from pulsewatch.sources.warehouse import SCHEMAS, Star
 
 RUN = P.RunParams(today=TODAY)
@@ -487,9 +487,12 @@ def export_territory(spark, d):
 
 @query
 def export_filter(spark, d):
-    """The account export filtered, written as CSV and read back with all its columns."""
-    rows = stage(E.export_accounts(sample_star(spark, d), RUN), "export")
-    return rounded(read_csv(spark, write_csv(E.export_filter(rows), stage_path(spark, "export")), E.EXPORT_SCHEMA), 9)
+    """The account export filtered, written as CSV and read back with all its columns. What led to the files is deleted."""
+    path = stage_path(spark, "export")
+    with staging_scope(spark):
+        rows = stage(E.export_accounts(sample_star(spark, d), RUN), "export")
+        write_csv(E.export_filter(rows), path, compression="gzip")
+    return rounded(read_csv(spark, path, E.EXPORT_SCHEMA), 9)
 
 
 # ---- gates and outbox -------------------------------------------------------

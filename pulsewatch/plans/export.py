@@ -100,15 +100,25 @@ def export_territories(star: Star, p: P.RunParams) -> DataFrame:
         "site_type": P.NOT_APPLICABLE})
 
 
-def export_filter(rows: DataFrame, rows_threshold: int = 3) -> DataFrame:
-    """Keep series that reach the day before their run and have enough points.
+def export_filter(rows: DataFrame, rows_threshold: int = 3, limit: int = P.BROADCAST_KEYS) -> DataFrame:
+    """Keep series that reach the day before their run and have enough points; rows without series or kpi go.
 
-    The counts of one pass decide; the rows are read again for the semi join, so pass a staged frame.
+    The counts of one pass decide; the rows are read again, so pass a staged frame. The wide rows are not shuffled: hashes of the
+    dropped series go to all tasks, and only rows with such a hash meet the names. With more than ``limit`` dropped ones all rows do.
     """
     runs = rows.groupBy("series", "kpi", "run_date").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("day") == F.date_sub("run_date", 1)).alias("n_last"))
-    kept = runs.groupBy("series", "kpi").agg(
+    gone = runs.groupBy("series", "kpi").agg(
         F.max("n").alias("most"), F.sum("n_last").alias("n_last")
-    ).where((F.col("n_last") > 0) & (F.col("most") >= rows_threshold)).select("series", "kpi")
-    return rows.join(kept, ["series", "kpi"], "left_semi").select(*rows.columns)
+    ).where((F.col("n_last") == 0) | (F.col("most") < rows_threshold)).select("series", "kpi")
+    gone = stage(gone.where("series IS NOT NULL AND kpi IS NOT NULL").withColumn("__hash", F.xxhash64("series", "kpi")), "export-dropped")
+    named = rows.where("series IS NOT NULL AND kpi IS NOT NULL")
+    n = gone.count()
+    if n == 0:
+        return named
+    if n > limit:
+        return named.join(gone.drop("__hash"), ["series", "kpi"], "left_anti").select(*rows.columns)
+    marked, sent = named.withColumn("__hash", F.xxhash64("series", "kpi")), F.broadcast(gone.select("__hash").distinct())
+    doubtful = marked.join(sent, "__hash", "left_semi").join(gone.drop("__hash"), ["series", "kpi"], "left_anti")
+    return marked.join(sent, "__hash", "left_anti").select(*rows.columns).unionByName(doubtful.select(*rows.columns))

@@ -13,13 +13,14 @@ _CSV = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "ignor
         "nullValue": "", "lineSep": "\n"}
 
 
-def write_csv(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), rows_per_file: int = 1_000_000) -> str:
+def write_csv(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), rows_per_file: int = 1_000_000, compression: str = "none") -> str:
     """UTF-8 CSV with header; refuses to overwrite.
 
     Texts may hold quotes and line breaks. A reader cannot split such files, so
-    they are kept to ``rows_per_file``.
+    they are kept to ``rows_per_file``. Long exports repeat the texts of a series
+    in every row; ``compression`` (such as gzip) takes these out of the files.
     """
-    df.write.options(**_CSV, maxRecordsPerFile=rows_per_file).partitionBy(*partition_by).csv(path)
+    df.write.options(**_CSV, maxRecordsPerFile=rows_per_file, compression=compression).partitionBy(*partition_by).csv(path)
     return path
 
 
