@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from pulsewatch.llm import quality_rank as Q
 
@@ -44,3 +45,31 @@ def test_without_labels_or_rows(spark):
     docs, labels, _ = tables(spark)
     assert len({x["score"] for x in Q.quality_scores(docs, labels.limit(0)).collect()}) == 1
     assert Q.quality_scores(docs.limit(0), labels).collect() == []
+
+
+def test_every_labelled_text_and_every_pair_counts(spark):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(240, len(Q.NAMES)))
+    label = (x[:, 0] + 0.7 * r.normal(size=240) > 0).astype(int)
+    train = spark.createDataFrame([(int(q), row) for q, row in zip(label, x.tolist())], "quality int, features array<double>")
+    model = Q.Ranking(Q.learned_edges(train))
+    assert all(abs(np.mean(x[:, k] >= e) - (1 - (i + 1) / Q.BINS)) < 0.02 for k, own in enumerate(model.edges) for i, e in enumerate(own))
+    levels = Q.learn_weights(train, model)
+    z, good, bad = model.bins(x), np.nonzero(label == 1)[0], np.nonzero(label == 0)[0]
+    i, j = np.repeat(good, len(bad)), np.tile(bad, len(good))
+    want = Q.pairwise_weights(z[i], z[j], len(model.weights))
+    assert np.abs(model.weights - want).max() < 0.01 * np.abs(want).max()
+    level = model.level(z)
+    assert abs(Q.threshold(train, model, levels) - np.sort(level)[len(bad) - 1]) < 1e-5
+
+
+def test_no_label_is_left_out_of_the_fit(spark):
+    """More labelled texts of one label than any fixed number of them: all of them decide."""
+    few = spark.range(40).selectExpr("0 as quality", "array_repeat(0.25D, 24) as features")
+    many = spark.range(30_000).selectExpr("1 as quality", "array_repeat(if(id < 15000, 0.5D, 0.75D), 24) as features")
+    train = few.unionByName(many)
+    ids = train.withColumn("doc_id", F.monotonically_increasing_id())
+    model = Q.fit(ids.select("doc_id", "features"), ids.select("doc_id", "quality"))
+    assert sum(n.sum() for n in Q.Levels(train, model).n) == 30_040
+    score = model.scores(np.array([[0.25] * 24, [0.5] * 24, [0.75] * 24]))
+    assert score[0] < score[1] and score[0] < score[2] and score[0] >= Q.CUT - 1e-6
