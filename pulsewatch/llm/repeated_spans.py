@@ -33,6 +33,8 @@ GRAM = 50
 #: Bytes of text in one slice and for each bucket of contexts, anchors in one bucket, bytes in one block of a suffix array.
 SLICE_BYTES, BUCKET_BYTES, BUCKET_ANCHORS, BLOCK_BYTES = 12 << 20, 4 << 20, 4 << 20, 1 << 17
 HOT = 2000
+#: Bytes of text whose anchors are found in one step, and lower bits of a hash that give way to its place.
+STEP, _PLACE = 1 << 16, np.uint64(31)
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -53,24 +55,40 @@ class Powers:
 _POWERS = Powers()
 
 
-def anchors(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, place, first, last) of each anchor: where its gram is, and the first and the last of the windows it serves."""
-    n, gram = len(raw), min(GRAM, length)
-    if n < length:
+def anchors(raw: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place, first, last) of each anchor in texts that follow each other: where its gram is, and the first and the last of
+    the windows it serves. ``ends``: where each text begins and the last ends. Hashes are compared by their upper bits."""
+    size, gram = np.diff(ends) - length + 1, min(GRAM, length)
+    if not len(size) or size.max() < 1:
         return (np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 3)
+    n = len(raw)
     up, down = _POWERS.upto(n + 1)
-    total = np.concatenate([[np.uint64(0)], np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:n], dtype=np.uint64)])
-    least = mixed((total[gram:] - total[:-gram]) * down[:n - gram + 1])
-    at, span, width = np.arange(len(least)), 1, length - gram + 1
+    total = np.empty(n + 1, np.uint64)
+    total[0] = 0
+    np.cumsum((raw + np.uint64(1)) * up[:n], out=total[1:])
+    h = mixed((total[gram:] - total[:-gram]) * down[:n - gram + 1])
+    # hash and place in one number: the least one of a window has the least hash and is the first with it
+    least, span, width = h >> _PLACE << _PLACE | np.arange(len(h), dtype=np.uint64), 1, length - gram + 1
     while span < width:
         step = min(span, width - span)
-        later = least[step:] < least[:-step]
-        at = np.where(later, at[step:], at[:-step])
-        least = np.where(later, least[step:], least[:-step])
+        least = np.minimum(least[step:], least[:-step])
         span += step
+    size = np.maximum(size, 0)
+    start = np.arange(size.sum()) + np.repeat(ends[:-1] - (np.cumsum(size) - size), size)
+    at = (least[start] & ((np.uint64(1) << _PLACE) - np.uint64(1))).astype(np.int64)
     first = np.nonzero(np.concatenate([[True], at[1:] != at[:-1]]))[0]
-    last = np.append(first[1:], len(at)) - 1
-    return least[first], at[first], first, last
+    at, first, last = at[first], start[first], start[np.append(first[1:], len(at)) - 1]
+    return h[at], at, first, last
+
+
+def _steps(texts: list[bytes]):
+    """(number of the first, texts in a row, where each begins and the last ends): about STEP bytes at a time, one text at least."""
+    ends = np.cumsum([0, *map(len, texts)])
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + STEP, "right")) - 1)
+        yield i, b"".join(texts[i:j]), ends[i:j + 1] - ends[i]
+        i = j
 
 
 def _texts(table) -> list[bytes]:
@@ -85,8 +103,12 @@ def _asks(length: int, bits: int):
     def run(batches):
         for batch in pieces(batches, 2000):
             by: dict[int, list] = {}
-            for s, text in zip(batch.column("slice").to_pylist(), _texts(batch)):
-                by.setdefault(s, []).append(_code(anchors(np.frombuffer(text, np.uint8), length)[0], bits))
+            slice_of = batch.column("slice").to_numpy()
+            for i, whole, ends in _steps(_texts(batch)):
+                h, place, _, _ = anchors(np.frombuffer(whole, np.uint8), ends, length)
+                mine = slice_of[i + np.searchsorted(ends, place, "right") - 1]
+                for s in np.unique(mine).tolist():
+                    by.setdefault(s, []).append(_code(h[mine == s], bits))
             yield packed_asks(by, bits)
     return run
 
@@ -102,23 +124,23 @@ def _contexts(length: int, bits: int, buckets: int):
         hot = log_level(HOT)
         found: dict[int, dict[bytes, list]] = {}
         windows: dict[int, dict[bytes, int]] = {}
-        for text in _texts(docs):
-            h, place, first, last = anchors(np.frombuffer(text, np.uint8), length)
+        for _, whole, ends in _steps(_texts(docs)):
+            h, place, first, last = anchors(np.frombuffer(whole, np.uint8), ends, length)
             of = levels_of(_code(h, bits), codes, level)
-            for k in np.nonzero(of)[0].tolist():
-                a, b = int(first[k]), int(last[k])
-                if of[k] > hot:
+            many = np.nonzero(of)[0]
+            for lv, anchor, at, a, b in zip(*(x[many].tolist() for x in (of, h, place, first, last))):
+                if lv > hot:
                     for start in range(a, b + 1):
-                        d = _digest(text[start:start + length])
+                        d = _digest(whole[start:start + length])
                         inside = windows.setdefault(d[0] | d[1] << 8 | d[2] << 16 | d[3] << 24, {})
                         inside[d] = inside.get(d, 0) + 1
                 else:
-                    inside = found.setdefault(int(h[k]) % buckets, {})
-                    body = text[a:b + length]
+                    inside = found.setdefault(anchor % buckets, {})
+                    body = whole[a:b + length]
                     if body in inside:
                         inside[body][2] += 1
                     else:
-                        inside[body] = [int(h[k]), int(place[k]) - a, 1]
+                        inside[body] = [anchor, at - a, 1]
         by_bucket: dict[int, dict[bytes, int]] = {}
         for part, inside in windows.items():
             by_bucket.setdefault(part % buckets, {}).update(inside)
@@ -227,26 +249,29 @@ def _decide(length: int):
     return run
 
 
-def _removed(text: bytes, length: int, bits: int, codes, level, hot: int, known: dict[bytes, bytes]) -> np.ndarray:
-    """Which bytes of a text lie in a repeated window."""
-    raw = np.frombuffer(text, np.uint8)
-    h, _, first, last = anchors(raw, length)
-    starts = np.zeros(len(raw) + 1, np.int64)
+def _removed(whole: bytes, ends: np.ndarray, length: int, bits: int, codes, level, hot: int, known: dict[bytes, bytes]) -> np.ndarray:
+    """Which bytes of texts that follow each other lie in a repeated window."""
+    raw = np.frombuffer(whole, np.uint8)
+    h, _, first, last = anchors(raw, ends, length)
     of = levels_of(_code(h, bits), codes, level)
-    for k in np.nonzero(of)[0].tolist():
-        a, b = int(first[k]), int(last[k])
-        if of[k] > hot:
-            repeated = np.array([_digest(text[s:s + length]) in known for s in range(a, b + 1)])
-        else:
-            found = known.get(_digest(text[a:b + length]))
-            if found is None:
-                continue
-            repeated = np.unpackbits(np.frombuffer(found, np.uint8), count=b - a + 1)
-        starts[a:b + 1] += repeated
-    at = np.nonzero(starts[:-1])[0]
+    at, starts, sizes, packed = [], [], [], []
+    many = np.nonzero(of)[0]
+    for lv, a, b in zip(*(x[many].tolist() for x in (of, first, last))):
+        if lv > hot:
+            at += [s for s in range(a, b + 1) if _digest(whole[s:s + length]) in known]
+        elif (found := known.get(_digest(whole[a:b + length]))) is not None:
+            starts.append(a)
+            sizes.append(b - a + 1)
+            packed.append(found)
+    # the marks of each context begin a new byte
+    marks, sizes = np.unpackbits(np.frombuffer(b"".join(packed), np.uint8)).view(bool), np.array(sizes, np.int64)
+    room = -(-sizes // 8) * 8
+    inside = np.arange(len(marks)) - np.repeat(np.cumsum(room) - room, room)
+    marked = marks & (inside < np.repeat(sizes, room))
     change = np.zeros(len(raw) + 1, np.int64)
+    at = np.concatenate([np.array(at, np.int64), (np.repeat(np.array(starts, np.int64), room) + inside)[marked]])
     change[at] += 1
-    np.subtract.at(change, at + length, 1)
+    change[at + length] -= 1
     return np.cumsum(change)[:-1] > 0
 
 
@@ -259,12 +284,17 @@ def _cut_out(length: int, bits: int, keep_text: bool):
         answers = asked.filter(asked["bucket"].is_valid())
         codes, level = unpacked_answers(answers)
         hot, rows, texts = log_level(HOT), [], []
-        for text in _texts(docs):
-            gone = _removed(text, length, bits, codes, level, hot, known)
-            kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-            spans = np.count_nonzero(gone & ~np.concatenate([[False], gone[:-1]]))
-            rows.append((len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
-            texts.append(kept)
+        for _, whole, ends in _steps(_texts(docs)):
+            gone = _removed(whole, ends, length, bits, codes, level, hot, known)
+            begins = gone & ~np.concatenate([[False], gone[:-1]])
+            begins[ends[:-1][ends[:-1] < len(gone)]] = gone[ends[:-1][ends[:-1] < len(gone)]]
+            n_spans, n_gone = (np.diff(np.concatenate([[0], np.cumsum(x)])[ends]).tolist() for x in (begins, gone))
+            left, i = np.frombuffer(whole, np.uint8)[~gone].tobytes(), 0
+            for size, lost, spans in zip(np.diff(ends).tolist(), n_gone, n_spans):
+                kept = left[i:i + size - lost]
+                i += size - lost
+                rows.append((size, lost, spans, hashlib.sha256(kept).hexdigest()))
+                texts.append(kept)
         columns = list(zip(*rows)) if rows else [[]] * 4
         out = [docs["doc_id"], *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()))]]
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]

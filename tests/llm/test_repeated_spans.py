@@ -51,3 +51,25 @@ def test_empty_table_and_repeated_rows(spark):
     rows = spark.createDataFrame([(None, text), (1, text), (1, text)], "doc_id long, text string")
     got = R.without_repeats(rows, keep_text=True).collect()
     assert {(r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got} == {(len(text), len(text), 1, b"")}
+
+
+def test_anchors_of_many_texts_at_once_are_those_of_each(monkeypatch):
+    texts = [(x or "").encode() for _, x in corpus()] + [b"", b"ab" * 500, bytes(300)]
+    monkeypatch.setattr(R, "STEP", 3000)
+    for length in (200, 40):
+        found = []
+        for i, whole, ends in R._steps(texts):
+            h, *at = R.anchors(np.frombuffer(whole, np.uint8), ends, length)
+            of = np.searchsorted(ends, at[0], "right") - 1
+            found += zip((i + of).tolist(), h.tolist(), *((x - ends[of]).tolist() for x in at))
+        alone = [(i, *x) for i, t in enumerate(texts)
+                 for x in zip(*(y.tolist() for y in R.anchors(np.frombuffer(t, np.uint8), np.array([0, len(t)]), length)))]
+        windows = sorted((i, s) for i, _, _, first, last in found for s in range(first, last + 1))
+        assert found == alone and windows == [(i, s) for i, t in enumerate(texts) for s in range(len(t) - length + 1)]
+
+
+def test_many_short_steps_and_texts(spark, monkeypatch):
+    monkeypatch.setattr(R, "STEP", 500)
+    docs = corpus()
+    got = sorted(tuple(r) for r in R.without_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert got == sorted(brute.repeated_rows(docs, 200))
