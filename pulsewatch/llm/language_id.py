@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsewatch.llm.common import Words, pick, pieces, remainder
+from pulsewatch.llm.common import Words, give_back, pick, pieces, remainder
 
 BUCKETS = 1 << 16
 #: The model is one value per bucket and language, held by every task; more languages than this are refused.
@@ -51,6 +51,7 @@ def _counts(batches):
             n = np.bincount(words.ids[of], minlength=len(words.values))
             total.setdefault(lang, np.zeros(BUCKETS))
             total[lang] += np.bincount(buckets, np.repeat(n, sizes), BUCKETS)
+    give_back()
     for lang, n in total.items():
         at = np.nonzero(n)[0]
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at].astype(np.int64))],
@@ -127,6 +128,7 @@ def _identify(langs: list[str], model: np.ndarray, keep_text: bool):
                 best[rows], score[rows] = share.argmax(1), np.clip(share.max(1), 0, 1)
             named = pa.array([langs[k] if k >= 0 else UNKNOWN for k in best], pa.string())
             yield (batch.drop_columns(["letter"] if keep_text else ["letter", "text"]).append_column("lang_pred", named).append_column("score", pa.array(score, pa.float64())))
+        give_back()
     return run
 
 
